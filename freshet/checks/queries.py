@@ -21,7 +21,7 @@ from freshet.operators import temporal as W
 from freshet.operators import zonal as Z
 from freshet.plans import pipelines as P
 from freshet.schemas import Grid
-from freshet.session import use_utc, work_folder
+from freshet.session import prepare, work_folder
 from freshet.sources import readers as R
 from freshet.sources import sinks as K
 from freshet.streaming import streams as ST
@@ -36,17 +36,17 @@ def rounded(df: DataFrame) -> DataFrame:
 
     Engines round decimal ties differently; the small shift keeps them off the ties.
     """
-    cols = {
-        f.name: F.round(F.col(f.name) + F.lit(3e-10), 6) + F.lit(0.0)
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.DoubleType)
-    }
-    return df.withColumns(cols) if cols else df
+    return df.selectExpr(
+        *[
+            f"round({f.name} + 3e-10D, 6) + 0D AS {f.name}" if isinstance(f.dataType, T.DoubleType) else f.name
+            for f in df.schema.fields
+        ]
+    )
 
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(use_utc(spark), sf_dir))
+        return rounded(fn(prepare(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
     return fn

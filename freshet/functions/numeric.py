@@ -17,8 +17,14 @@ def nan_to_null(c: Column) -> Column:
 def clean(df: DataFrame) -> DataFrame:
     """Turn NaN into NULL in every floating point column."""
     kinds = (T.DoubleType, T.FloatType)
-    cols = {f.name: nan_to_null(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, kinds)}
-    return df.withColumns(cols) if cols else df
+    return df.selectExpr(
+        *[
+            f"CASE WHEN NOT isnan(`{f.name}`) THEN `{f.name}` END AS `{f.name}`"
+            if isinstance(f.dataType, kinds)
+            else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
+    )
 
 
 def capped_score(v: Column, p: P.Capped, mult: float = 1.0) -> Column:
@@ -75,22 +81,25 @@ _TAIL_SPLIT = 7.07106781186547
 _SQRT_2PI = 2.506628274631
 
 
-def _polynomial(a: Column, coefficients: list[float]) -> Column:
-    out = F.lit(coefficients[0])
+def _polynomial(a: str, coefficients: list[float]) -> str:
+    out = f"{coefficients[0]}D"
     for c in coefficients[1:]:
-        out = out * a + F.lit(c)
+        out = f"({out} * {a} + {c}D)"
     return out
 
 
-def normal_cdf(x: Column) -> Column:
-    """Standard normal distribution function; pass a plain column, since ``x`` appears many times."""
-    a = F.abs(x)
-    e = F.exp(-(a * a) / F.lit(2.0))
-    near = e * _polynomial(a, _TAIL_NUM) / _polynomial(a, _TAIL_DEN)
-    b = a + F.lit(1.0) / (a + F.lit(2.0) / (a + F.lit(3.0) / (a + F.lit(4.0) / (a + F.lit(0.65)))))
-    far = e / (b * F.lit(_SQRT_2PI))
-    tail = F.when(a > 37, F.lit(0.0)).when(a < F.lit(_TAIL_SPLIT), near).otherwise(far)
-    return F.when(x > 0, F.lit(1.0) - tail).otherwise(tail)
+def with_normal_cdf(df: DataFrame, x: str, out: str) -> DataFrame:
+    """Add the standard normal distribution function of column ``x``.
+
+    The parts are columns of their own, since each is used many times: the optimizer keeps such projections apart, and
+    the generated code stays small.
+    """
+    df = df.withColumns({"_a": F.expr(f"abs({x})"), "_e": F.expr(f"exp(-({x} * {x}) / 2D)")})
+    near = f"_e * {_polynomial('_a', _TAIL_NUM)} / {_polynomial('_a', _TAIL_DEN)}"
+    far = f"_e / ((_a + 1D / (_a + 2D / (_a + 3D / (_a + 4D / (_a + 0.65D))))) * {_SQRT_2PI}D)"
+    tail = f"CASE WHEN _a > 37 THEN 0D WHEN _a < {_TAIL_SPLIT}D THEN {near} ELSE {far} END"
+    df = df.withColumn("_tail", F.expr(tail))
+    return df.withColumn(out, F.expr(f"CASE WHEN {x} > 0 THEN 1D - _tail ELSE _tail END")).drop("_a", "_e", "_tail")
 
 
 def with_severity(df: DataFrame, hazard: str = "hazard_score", out: str = "severity") -> DataFrame:
@@ -98,21 +107,19 @@ def with_severity(df: DataFrame, hazard: str = "hazard_score", out: str = "sever
 
     Full exposure gives 1, exposure above 100 or unknown gives NULL, and so does a negative or unknown hazard.
     """
-    h = F.col(hazard)
-    df = df.withColumns(
-        {
-            "scaled_riverine_risk": F.col("rfr_score") * F.lit(20.0),
-            "scaled_coastal_risk": F.col("cfr_score") * F.lit(20.0),
-        }
+    h, risk = F.col(hazard), F.col("_risk")
+    df = (
+        df.withColumns(
+            {"scaled_riverine_risk": F.expr("rfr_score * 20D"), "scaled_coastal_risk": F.expr("cfr_score * 20D")}
+        )
+        .withColumn("_risk", F.greatest("scaled_riverine_risk", "scaled_coastal_risk"))
+        .withColumn("_x", F.expr(f"ln({hazard}) - ln(100D - _risk)"))
     )
-    risk = F.greatest("scaled_riverine_risk", "scaled_coastal_risk")
-    # A column of its own: the optimizer then computes it once for all its uses in the distribution function.
-    df = df.withColumn("_x", F.ln(h) - F.ln(F.lit(100.0) - risk))
     severity = (
         F.when(h.isNull() | risk.isNull() | (h < 0) | (risk > 100), F.lit(None).cast("double"))
         .when((h == 0) & (risk < 100), F.lit(0.0))
         .when(h == 0, F.lit(None).cast("double"))
         .when(risk == 100, F.lit(1.0))
-        .otherwise(normal_cdf(F.col("_x")))
+        .otherwise(F.col("_cdf"))
     )
-    return df.withColumn(out, severity).drop("_x")
+    return with_normal_cdf(df, "_x", "_cdf").withColumn(out, severity).drop("_x", "_risk", "_cdf")

@@ -17,28 +17,20 @@ MIN_TOTAL = 0.1
 
 
 def merge_sources(sources: dict[str, DataFrame], keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Full outer merge of any number of sources in one shuffle, with a ``has_<name>`` flag for each.
+    """Full outer merge of any number of sources in one shuffle: the keys and one struct column per source, NULL where
+    the source has no row.
 
-    Sources have unique keys and disjoint numeric columns. A chain of full outer joins would shuffle every
-    intermediate result again, because such a join gives up the partitioning of its keys. Here the sources are stacked
-    with NULLs and brought together by one hash aggregate; ``max`` picks the single value there is.
+    Sources have unique keys. A chain of full outer joins would shuffle every intermediate result again, because such
+    a join gives up the partitioning of its keys. Here each source is packed into a struct, the sources are stacked and
+    brought together by their keys once. Rows travel no wider than their own source, and the repartition in front
+    keeps the aggregate from combining before the shuffle, where unique keys leave nothing to combine.
     """
-    columns: dict[str, list[str]] = {n: [c for c in df.columns if c not in keys] for n, df in sources.items()}
-    every = [c for cols in columns.values() for c in cols]
-    if len(set(every)) != len(every):
-        raise ValueError("sources must not share columns other than the keys")
-    types = {f.name: f.dataType for df in sources.values() for f in df.schema.fields}
-
-    def padded(name: str, df: DataFrame) -> DataFrame:
-        own = set(columns[name])
-        values = [F.col(c) if c in own else F.lit(None).cast(types[c]).alias(c) for c in every]
-        flags = [F.lit(n == name).alias(f"has_{n}") for n in sources]
-        return df.select(*keys, *values, *flags)
-
-    stacked = reduce(DataFrame.union, [padded(n, df) for n, df in sources.items()])
-    return stacked.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in every], *[F.max(f"has_{n}").alias(f"has_{n}") for n in sources]
-    )
+    packed = [
+        df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+        for name, df in sources.items()
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    return stacked.repartition(*keys).groupBy(*keys).agg(*[F.expr(f"any_value({n}, true) AS {n}") for n in sources])
 
 
 def exposure(attributes: DataFrame, resilience: DataFrame) -> DataFrame:
@@ -68,7 +60,7 @@ def combine_forecast(glofas: Column, gfms: Column, single_source_factor: float =
 
 def fuse_forecast(glofas: DataFrame, gfms: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Station scores and depth scores side by side, full outer."""
-    return merge_sources({"glofas": glofas, "gfms": gfms}, keys).drop("has_glofas", "has_gfms")
+    return merge_sources({"glofas": glofas, "gfms": gfms}, keys).select(*keys, "glofas.*", "gfms.*")
 
 
 def has_hazard(h: Column) -> Column:
@@ -129,9 +121,9 @@ def fuse(base: DataFrame, scores: DataFrame, total: str, flag: int, fill: bool =
     base = base.drop(*STAGE_ONLY)
     if "flag" not in base.columns:
         base = base.withColumn("flag", F.lit(None).cast("int"))
-    wide = merge_sources({"base": base, "more": scores}, keys)
+    wide = merge_sources({"base": base, "more": scores}, keys).select(*keys, "base.*", "more.*")
     hazard, mark = raise_hazard(F.col("hazard_score"), F.col(total), F.col("flag"), flag, fill)
-    return wide.withColumns({"flag": mark, "hazard_score": hazard}).drop("has_base", "has_more")
+    return wide.withColumns({"flag": mark, "hazard_score": hazard})
 
 
 def merge_dfo_layers(layers: DataFrame, keys: tuple[str, ...] = ("run_date", "pfaf_id")) -> DataFrame:

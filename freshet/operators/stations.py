@@ -84,16 +84,12 @@ STATION_VALUES = ["point_no", "alert_level", "days_until_peak", *PROBABILITIES,
 def average_stations(scored: DataFrame, keys: tuple[str, ...] = ("run_ts", "pfaf_id")) -> DataFrame:
     """Mean score per watershed, the other columns from the station with the highest number.
 
-    Both are aggregates with a map-side combine, so a watershed with very many stations costs no more than another.
+    Both are aggregates with a map-side combine, so a watershed with very many stations costs no more than another;
+    one aggregate per column keeps it a hash aggregate.
     """
     values = [c for c in STATION_VALUES if c in scored.columns]
-    return (
-        scored.groupBy(*keys)
-        .agg(
-            F.avg("glofas_score").alias("glofas_score"),
-            F.max_by(F.struct(*values), F.col("point_no")).alias("_last"),
-        )
-        .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values], "glofas_score")
+    return scored.groupBy(*keys).agg(
+        *[F.expr(f"max_by({c}, point_no) AS {c}") for c in values], F.avg("glofas_score").alias("glofas_score")
     )
 
 

@@ -48,23 +48,34 @@ def observation_runs(alert_runs: DataFrame, dfo_dates: DataFrame, viirs_dates: D
     return both.where(F.col("dfo_date").isNotNull() & F.col("viirs_date").isNotNull())
 
 
-# --- alert stages as columns of one wide row -------------------------------------------------------------------------
+# --- alert stages as columns of one merged row -----------------------------------------------------------------------
+#
+# A merged row holds one struct per source. The stages add a few scores to it and pass the structs on; they are opened
+# in the last projection. Rows so stay narrow through the stages, and the generated code small enough to be compiled.
+
+_STATION_COLUMNS = ["point_no", "alert_level", "days_until_peak", "glofas_2yr", "glofas_5yr", "glofas_20yr",
+                    *C.GLOFAS_PARTS]
+_GFMS_COLUMNS = ["gfms_totalarea_km", "gfms_perc_area", "gfms_meandepth", "gfms_maxdepth", "gfms_duration",
+                 *C.GFMS_PARTS]
+_RISKS = ["scaled_riverine_risk", "scaled_coastal_risk", "severity", "alert"]
+_SCORES = ["glofas_score", "gfms_score", "forecast_score", "hazard_score", "flag"]
 
 
-def _forecast_stage(wide: DataFrame, exposed: DataFrame) -> DataFrame:
-    """Exposure and the combined forecast score of a merged row.
+def _merged(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, more: dict[str, DataFrame]) -> DataFrame:
+    """One row per run and watershed with all sources, the exposure and the combined forecast score.
 
     A watershed with exposure but without a forecast has the score zero, one with neither has none. Watersheds with
     exposure only end with hazard zero in every stage, so a left join yields the full outer join's result.
     """
-    marked = exposed.withColumn("has_exposure", F.lit(True))
-    wide = U.fuse_exposure(wide, marked, "left")
-    glofas, gfms, total = U.combine_forecast(F.col("glofas_score"), F.col("gfms_score"))
-    in_model = F.col("has_glofas") | F.col("has_gfms") | F.coalesce("has_exposure", F.lit(False))
+    wide = U.merge_sources({"glofas": station_scores(stations), "gfms": C.score_gfms(gfms), **more})
+    packed = exposed.select("pfaf_id", F.struct(*U.EXPOSURE).alias("exposure"))
+    wide = U.fuse_exposure(wide, packed).selectExpr("*", "exposure.rfr_score", "exposure.cfr_score")
+    glofas, gfms_score, total = U.combine_forecast(F.col("glofas.glofas_score"), F.col("gfms.gfms_score"))
+    in_model = F.expr("glofas IS NOT NULL OR gfms IS NOT NULL OR exposure IS NOT NULL")
     return wide.withColumns(
         {
             "glofas_score": F.when(in_model, glofas),
-            "gfms_score": F.when(in_model, gfms),
+            "gfms_score": F.when(in_model, gfms_score),
             "forecast_score": F.when(in_model, total),
         }
     )
@@ -72,81 +83,53 @@ def _forecast_stage(wide: DataFrame, exposed: DataFrame) -> DataFrame:
 
 def _storm_stage(wide: DataFrame) -> DataFrame:
     hazard, flag = U.raise_hazard(
-        F.col("forecast_score"), F.col("hwrf_total"), F.lit(None).cast("int"), 1, fill=False
+        F.col("forecast_score"), F.col("hwrf.hwrf_total"), F.lit(None).cast("int"), 1, fill=False
     )
-    return wide.withColumns({"hazard_score": hazard, "flag": flag})
+    present = F.expr("glofas IS NOT NULL OR gfms IS NOT NULL OR hwrf IS NOT NULL")
+    return wide.withColumns({"hazard_score": hazard, "flag": flag, "_present": present})
 
 
-def _observation_stage(wide: DataFrame, total: str, code: int, earlier: list[str], present: str) -> DataFrame:
+def _observation_stage(wide: DataFrame, source: str, code: int, earlier: list[str]) -> DataFrame:
     """Next stage on the same row.
 
     What the earlier stage would have dropped comes back only through the new source, without the earlier columns.
     The earlier stage's alert is not needed: its low classes lose the flag, but so they do at the end, unless the
     new source raised the hazard and set a flag of its own.
     """
-    kept = F.col("_kept")
     wide = wide.withColumn("_kept", F.col("_present") & U.has_hazard(F.col("hazard_score")) & U.is_exposed())
-    wide = wide.withColumns({c: F.when(kept, F.col(c)) for c in [*earlier, "hazard_score", "flag"]})
-    wide = wide.withColumn("_present", kept | F.col(present))
-    hazard, flag = U.raise_hazard(F.col("hazard_score"), F.col(total), F.col("flag"), code, fill=True)
+    masked = {*earlier, *_SCORES}
+    wide = wide.selectExpr(
+        *[f"CASE WHEN _kept THEN {c} END AS {c}" if c in masked else c for c in wide.columns if c != "_present"],
+        f"_kept OR {source} IS NOT NULL AS _present",
+    )
+    total = F.col(f"{source}.{source}_total")
+    hazard, flag = U.raise_hazard(F.col("hazard_score"), total, F.col("flag"), code, fill=True)
     return wide.withColumns({"hazard_score": hazard, "flag": flag}).drop("_kept")
 
 
-_STATION_COLUMNS = ["point_no", "alert_level", "days_until_peak", "glofas_2yr", "glofas_5yr", "glofas_20yr",
-                    *C.GLOFAS_PARTS]
-_GFMS_COLUMNS = ["gfms_totalarea_km", "gfms_perc_area", "gfms_meandepth", "gfms_maxdepth", "gfms_duration",
-                 *C.GFMS_PARTS]
-_HWRF_COLUMNS = ["rain_totalarea_km", "perc_area", "meanrain", "maxrain", *C.HWRF_PARTS, "hwrf_total"]
-_DFO_COLUMNS = [f"{d}_{m}" for d in ("d1", "d1cs", "d2", "d3") for m in ("area", "perc")] + [*C.DFO_PARTS, "dfo_total"]
-_VIIRS_COLUMNS = ["oneday_flood_area_km", "oneday_perc_area", "fiveday_flood_area_km", "fiveday_perc_area",
-                  *C.VIIRS_PARTS, "viirs_total"]
-_FORECAST_COLUMNS = [*_STATION_COLUMNS, "glofas_score", *_GFMS_COLUMNS, "gfms_score"]
-_STORM_COLUMNS = [*_FORECAST_COLUMNS, "forecast_score", *_HWRF_COLUMNS]
-_RISKS = ["scaled_riverine_risk", "scaled_coastal_risk", "severity", "alert"]
+def _opened(df: DataFrame, *more: str) -> DataFrame:
+    """The flat result: exposure, forecast columns, then ``more``."""
+    stations = [f"glofas.{c}" for c in _STATION_COLUMNS]
+    depth = [f"gfms.{c}" for c in _GFMS_COLUMNS]
+    return df.selectExpr(*KEYS, "exposure.*", *stations, "glofas_score", *depth, "gfms_score", *more)
 
 
-def _merged(stations, gfms, more: dict[str, DataFrame]) -> DataFrame:
-    """One row per run and watershed with the scores of all sources: a single shuffle for the whole pipeline."""
-    sources = {
-        "glofas": station_scores(stations),
-        "gfms": C.score_gfms(gfms).select(*KEYS, *_GFMS_COLUMNS, "gfms_score"),
-        **more,
-    }
-    return U.merge_sources(sources)
-
-
-def _hwrf(hwrf: DataFrame) -> dict[str, DataFrame]:
-    return {"hwrf": C.score_hwrf(hwrf).select(*KEYS, *_HWRF_COLUMNS)}
-
-
-def _dfo(dfo: DataFrame) -> dict[str, DataFrame]:
-    return {"dfo": C.score_dfo(dfo, U.MIN_TOTAL).select(*KEYS, *_DFO_COLUMNS)}
-
-
-def _viirs(viirs: DataFrame) -> dict[str, DataFrame]:
-    return {"viirs": C.score_viirs(viirs, U.MIN_TOTAL).select(*KEYS, *_VIIRS_COLUMNS)}
+_STORM = ["forecast_score", "hwrf.*"]
+_TAIL = ["hazard_score", *_RISKS]
 
 
 def forecast_alerts(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, digits: int | None = None) -> DataFrame:
     """Alerts from stations and flood depth; both inputs carry the ``run_ts`` they serve."""
-    wide = _forecast_stage(_merged(stations, gfms, {}), exposed)
-    out = U.finish(wide.withColumn("hazard_score", F.col("forecast_score")), digits)
-    return out.select(*KEYS, *U.EXPOSURE, *_FORECAST_COLUMNS, "hazard_score", *_RISKS)
+    wide = _merged(stations, gfms, exposed, {}).withColumn("hazard_score", F.col("forecast_score"))
+    return _opened(U.finish(wide, digits), *_TAIL)
 
 
 def hwrf_alerts(
     stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, exposed: DataFrame, digits: int | None = None
 ) -> DataFrame:
     """Forecast alerts raised by storm rain (flag 1)."""
-    wide = _storm_stage(_forecast_stage(_merged(stations, gfms, _hwrf(hwrf)), exposed))
-    out = U.finish(wide, digits)
-    return out.select(*KEYS, *U.EXPOSURE, *_STORM_COLUMNS, "hazard_score", *_RISKS, "flag")
-
-
-def _after_storm(stations, gfms, hwrf, exposed, more: dict[str, DataFrame]) -> DataFrame:
-    wide = _merged(stations, gfms, {**_hwrf(hwrf), **more})
-    wide = _storm_stage(_forecast_stage(wide, exposed))
-    return wide.withColumn("_present", F.col("has_glofas") | F.col("has_gfms") | F.col("has_hwrf"))
+    wide = _storm_stage(_merged(stations, gfms, exposed, {"hwrf": C.score_hwrf(hwrf)}))
+    return _opened(U.finish(wide, digits), *_STORM, *_TAIL, "flag")
 
 
 def dfo_alerts(
@@ -154,10 +137,10 @@ def dfo_alerts(
     digits: int | None = None,
 ) -> DataFrame:
     """Storm alerts raised by observed water (flag 2); ``dfo`` carries the ``run_ts`` it serves."""
-    wide = _after_storm(stations, gfms, hwrf, exposed, _dfo(dfo))
-    wide = _observation_stage(wide, "dfo_total", 2, _STORM_COLUMNS, "has_dfo").where("_present")
-    out = U.finish(wide, digits)
-    return out.select(*KEYS, *U.EXPOSURE, *_STORM_COLUMNS, *_DFO_COLUMNS, "hazard_score", *_RISKS, "flag")
+    more = {"hwrf": C.score_hwrf(hwrf), "dfo": C.score_dfo(dfo, U.MIN_TOTAL)}
+    wide = _storm_stage(_merged(stations, gfms, exposed, more))
+    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
+    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", *_TAIL, "flag")
 
 
 def viirs_alerts(
@@ -165,13 +148,15 @@ def viirs_alerts(
     digits: int | None = None,
 ) -> DataFrame:
     """Observed-water alerts raised by the flood composites (flag 3)."""
-    wide = _after_storm(stations, gfms, hwrf, exposed, {**_dfo(dfo), **_viirs(viirs)})
-    wide = _observation_stage(wide, "dfo_total", 2, _STORM_COLUMNS, "has_dfo")
-    wide = _observation_stage(wide, "viirs_total", 3, [*_STORM_COLUMNS, *_DFO_COLUMNS], "has_viirs")
-    out = U.finish(wide.where("_present"), digits)
-    return out.select(
-        *KEYS, *U.EXPOSURE, *_STORM_COLUMNS, *_DFO_COLUMNS, *_VIIRS_COLUMNS, "hazard_score", *_RISKS, "flag"
-    )
+    more = {
+        "hwrf": C.score_hwrf(hwrf),
+        "dfo": C.score_dfo(dfo, U.MIN_TOTAL),
+        "viirs": C.score_viirs(viirs, U.MIN_TOTAL),
+    }
+    wide = _storm_stage(_merged(stations, gfms, exposed, more))
+    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
+    wide = _observation_stage(wide, "viirs", 3, ["glofas", "gfms", "hwrf", "dfo"])
+    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", "viirs.*", *_TAIL, "flag")
 
 
 def combined_alerts(

@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # The JVM does not compile methods above 8000 bytes; a stage that needs a larger one runs faster in pieces.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 BROADCAST_ROWS = 500_000
@@ -35,10 +37,10 @@ def build_session(app: str = "freshet", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Every rule on days and hours is in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session from elsewhere the settings that results (UTC) and generated code depend on."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, DEFAULTS[key])
     return spark
 
 

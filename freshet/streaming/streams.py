@@ -11,16 +11,18 @@ from freshet import schemas as S
 from freshet.functions.alerts import alert_code, alert_status
 from freshet.functions.dates import run_ts_from_path
 from freshet.functions.numeric import clean
+from freshet.session import DEFAULTS
 from freshet.sources.sinks import reprocess
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Files per micro-batch: bounds what a micro-batch holds of one watershed.
+MAX_FILES = 1000
 LATENESS = "2 days"
 
 
-def stream_summaries(spark: SparkSession, path: str, product: str, max_files: int | None = None) -> DataFrame:
+def stream_summaries(spark: SparkSession, path: str, product: str, max_files: int = MAX_FILES) -> DataFrame:
     """Stream of newly arrived summary CSV files; the checkpoint of the query remembers which were read."""
-    reader = spark.readStream.schema(S.SUMMARIES[product]).option("header", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(S.SUMMARIES[product]).option("header", True).option("maxFilesPerTrigger", max_files)
     raw = reader.csv(path).withColumn("run_ts", run_ts_from_path(F.col("_metadata.file_path")))
     return clean(raw.drop("row_index"))
 
@@ -40,34 +42,42 @@ def stream_bins(
 
 def stream_flood_duration(
     summaries: DataFrame, area: str = "gfms_totalarea_km", lateness: str = LATENESS, step_hours: int = 3,
-    threshold: float = 100.0, max_gap_hours: float = 3,
+    threshold: float = 100.0, max_gap_hours: float = 3, carry: DataFrame | None = None,
 ) -> DataFrame:
     """Flood duration over a stream of summary rows; the batch twin is ``flood_duration``.
 
     State per watershed: the last step (time, duration) and the steps the watermark has not passed yet. Steps are
-    applied in time order once the watermark has passed them, so their order of arrival does not matter. A watershed
-    keeps at most the steps of the lateness and of one micro-batch.
+    applied in time order once the watermark has passed them, so their order of arrival does not matter. A summary
+    file holds a watershed once, so a watershed keeps at most the steps of the lateness and of one micro-batch's files.
+    History belongs to the batch twin: its last durations come in as ``carry`` (pfaf_id, last_ts, duration).
     """
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+    # Keyed state with timers needs the state store that keeps its data off the heap.
+    summaries.sparkSession.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
+
     class Duration(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
             self.last = handle.getValueState("last", "us long, duration int")
             self.waiting = handle.getListState("waiting", "us long, area double")
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator:
-            us, areas = [], []
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            row = initialState.iloc[0]
+            self.last.update((int(row["us"]), int(row["duration"])))
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator:
+            newest = None
             for chunk in rows:
-                us += chunk["run_ts"].astype("datetime64[us]").astype("int64").tolist()
-                areas += [float(a) for a in chunk["area"]]
-            if us:
-                self.waiting.appendList(list(zip(us, areas, strict=True)))
-                self.handle.registerTimer(max(us) // 1000)
-            yield from self.advance(key, timer_values.getCurrentWatermarkInMs() * 1000)
+                us = chunk["run_ts"].astype("datetime64[us]").astype("int64").tolist()
+                self.waiting.appendList(list(zip(us, chunk["area"].astype("float64").tolist(), strict=True)))
+                newest = max(us) if newest is None else max(newest, max(us))
+            if newest is not None:
+                self.handle.registerTimer(newest // 1000)
+            yield from self.advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
-        def handleExpiredTimer(self, key, timer_values, expired) -> Iterator:
-            yield from self.advance(key, timer_values.getCurrentWatermarkInMs() * 1000)
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
+            yield from self.advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
         def advance(self, key, watermark: int) -> Iterator:
             import pandas as pd
@@ -110,6 +120,11 @@ def stream_flood_duration(
             outputStructType="pfaf_id long, run_ts timestamp, area double, duration int",
             outputMode="Append",
             timeMode="EventTime",
+            initialState=None if carry is None else carry.select(
+                F.col("pfaf_id").cast("long").alias("pfaf_id"),
+                F.unix_micros("last_ts").alias("us"),
+                F.col("duration").cast("int").alias("duration"),
+            ).groupBy("pfaf_id"),
         )
     )
     return out.select("run_ts", "pfaf_id", F.col("area").alias(area), F.col("duration").alias("gfms_duration"))
