@@ -111,15 +111,24 @@ def _bucket(col: str) -> Column:
     return F.floor(F.col(col) / F.lit(BUCKET)).cast("int")
 
 
-def zonal_join(pixels: DataFrame, spans: DataFrame) -> DataFrame:
+def zonal_join(pixels: DataFrame, spans: DataFrame, factor: int = 1) -> DataFrame:
     """Every pixel with every watershed that holds its centre, as an equality join on (row, bucket).
 
     Spans grow with the polygons and the grid, not with the runs. They are broadcast when counted to be few; otherwise
     both sides are shuffled and adaptive execution splits skewed keys.
+
+    With ``factor`` the spans are those of a grid that many times finer, as if the pixels had been upsampled to it.
+    A pixel then meets each fine row of a watershed once, with the number of its fine cells in the span as ``cells``.
     """
-    p, s = pixels.withColumn("bucket", _bucket("col")), small_side(spans)
-    inside = F.col("col").between(F.col("c0"), F.col("c1"))
-    return p.join(s, ["row", "bucket"]).where(inside).drop("bucket", "c0", "c1")
+    if BUCKET % factor:
+        raise ValueError(f"factor must divide {BUCKET}")
+    f, one = F.lit(factor), F.lit(1)
+    left, right = F.col("col") * f, F.col("col") * f + F.lit(factor - 1)
+    p = pixels.withColumn("bucket", F.floor(F.col("col") / F.lit(BUCKET // factor)).cast("int"))
+    s = small_side(spans.withColumn("row", F.floor(F.col("row") / f).cast("int")), derived=False)
+    met = p.join(s, ["row", "bucket"]).where((right >= F.col("c0")) & (left <= F.col("c1")))
+    cells = F.least("c1", right) - F.greatest("c0", left) + one
+    return met.withColumn("cells", cells).drop("bucket", "c0", "c1")
 
 
 def points_in_watersheds(points: DataFrame, watersheds: DataFrame, cell: float = 1.0) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from freshet import params as P
 from freshet.functions.geo import RAIN_DEG2RAD, center_y, pixel_area
-from freshet.functions.numeric import nan_to_null, percent_area
+from freshet.functions.numeric import percent_area
 from freshet.operators.fusion import merge_dfo_layers, merge_viirs
 from freshet.operators.spatial import watershed_spans, zonal_join
 from freshet.schemas import Grid
+from freshet.session import stored
 
 SCAFFOLD_SLOTS = 64
 
@@ -28,22 +29,32 @@ def dense_scaffold(watersheds: DataFrame, runs: DataFrame, slots: int = SCAFFOLD
     return slotted.join(listed, "_slot").drop("_slot")
 
 
+def grid_spans(watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None) -> DataFrame:
+    """``spans`` as handed in, else computed and stored; written once per grid they serve every later call."""
+    return stored(watershed_spans(watersheds, grid), "spans") if spans is None else spans
+
+
 def zonal_stats(
     pixels: DataFrame, spans: DataFrame, grid: Grid, keys: tuple[str, ...] = ("run_ts",),
-    deg2rad: float = math.pi / 180.0,
+    deg2rad: float = math.pi / 180.0, factor: int = 1,
 ) -> DataFrame:
     """Area, mean and maximum of the cells with data, per run and watershed; zero is data, ``grid.nodata`` is not.
 
     Partial aggregates run before the shuffle, so a watershed with most of the pixels is no hot spot. The cell area
-    depends on the row only and is computed per span, not per pixel.
+    depends on the row only and is computed per span, not per pixel. ``grid`` is the grid of the spans, which may be
+    ``factor`` times finer than the pixels'.
     """
     sized = spans.withColumn("_km2", pixel_area(center_y(F.col("row"), grid), grid, deg2rad))
-    value = nan_to_null(F.col("value"))
     data = pixels.where((F.col("value") != F.lit(grid.nodata)) & ~F.isnan("value"))
+    cells = F.col("cells")
     return (
-        zonal_join(data.select(*keys, "row", "col", value.alias("value")), sized)
+        zonal_join(data.select(*keys, "row", "col", "value"), sized, factor)
         .groupBy(*keys, "pfaf_id")
-        .agg(F.sum("_km2").alias("area"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+        .agg(
+            F.sum(F.col("_km2") * cells).alias("area"),
+            (F.sum(F.col("value") * cells) / F.sum(cells)).alias("mean"),
+            F.max("value").alias("max"),
+        )
     )
 
 
@@ -61,15 +72,15 @@ def _sizes(watersheds: DataFrame) -> DataFrame:
 
 def gfms_summary(
     pixels: DataFrame, watersheds: DataFrame, grid: Grid, runs: DataFrame | None = None, keep_empty: bool = True,
-    seed_hours: int = 3, threshold: float = 100.0, spans: DataFrame | None = None,
+    seed_hours: int = 3, threshold: float = 100.0, spans: DataFrame | None = None, factor: int = 1,
 ) -> DataFrame:
     """Flood depth per watershed and run, with the seed of the flood duration.
 
     ``spans`` may be handed in when they were written once for the grid. ``runs`` lists the runs to report, by default
-    those that have pixels.
+    those that have pixels. With ``factor`` the pixels count as upsampled to ``grid``.
     """
-    spans = watershed_spans(watersheds, grid) if spans is None else spans
-    stats = zonal_stats(pixels, spans, grid)
+    spans = grid_spans(watersheds, grid, spans)
+    stats = zonal_stats(pixels, spans, grid, factor=factor)
     if keep_empty:
         runs = pixels.select("run_ts") if runs is None else runs.select("run_ts")
         stats = dense_scaffold(_sizes(watersheds), runs).join(stats, ["run_ts", "pfaf_id"], "left")
@@ -95,7 +106,7 @@ def hwrf_summary(
     pixels: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None
 ) -> DataFrame:
     """Storm rain per watershed and run; only watersheds that got rain data."""
-    spans = watershed_spans(watersheds, grid) if spans is None else spans
+    spans = grid_spans(watersheds, grid, spans)
     stats = zonal_stats(pixels, spans, grid, deg2rad=RAIN_DEG2RAD).join(_sizes(watersheds), "pfaf_id")
     return stats.select(
         "run_ts",
@@ -122,7 +133,7 @@ def dfo_layers(
     pixels: DataFrame, watersheds: DataFrame, grid: Grid, keep_empty: bool = True, spans: DataFrame | None = None
 ) -> DataFrame:
     """Water class area per (run_date, layer, watershed), rounded to 3 decimals."""
-    spans = watershed_spans(watersheds, grid) if spans is None else spans
+    spans = grid_spans(watersheds, grid, spans)
     keys = ["run_date", "layer"]
     water = F.col("value") == F.lit(P.DFO_FLOOD_CLASS)
     areas = zonal_count(pixels, spans, water, P.DFO_CELL_KM2, tuple(keys))
@@ -139,7 +150,7 @@ def viirs_products(
     pixels: DataFrame, watersheds: DataFrame, grid: Grid, keep_empty: bool = True, spans: DataFrame | None = None
 ) -> DataFrame:
     """Flood class area per (run_date, product, watershed)."""
-    spans = watershed_spans(watersheds, grid) if spans is None else spans
+    spans = grid_spans(watersheds, grid, spans)
     keys = ["run_date", "product"]
     flood = (F.col("value") > P.VIIRS_CLASS_ABOVE) & (F.col("value") < P.VIIRS_CLASS_BELOW)
     areas = zonal_count(pixels, spans, flood, P.VIIRS_CELL_KM2, tuple(keys))

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from freshet.operators import fusion as U
 from freshet.operators import scores as C
-from freshet.operators.spatial import clip_rain, mosaic, points_in_watersheds, rasterize_points, upsample_nearest
+from freshet.operators.spatial import clip_rain, mosaic, points_in_watersheds, rasterize_points
 from freshet.operators.stations import normalize_probability, station_output, station_scores, station_union
 from freshet.operators.temporal import asof_latest, day_over_day, flood_duration, latest_or, latest_within
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
 from freshet.schemas import DEPTH, Grid
-from freshet.session import small_side
+from freshet.session import small_side, stored
 
 KEYS = U.KEYS
 
@@ -31,12 +31,12 @@ def align_runs(runs: DataFrame, station_dates: DataFrame, storm_runs: DataFrame,
 def on_runs(df: DataFrame, mapping: DataFrame, source: str, key: str) -> DataFrame:
     """Give source rows the runs that use them: ``mapping`` has run_ts and ``source``, ``df`` has ``key``.
 
-    The mapping has one row per run, so its size is the calendar's; it is broadcast after a count.
+    The mapping has one row per run, so its size is the calendar's; it is broadcast after a count and should be stored.
     """
     used = mapping.where(F.col(source).isNotNull()).select(
         F.col("run_ts").alias("_run"), F.col(source).alias("_used")
     )
-    joined = df.join(small_side(used), F.col(key) == F.col("_used"))
+    joined = df.join(small_side(used, derived=False), F.col(key) == F.col("_used"))
     return joined.drop("_used", key, "run_ts").withColumnRenamed("_run", "run_ts")
 
 
@@ -171,18 +171,18 @@ def combined_alerts(
     stations = stations.withColumn("_date", F.to_date("run_ts"))
     observed = observation_runs(runs, dfo.select("run_date"), viirs.select("run_date"))
     station_dates = stations.select(F.col("_date").alias("run_date"))
-    # One row per run and small, but the end of several joins that five sources need: compute it once.
-    plan = align_runs(observed, station_dates, hwrf).join(observed, "run_ts").persist()
+    # One row per run, but the end of several joins that five sources need.
+    plan = stored(align_runs(observed, station_dates, hwrf).join(observed, "run_ts"), "runs")
     out = viirs_alerts(
         on_runs(stations, plan, "station_date", "_date"),
-        gfms.join(small_side(plan.select("run_ts")), "run_ts", "left_semi"),
+        gfms.join(small_side(plan.select("run_ts"), derived=False), "run_ts", "left_semi"),
         on_runs(hwrf.withColumn("_at", F.col("run_ts")), plan, "storm_ts", "_at"),
         on_runs(dfo, plan, "dfo_date", "run_date"),
         on_runs(viirs, plan, "viirs_date", "run_date"),
         exposed,
         digits,
     )
-    return out.join(small_side(plan.select("run_ts", "dfo_date", "viirs_date")), "run_ts")
+    return out.join(small_side(plan.select("run_ts", "dfo_date", "viirs_date"), derived=False), "run_ts")
 
 
 NORTH_LATITUDE = 50
@@ -209,8 +209,12 @@ def final_alert(alerts: DataFrame, centroids: DataFrame, apply_north_filter: boo
 
 
 def located_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame) -> DataFrame:
-    """Both station sets, located in their watersheds and with probabilities in percent."""
-    return normalize_probability(points_in_watersheds(station_union(fixed, dynamic), watersheds))
+    """Both station sets, located in their watersheds and with probabilities in percent.
+
+    The located stations are stored, since the rescaling looks at them twice.
+    """
+    located = points_in_watersheds(station_union(fixed, dynamic), watersheds)
+    return normalize_probability(stored(located, "located"))
 
 
 def glofas_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame) -> DataFrame:
@@ -220,11 +224,15 @@ def glofas_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame)
 
 def gfms_pipeline(
     raw_pixels: DataFrame, watersheds: DataFrame, grid: Grid = DEPTH, carry: DataFrame | None = None,
-    runs: DataFrame | None = None, factor: int = 2,
+    runs: DataFrame | None = None, factor: int = 2, spans: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw depth cells -> finer grid -> watershed summary -> flood duration."""
-    summary = gfms_summary(upsample_nearest(raw_pixels, factor), watersheds, grid, runs)
-    return flood_duration(summary, carry=carry)
+    """Raw depth cells -> watershed summary on the ``factor`` times finer ``grid`` -> flood duration.
+
+    The finer cells are never made: the summary weighs each raw cell with the fine cells it stands for. The summary is
+    stored, since the duration reads it twice.
+    """
+    summary = gfms_summary(raw_pixels, watersheds, grid, runs, spans=spans, factor=factor)
+    return flood_duration(stored(summary, "summary"), carry=carry)
 
 
 def hwrf_pipeline(rain: DataFrame, watersheds: DataFrame, grid: Grid) -> DataFrame:

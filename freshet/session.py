@@ -58,13 +58,22 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def stored(df: DataFrame, name: str = "part") -> DataFrame:
+    """Write ``df`` to the work folder and read it back: computed once, safe from the loss of executors."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, derived: bool = True) -> DataFrame:
     """Mark a join side for broadcast after counting that it is small; a larger one goes through a shuffled join.
 
     Meant for sides bounded by the calendar or by the number of watersheds, joined to a side that has not been
     shuffled yet. Where a shuffle precedes the join no call is needed: adaptive execution then sees the real size.
-    The count stops at ``max_rows + 1``.
+    A ``derived`` side is stored first, so that the count and the join do not both compute it.
     """
+    if derived:
+        df = stored(df, "side")
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df.hint("merge")
