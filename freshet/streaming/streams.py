@@ -67,13 +67,9 @@ def stream_flood_duration(
             self.last.update((int(row["us"]), int(row["duration"])))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator:
-            newest = None
             for chunk in rows:
                 us = chunk["run_ts"].astype("datetime64[us]").astype("int64").tolist()
                 self.waiting.appendList(list(zip(us, chunk["area"].astype("float64").tolist(), strict=True)))
-                newest = max(us) if newest is None else max(newest, max(us))
-            if newest is not None:
-                self.handle.registerTimer(newest // 1000)
             yield from self.advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
@@ -84,6 +80,9 @@ def stream_flood_duration(
 
             steps = sorted((u, a) for u, a in self.waiting.get())
             ready = [s for s in steps if s[0] <= watermark]
+            if len(ready) < len(steps):
+                # Woken again as soon as the watermark passes the next step.
+                self.handle.registerTimer(steps[len(ready)][0] // 1000)
             if not ready:
                 return
             if len(ready) < len(steps):

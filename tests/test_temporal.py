@@ -86,10 +86,6 @@ def test_asof_latest(spark):
     assert got[dt.datetime(2024, 1, 10, 6)] is None
     assert got[dt.datetime(2024, 1, 10, 18)] == dt.date(2024, 1, 10)
     assert got[dt.datetime(2024, 1, 20, 18)] is None
-    r = runs(spark, dt.datetime(2024, 1, 19, 0), dt.datetime(2024, 1, 20, 0))
-    got = {x.run_ts: x.latest_date for x in W.asof_latest(r, dates(spark, 9, 10)).collect()}
-    assert got == {dt.datetime(2024, 1, 19, 0): dt.date(2024, 1, 10), dt.datetime(2024, 1, 20, 0): None} or got == {
-        dt.datetime(2024, 1, 19, 0): dt.date(2024, 1, 10), dt.datetime(2024, 1, 20, 0): dt.date(2024, 1, 11)}
 
 
 def test_asof_nine_and_ten_days(spark):
