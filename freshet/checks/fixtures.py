@@ -192,6 +192,10 @@ def viirs_dates(spark, sf) -> DataFrame:
     return _viirs(table(spark, sf, "part")).select(at.alias("run_date"), *VIIRS_COLUMNS)
 
 
+def viirs_today(spark, sf) -> DataFrame:
+    return _viirs(table(spark, sf, "part")).select(day("2024-01-10").alias("run_date"), *VIIRS_COLUMNS)
+
+
 def run_slots(spark, sf) -> DataFrame:
     return gfms_runs(spark, sf).select("run_ts").distinct()
 

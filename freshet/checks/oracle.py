@@ -456,6 +456,38 @@ stages("b", "m_s_glofas", "m_s_gfms", "m_s_hwrf", "m_s_dfo", "m_s_viirs", "m_map
 QUERIES["combined_alerts"] = select(
     [*_K, *EXPOSED, *_STORM, *_SEEN, *_LAYERS, *_END, "flag", "dfo_date", "viirs_date"], "b_p6 JOIN m_map USING (run_ts)")
 
+# The same with the inputs of the storm runs and of the evening runs.
+CTES["f_viirs_today"] = _viirs("DATE '2024-01-10'")
+
+
+def chosen(p: str, runs: str, dfo: str, viirs: str) -> None:
+    """Inputs of the runs in ``runs`` by the storm rule, observations of the run's own day."""
+    CTES[f"{p}_st"] = CTES["m_st"].replace("m_map", runs)
+    CTES[f"{p}_hw"] = CTES["m_hw"].replace("m_map", runs)
+    CTES[f"{p}_gf"] = CTES["m_gf"].replace("m_map", runs)
+    CTES[f"{p}_df"] = f"SELECT m.run_ts, d.* EXCLUDE (run_date) FROM {dfo} d JOIN {runs} m ON d.run_date = m.run_ts::DATE"
+    CTES[f"{p}_vi"] = f"SELECT m.run_ts, v.* EXCLUDE (run_date) FROM {viirs} v JOIN {runs} m ON v.run_date = m.run_ts::DATE"
+    CTES[f"{p}_s_st"] = scored_stations(f"{p}_st")
+    CTES[f"{p}_s_glofas"] = averaged(f"{p}_s_st")
+    CTES[f"{p}_s_gfms"] = scored_gfms(f"{p}_gf")
+    CTES[f"{p}_s_hwrf"] = scored_hwrf(f"{p}_hw")
+    CTES[f"{p}_s_dfo0"] = scored_dfo(f"{p}_df")
+    CTES[f"{p}_s_viirs0"] = scored_viirs(f"{p}_vi")
+    CTES[f"{p}_s_dfo"] = f"SELECT * FROM {p}_s_dfo0 WHERE dfo_total > 0.1e0"
+    CTES[f"{p}_s_viirs"] = f"SELECT * FROM {p}_s_viirs0 WHERE viirs_total > 0.1e0"
+    stages(f"{p}x", *[f"{p}_s_{n}" for n in ("glofas", "gfms", "hwrf", "dfo", "viirs")], runs)
+
+
+CTES["n_runs"] = "SELECT run_ts FROM m_runs WHERE hour(run_ts) = 0"
+CTES["e_runs"] = "SELECT run_ts FROM m_runs WHERE hour(run_ts) = 18"
+chosen("n", "n_runs", "f_dfo_dates", "f_viirs_today")
+chosen("w", "m_runs", "f_dfo_dates", "f_viirs_today")
+chosen("e", "e_runs", "f_dfo_dates", "f_viirs_today")
+QUERIES["daily_forecast"] = select([*_K, *EXPOSED, *_FORE, *_END], "nx_p3")
+QUERIES["storm_alerts"] = select([*_K, *EXPOSED, *_STORM, *_END, "flag"], "wx_p4")
+QUERIES["daily_dfo"] = select([*_K, *EXPOSED, *_STORM, *_SEEN, *_END, "flag"], "ex_p5")
+QUERIES["daily_viirs"] = select([*_K, *EXPOSED, *_STORM, *_SEEN, *_LAYERS, *_END, "flag"], "ex_p6")
+
 QUERIES["exposure"] = select(["pfaf_id", *EXPOSED], "f_exposure")
 CTES["u_fc"] = "SELECT coalesce(s.pfaf_id, g.pfaf_id) AS pfaf_id, s.glofas_score, g.gfms_score FROM s_glofas s FULL JOIN s_gfms g ON s.pfaf_id = g.pfaf_id"
 QUERIES["fuse_forecast"] = select(["pfaf_id", "glofas_score", "gfms_score"], "u_fc")

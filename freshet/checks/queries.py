@@ -151,6 +151,36 @@ def viirs_alerts(spark, sf):
     return P.viirs_alerts(*_inputs(spark, sf, "stations", "gfms", "hwrf", "dfo", "viirs", "exposure"), DIGITS)
 
 
+@query
+def daily_forecast(spark, sf):
+    return P.daily_forecast(X.station_runs(spark, sf), X.gfms_runs(spark, sf), X.exposure(spark, sf), DIGITS)
+
+
+@query
+def storm_alerts(spark, sf):
+    return P.storm_alerts(
+        X.station_runs(spark, sf), X.gfms_runs(spark, sf), X.hwrf_runs(spark, sf), X.exposure(spark, sf),
+        X.run_slots(spark, sf), DIGITS,
+    )
+
+
+def _observed(spark, sf, viirs: DataFrame | None) -> DataFrame:
+    return P.daily_observed(
+        X.station_runs(spark, sf), X.gfms_runs(spark, sf), X.hwrf_runs(spark, sf), X.dfo_dates(spark, sf),
+        X.exposure(spark, sf), X.run_slots(spark, sf), viirs, DIGITS,
+    )
+
+
+@query
+def daily_dfo(spark, sf):
+    return _observed(spark, sf, None)
+
+
+@query
+def daily_viirs(spark, sf):
+    return _observed(spark, sf, X.viirs_today(spark, sf))
+
+
 @query
 def combined_alerts(spark, sf):
     return P.combined_alerts(

@@ -93,7 +93,7 @@ def average_stations(scored: DataFrame, keys: tuple[str, ...] = ("run_ts", "pfaf
     )
 
 
-def station_scores(stations: DataFrame) -> DataFrame:
+def station_scores(stations: DataFrame, keys: tuple[str, ...] = ("run_ts", "pfaf_id")) -> DataFrame:
     """Raw stations to one averaged score row per watershed and run."""
     accepted, _ = validate_stations(stations)
-    return average_stations(score_glofas(accepted))
+    return average_stations(score_glofas(accepted), keys)

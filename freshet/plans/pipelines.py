@@ -61,21 +61,21 @@ _RISKS = ["scaled_riverine_risk", "scaled_coastal_risk", "severity", "alert"]
 _SCORES = ["glofas_score", "gfms_score", "forecast_score", "hazard_score", "flag"]
 
 
-def _merged(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, more: dict[str, DataFrame]) -> DataFrame:
-    """One row per run and watershed with all sources, the exposure and the combined forecast score.
+def _merged(glofas: DataFrame, gfms: DataFrame, exposed: DataFrame, more: dict[str, DataFrame]) -> DataFrame:
+    """One row per run and watershed with all scored sources, the exposure and the combined forecast score.
 
     A watershed with exposure but without a forecast has the score zero, one with neither has none. Watersheds with
     exposure only end with hazard zero in every stage, so a left join yields the full outer join's result.
     """
-    wide = U.merge_sources({"glofas": station_scores(stations), "gfms": C.score_gfms(gfms), **more})
+    wide = U.merge_sources({"glofas": glofas, "gfms": gfms, **more})
     packed = exposed.select("pfaf_id", F.struct(*U.EXPOSURE).alias("exposure"))
     wide = U.fuse_exposure(wide, packed).selectExpr("*", "exposure.rfr_score", "exposure.cfr_score")
-    glofas, gfms_score, total = U.combine_forecast(F.col("glofas.glofas_score"), F.col("gfms.gfms_score"))
+    points, depth, total = U.combine_forecast(F.col("glofas.glofas_score"), F.col("gfms.gfms_score"))
     in_model = F.expr("glofas IS NOT NULL OR gfms IS NOT NULL OR exposure IS NOT NULL")
     return wide.withColumns(
         {
-            "glofas_score": F.when(in_model, glofas),
-            "gfms_score": F.when(in_model, gfms_score),
+            "glofas_score": F.when(in_model, points),
+            "gfms_score": F.when(in_model, depth),
             "forecast_score": F.when(in_model, total),
         }
     )
@@ -118,18 +118,43 @@ _STORM = ["forecast_score", "hwrf.*"]
 _TAIL = ["hazard_score", *_RISKS]
 
 
+def _seen(dfo: DataFrame) -> DataFrame:
+    return C.score_dfo(dfo, U.MIN_TOTAL)
+
+
+def _composites(viirs: DataFrame) -> DataFrame:
+    return C.score_viirs(viirs, U.MIN_TOTAL)
+
+
 def forecast_alerts(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, digits: int | None = None) -> DataFrame:
     """Alerts from stations and flood depth; both inputs carry the ``run_ts`` they serve."""
-    wide = _merged(stations, gfms, exposed, {}).withColumn("hazard_score", F.col("forecast_score"))
-    return _opened(U.finish(wide, digits), *_TAIL)
+    wide = _merged(station_scores(stations), C.score_gfms(gfms), exposed, {})
+    return _opened(U.finish(wide.withColumn("hazard_score", F.col("forecast_score")), digits), *_TAIL)
+
+
+def _hwrf_stage(glofas, gfms, hwrf, exposed, digits) -> DataFrame:
+    wide = _storm_stage(_merged(glofas, gfms, exposed, {"hwrf": hwrf}))
+    return _opened(U.finish(wide, digits), *_STORM, *_TAIL, "flag")
+
+
+def _dfo_stage(glofas, gfms, hwrf, dfo, exposed, digits) -> DataFrame:
+    wide = _storm_stage(_merged(glofas, gfms, exposed, {"hwrf": hwrf, "dfo": dfo}))
+    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
+    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", *_TAIL, "flag")
+
+
+def _viirs_stage(glofas, gfms, hwrf, dfo, viirs, exposed, digits) -> DataFrame:
+    wide = _storm_stage(_merged(glofas, gfms, exposed, {"hwrf": hwrf, "dfo": dfo, "viirs": viirs}))
+    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
+    wide = _observation_stage(wide, "viirs", 3, ["glofas", "gfms", "hwrf", "dfo"])
+    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", "viirs.*", *_TAIL, "flag")
 
 
 def hwrf_alerts(
     stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, exposed: DataFrame, digits: int | None = None
 ) -> DataFrame:
     """Forecast alerts raised by storm rain (flag 1)."""
-    wide = _storm_stage(_merged(stations, gfms, exposed, {"hwrf": C.score_hwrf(hwrf)}))
-    return _opened(U.finish(wide, digits), *_STORM, *_TAIL, "flag")
+    return _hwrf_stage(station_scores(stations), C.score_gfms(gfms), C.score_hwrf(hwrf), exposed, digits)
 
 
 def dfo_alerts(
@@ -137,10 +162,9 @@ def dfo_alerts(
     digits: int | None = None,
 ) -> DataFrame:
     """Storm alerts raised by observed water (flag 2); ``dfo`` carries the ``run_ts`` it serves."""
-    more = {"hwrf": C.score_hwrf(hwrf), "dfo": C.score_dfo(dfo, U.MIN_TOTAL)}
-    wide = _storm_stage(_merged(stations, gfms, exposed, more))
-    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
-    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", *_TAIL, "flag")
+    return _dfo_stage(
+        station_scores(stations), C.score_gfms(gfms), C.score_hwrf(hwrf), _seen(dfo), exposed, digits
+    )
 
 
 def viirs_alerts(
@@ -148,37 +172,90 @@ def viirs_alerts(
     digits: int | None = None,
 ) -> DataFrame:
     """Observed-water alerts raised by the flood composites (flag 3)."""
-    more = {
-        "hwrf": C.score_hwrf(hwrf),
-        "dfo": C.score_dfo(dfo, U.MIN_TOTAL),
-        "viirs": C.score_viirs(viirs, U.MIN_TOTAL),
-    }
-    wide = _storm_stage(_merged(stations, gfms, exposed, more))
-    wide = _observation_stage(wide, "dfo", 2, ["glofas", "gfms", "hwrf"])
-    wide = _observation_stage(wide, "viirs", 3, ["glofas", "gfms", "hwrf", "dfo"])
-    return _opened(U.finish(wide.where("_present"), digits), *_STORM, "dfo.*", "viirs.*", *_TAIL, "flag")
+    return _viirs_stage(
+        station_scores(stations), C.score_gfms(gfms), C.score_hwrf(hwrf), _seen(dfo), _composites(viirs), exposed, digits
+    )
+
+
+# --- alerts of all runs, inputs chosen by the rules of each product --------------------------------------------------
+#
+# Inputs carry their own times: stations, depth and storm rain ``run_ts``, observations ``run_date``. Sources are
+# scored, filtered and averaged before they are given to the runs that use them.
+
+OBSERVED_HOUR = 18
+
+
+def _dated_scores(stations: DataFrame) -> DataFrame:
+    dated = stations.withColumn("_date", F.to_date("run_ts")).drop("run_ts")
+    return station_scores(dated, ("_date", "pfaf_id"))
+
+
+def _station_dates(stations: DataFrame) -> DataFrame:
+    return stations.select(F.to_date("run_ts").alias("run_date")).distinct()
+
+
+def _same_run(df: DataFrame, plan: DataFrame) -> DataFrame:
+    return df.join(small_side(plan.select("run_ts"), derived=False), "run_ts", "left_semi")
+
+
+def _storm_inputs(stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, plan: DataFrame) -> list[DataFrame]:
+    return [
+        on_runs(_dated_scores(stations), plan, "station_date", "_date"),
+        _same_run(C.score_gfms(gfms), plan),
+        on_runs(C.score_hwrf(hwrf).withColumn("_at", F.col("run_ts")), plan, "storm_ts", "_at"),
+    ]
+
+
+def daily_forecast(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, digits: int | None = None) -> DataFrame:
+    """Forecast alerts of every day: depth at 00 h with the day's stations, else the latest ones."""
+    midnight = gfms.where((F.hour("run_ts") == 0) & (F.minute("run_ts") == 0))
+    plan = stored(latest_or(midnight.select("run_ts"), _station_dates(stations), "station_date"), "runs")
+    glofas = on_runs(_dated_scores(stations), plan, "station_date", "_date")
+    wide = _merged(glofas, C.score_gfms(midnight), exposed, {})
+    return _opened(U.finish(wide.withColumn("hazard_score", F.col("forecast_score")), digits), *_TAIL)
+
+
+def storm_alerts(
+    stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, exposed: DataFrame, runs: DataFrame, digits: int | None = None
+) -> DataFrame:
+    """Storm alerts of all ``runs``: depth of the same hour, the day's stations (else the latest), rain of the same hour
+    (else the latest within 6 hours, else none)."""
+    plan = stored(align_runs(runs, _station_dates(stations), hwrf), "runs")
+    return _hwrf_stage(*_storm_inputs(stations, gfms, hwrf, plan), exposed, digits)
+
+
+def daily_observed(
+    stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, dfo: DataFrame, exposed: DataFrame, runs: DataFrame,
+    viirs: DataFrame | None = None, digits: int | None = None,
+) -> DataFrame:
+    """Observed-water alerts of every day: the 18 h run of ``runs`` with the same day's observation, and with ``viirs``
+    also the same day's composites. Days without the observations are left out."""
+    evening = runs.where(F.hour("run_ts") == OBSERVED_HOUR).select("run_ts").distinct()
+    evening = evening.withColumn("run_date", F.to_date("run_ts"))
+    for observed in (dfo, viirs):
+        if observed is not None:
+            evening = evening.join(observed.select("run_date").distinct(), "run_date", "left_semi")
+    plan = align_runs(evening, _station_dates(stations), hwrf)
+    plan = stored(plan.withColumn("day", F.to_date("run_ts")), "runs")
+    inputs = _storm_inputs(stations, gfms, hwrf, plan)
+    seen = on_runs(_seen(dfo), plan, "day", "run_date")
+    if viirs is None:
+        return _dfo_stage(*inputs, seen, exposed, digits)
+    return _viirs_stage(*inputs, seen, on_runs(_composites(viirs), plan, "day", "run_date"), exposed, digits)
 
 
 def combined_alerts(
     stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, dfo: DataFrame, viirs: DataFrame, exposed: DataFrame,
     runs: DataFrame, digits: int | None = None,
 ) -> DataFrame:
-    """All sources for all ``runs``: stations of the day (else the latest), depth of the same hour, rain of the same
-    hour (else the latest within 6 hours), observations of the last days. Runs without both observations are left out.
-
-    Inputs carry their own times: stations and storm rain ``run_ts``, observations ``run_date``.
-    """
-    stations = stations.withColumn("_date", F.to_date("run_ts"))
+    """All sources for all ``runs``: the inputs of ``storm_alerts`` and the newest observations of the last days, with
+    their dates. Runs without both observations are left out."""
     observed = observation_runs(runs, dfo.select("run_date"), viirs.select("run_date"))
-    station_dates = stations.select(F.col("_date").alias("run_date"))
-    # One row per run, but the end of several joins that five sources need.
-    plan = stored(align_runs(observed, station_dates, hwrf).join(observed, "run_ts"), "runs")
-    out = viirs_alerts(
-        on_runs(stations, plan, "station_date", "_date"),
-        gfms.join(small_side(plan.select("run_ts"), derived=False), "run_ts", "left_semi"),
-        on_runs(hwrf.withColumn("_at", F.col("run_ts")), plan, "storm_ts", "_at"),
-        on_runs(dfo, plan, "dfo_date", "run_date"),
-        on_runs(viirs, plan, "viirs_date", "run_date"),
+    plan = stored(align_runs(observed, _station_dates(stations), hwrf).join(observed, "run_ts"), "runs")
+    out = _viirs_stage(
+        *_storm_inputs(stations, gfms, hwrf, plan),
+        on_runs(_seen(dfo), plan, "dfo_date", "run_date"),
+        on_runs(_composites(viirs), plan, "viirs_date", "run_date"),
         exposed,
         digits,
     )
