@@ -444,7 +444,7 @@ def complete_dates(spark, sf):
 
 @query
 def dfo_pipeline(spark, sf):
-    return P.dfo_pipeline(X.dfo_pixels(spark, sf), X.watersheds(spark, sf), X.GRID, 73, X.day("2024-01-02"))
+    return P.dfo_pipeline(X.dfo_pixels(spark, sf), X.watersheds(spark, sf), X.GRID, X.day("2024-01-02"), 73)
 
 
 @query

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from freshet.operators import fusion as U
 from freshet.operators import scores as C
-from freshet.operators.spatial import clip_rain, mosaic, points_in_watersheds, rasterize_points
+from freshet.operators.spatial import clip_rain, points_in_watersheds, rasterize_points
 from freshet.operators.stations import normalize_probability, station_output, station_scores, station_union
 from freshet.operators.temporal import asof_latest, day_over_day, flood_duration, latest_or, latest_within
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
+from freshet.params import DFO_TILES
 from freshet.schemas import DEPTH, Grid
 from freshet.session import small_side, stored
 
@@ -312,21 +313,29 @@ def gfms_pipeline(
     return flood_duration(stored(summary, "summary"), carry=carry)
 
 
-def hwrf_pipeline(rain: DataFrame, watersheds: DataFrame, grid: Grid) -> DataFrame:
-    """Storm rain readings (run_ts, source, lon, lat, z, box) -> clipped -> cells -> mosaic -> watershed summary."""
-    readings = clip_rain(rain).withColumn("_at", F.struct(F.col("lat"), F.col("lon")))
-    cells = rasterize_points(readings, grid, "z", "_at", ("run_ts", "source"))
-    return hwrf_summary(mosaic(cells, "source"), watersheds, grid)
+def hwrf_pipeline(
+    rain: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None
+) -> DataFrame:
+    """Storm rain readings (run_ts, source, lon, lat, z, box) -> clipped -> one mosaic of cells -> watershed summary.
+
+    Rasterising each storm and laying the storms over each other is one aggregate: the last reading of the last source.
+    """
+    order = F.struct("source", "lat", "lon", "z")
+    cells = rasterize_points(clip_rain(rain).withColumn("ordinal", order), grid, keys=("run_ts",))
+    return hwrf_summary(cells, watersheds, grid, spans)
 
 
 def dfo_pipeline(
-    pixels: DataFrame, watersheds: DataFrame, grid: Grid, min_tiles: int, today: Column
+    pixels: DataFrame, watersheds: DataFrame, grid: Grid, today: Column, min_tiles: int = DFO_TILES,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Water class cells of the dates that are complete -> watershed summary."""
     dates = complete_dates(pixels, min_tiles, today).select("run_date")
-    return dfo_summary(pixels.join(small_side(dates), "run_date", "left_semi"), watersheds, grid)
+    return dfo_summary(pixels.join(small_side(dates), "run_date", "left_semi"), watersheds, grid, spans=spans)
 
 
-def viirs_pipeline(pixels: DataFrame, watersheds: DataFrame, grid: Grid) -> DataFrame:
+def viirs_pipeline(
+    pixels: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None
+) -> DataFrame:
     """Flood composite cells -> watershed summary."""
-    return viirs_summary(pixels, watersheds, grid)
+    return viirs_summary(pixels, watersheds, grid, spans)
