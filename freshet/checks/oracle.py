@@ -198,7 +198,13 @@ CTES["f_members"] = parity("f_centers", "row_no, col_no, lat")
 CTES["f_points"] = """
 SELECT o_orderkey AS point_no, -180e0 + (o_orderkey * 37 % 3600) / 10e0 AS lon, -90e0 + (o_custkey * 13 % 1800) / 10e0 AS lat
 FROM orders"""
-CTES["f_located"] = parity("f_points", "point_no, lon, lat")
+CTES["f_odd"] = parity("f_points", "point_no, lon, lat")
+# Points on a border are not within.
+CTES["f_border"] = """
+SELECT DISTINCT point_no, pfaf_id FROM f_points p JOIN f_edges e
+ ON (e.x2 - e.x1) * (p.lat - e.y1) = (e.y2 - e.y1) * (p.lon - e.x1)
+ AND p.lon BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND p.lat BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"""
+CTES["f_located"] = "SELECT * FROM f_odd o WHERE NOT EXISTS (SELECT 1 FROM f_border b WHERE b.point_no = o.point_no AND b.pfaf_id = o.pfaf_id)"
 CTES["f_raw_stations"] = """
 SELECT CASE WHEN o_orderkey % 2 = 1 THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS run_ts,
  o_orderkey AS point_no, 'S' || o_orderkey AS station, o_orderpriority AS basin, o_orderstatus AS country,
