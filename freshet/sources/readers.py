@@ -42,13 +42,15 @@ def read_parameters(spark: SparkSession, path: str) -> dict[str, float]:
 def read_stations(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Headerless station CSV, ``kind`` fixed or dynamic, 18 or 19 columns by its first line.
 
-    One extra column catches lines that are too long, which are left out; short lines are filled up with NULL.
+    Lines with too many fields are left out, short lines are filled up with NULL. The reader reports both with their
+    text, in which the fields are counted.
     """
     first = spark.read.text(path).first()
-    layout = S.STATION_LAYOUTS[kind, len(first["value"].split(","))]
-    wider = T.StructType([*layout.fields, T.StructField("_overflow", T.StringType())])
-    rows = spark.read.schema(wider).option("mode", "PERMISSIVE").csv(path)
-    rows = rows.where(F.col("_overflow").isNull()).drop("_overflow")
+    width = len(first["value"].split(","))
+    wider = T.StructType([*S.STATION_LAYOUTS[kind, width].fields, T.StructField("_line", T.StringType())])
+    rows = spark.read.schema(wider).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
+    fields = F.size(F.split(F.regexp_replace("_line", '"[^"]*"', ""), ","))
+    rows = rows.where(F.col("_line").isNull() | (fields <= width)).drop("_line")
     return clean(rows.withColumn("run_ts", run_ts_from_path(F.col("_metadata.file_path"))))
 
 

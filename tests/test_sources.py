@@ -43,7 +43,7 @@ LINE18 = "1,a,sta,bas,loc,co,con,cc,5.5,10.5,20.5,,x,3,1,2,3,2"
 
 def test_stations_skip_long_and_pad_short_lines(spark, tmp_path):
     short = ",".join(LINE19.replace("1,a", "3,a", 1).split(",")[:17])
-    path = put(f"{tmp_path}/p_2024010100.txt", "\n".join([LINE19, "2" + LINE19[1:] + ",extra", short]) + "\n")
+    path = put(f"{tmp_path}/p_2024010100.txt", "\n".join([LINE19, "2" + LINE19[1:] + ",extra", "4" + LINE19[1:] + ",", short]) + "\n")
     rows = {r.point_no: r for r in R.read_stations(spark, path, "fixed").collect()}
     assert set(rows) == {1, 3}
     assert (rows[1].station, rows[1].upstream_area, rows[1].lon, rows[1].alert_level) == ("sta", 5.5, 10.5, 2)
