@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.geo import cell_of, center_x, center_y
 from freshet.schemas import Grid
-from freshet.session import small_side
+from freshet.session import small_side, stored
 
 # Cells of one row are joined in buckets of this many columns, so that neither a wide polygon nor a busy row is one key.
 BUCKET = 256
@@ -128,7 +128,7 @@ def zonal_join(pixels: DataFrame, spans: DataFrame, factor: int = 1) -> DataFram
     f, one = F.lit(factor), F.lit(1)
     left, right = F.col("col") * f, F.col("col") * f + F.lit(factor - 1)
     p = pixels.withColumn("bucket", F.floor(F.col("col") / F.lit(BUCKET // factor)).cast("int"))
-    s = small_side(spans.withColumn("row", F.floor(F.col("row") / f).cast("int")), SPAN_ROWS, derived=False)
+    s = small_side(spans, SPAN_ROWS).withColumn("row", F.floor(F.col("row") / f).cast("int"))
     met = p.join(s, ["row", "bucket"]).where((right >= F.col("c0")) & (left <= F.col("c1")))
     cells = F.least("c1", right) - F.greatest("c0", left) + one
     return met.withColumn("cells", cells).drop("bucket", "c0", "c1")
@@ -184,7 +184,7 @@ def points_in_watersheds(points: DataFrame, watersheds: DataFrame, cell: float =
     crossings = F.aggregate("edges", F.lit(0), lambda acc, e: acc + crosses(e))
     located = points.withColumns({"_cx": floor_cell(x), "_cy": floor_cell(y)})
     return (
-        located.join(small_side(cover, COVER_ROWS), ["_cx", "_cy"])
+        located.join(small_side(stored(cover, "cover"), COVER_ROWS), ["_cx", "_cy"])
         .where((crossings % 2 == 1) & ~F.exists("edges", touches))
         .drop("_cx", "_cy", "edges")
     )

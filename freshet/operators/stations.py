@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freshet.functions.dates import iso_time
 from freshet.functions.numeric import clean
 from freshet.operators.scores import GLOFAS_PARTS, score_glofas
-from freshet.session import small_side
+from freshet.session import stored
 
 PROBABILITIES = ["glofas_2yr", "glofas_5yr", "glofas_20yr"]
 
@@ -39,13 +39,13 @@ def validate_stations(stations: DataFrame) -> tuple[DataFrame, DataFrame]:
 def normalize_probability(stations: DataFrame, scope: str = "run_ts") -> DataFrame:
     """Scale the probabilities of a run to 0..100 when its highest 2-year value is at most 1.
 
-    The run maxima are aggregated with a map-side combine and joined back, so that a run with most of the stations is
-    not gathered in one task the way a window over the run would.
+    The run maxima are aggregated with a map-side combine, stored and joined back, so that a run with most of the
+    stations is not gathered in one task the way a window over the run would.
     """
     stations = clean(stations)
     top = stations.groupBy(scope).agg(F.max("glofas_2yr").alias("_top")).where(F.col("_top") <= 1.0)
     unit = top.select(F.col(scope).alias("_scope"), F.lit(100.0).alias("_factor"))
-    joined = stations.join(small_side(unit), F.col(scope).eqNullSafe(F.col("_scope")), "left")
+    joined = stations.join(stored(unit, "unit"), F.col(scope).eqNullSafe(F.col("_scope")), "left")
     factor = F.coalesce("_factor", F.lit(1.0))
     return joined.withColumns({c: F.col(c) * factor for c in PROBABILITIES}).drop("_scope", "_factor")
 

@@ -15,7 +15,7 @@ from freshet.operators.spatial import watershed_spans, zonal_join
 from freshet.schemas import Grid
 from freshet.session import stored
 
-SCAFFOLD_SLOTS = 64
+SCAFFOLD_SLOTS = 256
 
 
 def dense_scaffold(watersheds: DataFrame, runs: DataFrame, slots: int = SCAFFOLD_SLOTS) -> DataFrame:

@@ -13,7 +13,7 @@ from freshet.operators.temporal import asof_latest, day_over_day, flood_duration
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
 from freshet.params import DFO_TILES
 from freshet.schemas import DEPTH, Grid
-from freshet.session import small_side, stored
+from freshet.session import stored
 
 KEYS = U.KEYS
 
@@ -32,12 +32,13 @@ def align_runs(runs: DataFrame, station_dates: DataFrame, storm_runs: DataFrame,
 def on_runs(df: DataFrame, mapping: DataFrame, source: str, key: str) -> DataFrame:
     """Give source rows the runs that use them: ``mapping`` has run_ts and ``source``, ``df`` has ``key``.
 
-    The mapping has one row per run, so its size is the calendar's; it is broadcast after a count and should be stored.
+    The mapping has one row per run, so its size is the calendar's. It should be stored: the planner then knows its size
+    and broadcasts it when small.
     """
     used = mapping.where(F.col(source).isNotNull()).select(
         F.col("run_ts").alias("_run"), F.col(source).alias("_used")
     )
-    joined = df.join(small_side(used, derived=False), F.col(key) == F.col("_used"))
+    joined = df.join(used, F.col(key) == F.col("_used"))
     return joined.drop("_used", key, "run_ts").withColumnRenamed("_run", "run_ts")
 
 
@@ -196,7 +197,7 @@ def _station_dates(stations: DataFrame) -> DataFrame:
 
 
 def _same_run(df: DataFrame, plan: DataFrame) -> DataFrame:
-    return df.join(small_side(plan.select("run_ts"), derived=False), "run_ts", "left_semi")
+    return df.join(plan.select("run_ts"), "run_ts", "left_semi")
 
 
 def _storm_inputs(stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, plan: DataFrame) -> list[DataFrame]:
@@ -260,7 +261,7 @@ def combined_alerts(
         exposed,
         digits,
     )
-    return out.join(small_side(plan.select("run_ts", "dfo_date", "viirs_date"), derived=False), "run_ts")
+    return out.join(plan.select("run_ts", "dfo_date", "viirs_date"), "run_ts")
 
 
 NORTH_LATITUDE = 50
@@ -330,8 +331,8 @@ def dfo_pipeline(
     spans: DataFrame | None = None,
 ) -> DataFrame:
     """Water class cells of the dates that are complete -> watershed summary."""
-    dates = complete_dates(pixels, min_tiles, today).select("run_date")
-    return dfo_summary(pixels.join(small_side(dates), "run_date", "left_semi"), watersheds, grid, spans=spans)
+    dates = stored(complete_dates(pixels, min_tiles, today).select("run_date"), "dates")
+    return dfo_summary(pixels.join(dates, "run_date", "left_semi"), watersheds, grid, spans=spans)
 
 
 def viirs_pipeline(

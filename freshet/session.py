@@ -22,8 +22,6 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-BROADCAST_ROWS = 500_000
-
 
 def build_session(app: str = "freshet", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
@@ -59,21 +57,22 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str = "part") -> DataFrame:
-    """Write ``df`` to the work folder and read it back: computed once, safe from the loss of executors."""
+    """Write ``df`` to the work folder and read it back.
+
+    It is computed once and safe from the loss of executors. As a join side its size is known from the files, so the
+    planner itself decides between a broadcast and a shuffled join.
+    """
     folder = work_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, derived: bool = True) -> DataFrame:
-    """Mark a join side for broadcast after counting that it is small; a larger one goes through a shuffled join.
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark a stored join side for broadcast after counting that it is small; a larger one goes through a shuffled join.
 
-    Meant for sides bounded by the calendar or by the number of watersheds, joined to a side that has not been
-    shuffled yet. Where a shuffle precedes the join no call is needed: adaptive execution then sees the real size.
-    A ``derived`` side is stored first, so that the count and the join do not both compute it.
+    For sides bounded by polygons and grid that may exceed the planner's own limit and yet are worth a broadcast,
+    because the other side is huge and has not been shuffled. The count stops at ``max_rows + 1``.
     """
-    if derived:
-        df = stored(df, "side")
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df.hint("merge")

@@ -1,4 +1,4 @@
-"""Readers with explicit schemas; every one is lazy and splits its files over the executors."""
+"""Readers with explicit schemas; every one splits its files over the executors."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from freshet import schemas as S
 from freshet.functions.dates import run_ts_from_path
 from freshet.functions.numeric import clean
-from freshet.session import small_side
+from freshet.session import stored
 
 LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
 
@@ -98,6 +98,7 @@ def read_rain_text(spark: SparkSession, path: str) -> DataFrame:
     """Storm rain text grids: rows (source, run_ts, lon, lat, z) with their file's box (xlc, xrc, ybc, ytc, res).
 
     The first line of a file has seven numbers, the others ``lat lon z``; a missing amount becomes the no-data value.
+    The boxes, one row per file, are stored so that their size is known to the join.
     """
     tokens = F.split(F.trim(F.col("value")), r"\s+")
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), tokens.alias("t"))
@@ -117,7 +118,7 @@ def read_rain_text(spark: SparkSession, path: str) -> DataFrame:
         num(1).alias("lat"),
         z.alias("z"),
     )
-    return readings.join(small_side(heads), "source")
+    return readings.join(stored(heads, "boxes"), "source")
 
 
 def read_pixels(

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.session import small_side
+from freshet.session import stored
 from freshet.sources.readers import LEGACY_CHARSETS
 
 
@@ -61,7 +61,7 @@ def write_partitions(df: DataFrame, path: str, keys: list[str], overwrite: bool
     if not overwrite:
         done = existing_keys(df, path, keys)
         if done is not None:
-            df = df.join(small_side(done), keys, "left_anti")
+            df = df.join(stored(done, "done"), keys, "left_anti")
     writer = df.hint("rebalance", *keys).write.partitionBy(*keys)
     if overwrite:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
