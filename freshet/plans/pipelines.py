@@ -192,8 +192,13 @@ def _dated_scores(stations: DataFrame) -> DataFrame:
     return station_scores(dated, ("_date", "pfaf_id"))
 
 
+def _inventory(df: DataFrame, time: str) -> DataFrame:
+    """The times a source has, stored: the joins that choose a run's inputs read them several times."""
+    return stored(df.select(time).distinct(), "inventory")
+
+
 def _station_dates(stations: DataFrame) -> DataFrame:
-    return stations.select(F.to_date("run_ts").alias("run_date")).distinct()
+    return _inventory(stations.select(F.to_date("run_ts").alias("run_date")), "run_date")
 
 
 def _same_run(df: DataFrame, plan: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def _storm_inputs(stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, plan: D
 def daily_forecast(stations: DataFrame, gfms: DataFrame, exposed: DataFrame, digits: int | None = None) -> DataFrame:
     """Forecast alerts of every day: depth at 00 h with the day's stations, else the latest ones."""
     midnight = gfms.where((F.hour("run_ts") == 0) & (F.minute("run_ts") == 0))
-    plan = stored(latest_or(midnight.select("run_ts"), _station_dates(stations), "station_date"), "runs")
+    plan = stored(latest_or(_inventory(midnight, "run_ts"), _station_dates(stations), "station_date"), "runs")
     glofas = on_runs(_dated_scores(stations), plan, "station_date", "_date")
     wide = _merged(glofas, C.score_gfms(midnight), exposed, {})
     return _opened(U.finish(wide.withColumn("hazard_score", F.col("forecast_score")), digits), *_TAIL)
@@ -222,7 +227,8 @@ def storm_alerts(
 ) -> DataFrame:
     """Storm alerts of all ``runs``: depth of the same hour, the day's stations (else the latest), rain of the same hour
     (else the latest within 6 hours, else none)."""
-    plan = stored(align_runs(runs, _station_dates(stations), hwrf), "runs")
+    plan = align_runs(_inventory(runs, "run_ts"), _station_dates(stations), _inventory(hwrf, "run_ts"))
+    plan = stored(plan, "runs")
     return _hwrf_stage(*_storm_inputs(stations, gfms, hwrf, plan), exposed, digits)
 
 
@@ -232,12 +238,12 @@ def daily_observed(
 ) -> DataFrame:
     """Observed-water alerts of every day: the 18 h run of ``runs`` with the same day's observation, and with ``viirs``
     also the same day's composites. Days without the observations are left out."""
-    evening = runs.where(F.hour("run_ts") == OBSERVED_HOUR).select("run_ts").distinct()
+    evening = _inventory(runs.where(F.hour("run_ts") == OBSERVED_HOUR), "run_ts")
     evening = evening.withColumn("run_date", F.to_date("run_ts"))
     for observed in (dfo, viirs):
         if observed is not None:
-            evening = evening.join(observed.select("run_date").distinct(), "run_date", "left_semi")
-    plan = align_runs(evening, _station_dates(stations), hwrf)
+            evening = evening.join(_inventory(observed, "run_date"), "run_date", "left_semi")
+    plan = align_runs(evening, _station_dates(stations), _inventory(hwrf, "run_ts"))
     plan = stored(plan.withColumn("day", F.to_date("run_ts")), "runs")
     inputs = _storm_inputs(stations, gfms, hwrf, plan)
     seen = on_runs(_seen(dfo), plan, "day", "run_date")
@@ -252,8 +258,11 @@ def combined_alerts(
 ) -> DataFrame:
     """All sources for all ``runs``: the inputs of ``storm_alerts`` and the newest observations of the last days, with
     their dates. Runs without both observations are left out."""
-    observed = observation_runs(runs, dfo.select("run_date"), viirs.select("run_date"))
-    plan = stored(align_runs(observed, _station_dates(stations), hwrf).join(observed, "run_ts"), "runs")
+    observed = observation_runs(
+        _inventory(runs, "run_ts"), _inventory(dfo, "run_date"), _inventory(viirs, "run_date")
+    )
+    plan = align_runs(observed, _station_dates(stations), _inventory(hwrf, "run_ts")).join(observed, "run_ts")
+    plan = stored(plan, "runs")
     out = _viirs_stage(
         *_storm_inputs(stations, gfms, hwrf, plan),
         on_runs(_seen(dfo), plan, "dfo_date", "run_date"),
