@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontam, mixing, secrets, urls
+from freshet.llm import decontam, jaccard, mixing, secrets, tokens, topk, toxicity, urls
 from freshet.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -29,11 +29,23 @@ def weighted_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return mixing.mix_sources(joined, quality=F.col("weight"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, num=9, den=10)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -46,6 +58,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    # NULL and non-finite components take a vector out before it is cut to integers.
+    whole = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = rows.where(whole).select("vec_id", topk.integer_vector(F.col("embedding")).alias("vec"))
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 50 == 0), 5)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.filter_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark, urls.RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -56,8 +76,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op7_secrets": op7_secrets,
+    "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
 }
