@@ -18,7 +18,7 @@ BUCKET_ROWS = 2048
 
 def word_count(text: str = "text") -> Column:
     """Runs of characters other than blank, tab and line breaks; NULL has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(F.col(text), F.lit("[^\\x20\\x09\\x0A\\x0B\\x0C\\x0D]+")), F.lit(0)).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -46,32 +46,35 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
 
 
 def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, quality: Column | None = None,
-    seed: str = "mix", bucket_rows: int = BUCKET_ROWS,
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
+    quality: DataFrame | None = None, seed: str = "mix", bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """(doc_id, size, source_size, target, taken), one row for each row of ``docs`` (doc_id, text, source).
 
     Sources weigh ``weights`` in turn, in code point order, NULL last. A source's target counts ``target / size`` whole
-    epochs first; the words left over are taken in the order of ``-ln(u) / quality``, where u in (0, 1) comes from a hash
+    epochs first; the words left over are taken in the order of ``-ln(u) / weight``, where u in (0, 1) comes from a hash
     of seed, id and text, so that reruns and retried tasks agree. The document at the border gives its first words only.
 
     The order within a source is a prefix sum in two steps: the keys, which are spread evenly by ``1 - exp(-key)``, fall
     into buckets of some ``bucket_rows`` rows; sums of buckets are added up first, then rows within a bucket. No source
-    is in one task, however large. ``quality`` is an expression on ``docs`` of 1 or more, NULL counts as 1.
+    is in one task, however large. ``quality`` (doc_id, weight) has weights of 1 or more; ids without a row or with a NULL
+    weigh 1, of several rows the largest counts. It is joined to ids and sizes only, texts are never shuffled.
 
     NULL or empty text has size 0 and gives nothing; NULL ids are kept; repeated rows are each a document; a source
     without words has target 0; an empty table gives no rows. Other columns are ignored.
     """
-    q = F.greatest(F.coalesce((F.lit(1.0) if quality is None else quality).cast("double"), F.lit(1.0)), F.lit(1.0))
     source = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
     name = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                              F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).cast("binary"))
-    u = (F.conv(F.substring(name, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
-    rows = docs.select(
-        "doc_id", word_count().alias("size"), "source", source.alias("_source"), name.alias("_name"),
-        (-F.log(u) / q).alias("_key"),
-    )
-    rows = stored(rows, "sizes")
+    rows = docs.select("doc_id", word_count().alias("size"), "source", source.alias("_source"), name.alias("_name"))
+    if quality is None:
+        rows = rows.withColumn("_weight", F.lit(1.0))
+    else:
+        best = quality.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("weight").cast("double")).alias("_weight"))
+        rows = stored(rows, "words").join(best, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    q = F.greatest(F.coalesce("_weight", F.lit(1.0)), F.lit(1.0))
+    u = (F.conv(F.substring("_name", 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+    rows = stored(rows.withColumn("_key", -F.log(u) / q).drop("_weight"), "sizes")
     totals = rows.groupBy("source", "_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     targets = stored(source_targets(totals, weights, share, cap), "targets")
     n_buckets = F.ceil(F.col("n_rows") / F.lit(float(bucket_rows)))

@@ -24,9 +24,7 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 
 def weighted_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mix of documents with quality weights from labels."""
-    weights = quality_weights(labels).withColumnRenamed("doc_id", "_labelled")
-    joined = docs.select("doc_id", "text", "source").join(weights, F.col("doc_id") == F.col("_labelled"), "left")
-    return mixing.mix_sources(joined, quality=F.col("weight"))
+    return mixing.mix_sources(docs, quality=quality_weights(labels))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
