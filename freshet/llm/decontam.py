@@ -18,12 +18,13 @@ K = 7
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+# Single characters, not ranges: the matcher looks those up in one table.
+_BREAKS = "".join(f"\\x{i:02X}" for i in range(128) if not chr(i).isalnum())
 
 
 def words_of(text: str = "text") -> Column:
     """Words of digits, Latin letters and anything beyond ASCII, A-Z lower-cased; NULL has none."""
-    parts = F.split(F.coalesce(F.col(text), F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), f"[{_BREAKS}]+")
     # lower() is quick, and right where it changes nothing; only words with capitals are translated.
     plain = F.transform(parts, lambda w: F.when(F.lower(w) == w, w).otherwise(F.translate(w, _UPPER, _UPPER.lower())))
     return F.filter(plain, lambda w: w != "")
@@ -121,7 +122,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int =
     """
     found = stored(find_items(docs.select("doc_id", "text"), items, span, k), "found")
     slim = found.select("_key", F.size("hits").cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    word_count = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    word_count = F.coalesce(F.regexp_count("text", F.lit(f"[^{_BREAKS}]+")), F.lit(0)).cast("long")
     rows = docs.select("doc_id", text_key().alias("_key"), word_count.alias("n_words"))
     rows = rows.join(slim, "_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
