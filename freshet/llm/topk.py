@@ -17,8 +17,8 @@ from freshet.llm.common import stored
 
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 4096
-#: Bits of a cell number; a component's range is cut into that many equal cells.
-BITS = 5
+#: Bits of a cell number, up to 7; a component's range is cut into so many equal cells.
+BITS = 7
 
 
 def integer_vector(v: Column) -> Column:
