@@ -75,7 +75,7 @@ def exposure(spark, sf) -> DataFrame:
 
 def stations(spark, sf) -> DataFrame:
     k = F.col("o_orderkey")
-    return table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+    return table(spark, sf, "orders").select(
         ts().alias("run_ts"),
         k.alias("point_no"),
         F.col("o_custkey").alias("pfaf_id"),
@@ -87,24 +87,28 @@ def stations(spark, sf) -> DataFrame:
     )
 
 
+# Each source shifts the part keys by another number, so that every outer join has rows of one side only.
+SHIFT = {"gfms": 40, "hwrf": 70, "dfo": 20, "viirs": 90}
+
+
 def _gfms(lines: DataFrame, *keys: str) -> DataFrame:
     qty = F.sum("l_quantity")
-    return lines.where((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 5 != 0)).groupBy(*keys, "l_partkey").agg(
-        r9(qty * 20.0).alias("gfms_totalarea_km"),
-        r9(qty / 20.0).alias("gfms_perc_area"),
+    return lines.groupBy(*keys, (F.col("l_partkey") + SHIFT["gfms"]).alias("pfaf_id")).agg(
+        r9(qty * 7.0).alias("gfms_totalarea_km"),
+        r9(qty / 60.0).alias("gfms_perc_area"),
         r9(F.avg("l_discount") * 200.0).alias("gfms_meandepth"),
         r9(F.max("l_discount") * 1000.0).alias("gfms_maxdepth"),
-        (F.count("*") * 3).cast("int").alias("gfms_duration"),
-    ).withColumnRenamed("l_partkey", "pfaf_id")
+        F.count("*").cast("int").alias("gfms_duration"),
+    )
 
 
 def _hwrf(lines: DataFrame, *keys: str) -> DataFrame:
-    return lines.where((F.col("l_returnflag") == "A") & (F.col("l_partkey") % 3 == 2)).groupBy(*keys, "l_partkey").agg(
-        r9(F.sum("l_quantity") * 40.0).alias("rain_totalarea_km"),
+    return lines.groupBy(*keys, (F.col("l_partkey") + SHIFT["hwrf"]).alias("pfaf_id")).agg(
+        r9(F.sum("l_quantity") * 13.0).alias("rain_totalarea_km"),
         r9(F.avg("l_quantity") * 1.5).alias("perc_area"),
         r9((F.avg("l_tax") * 100.0 - 2.0) * 3.0).alias("meanrain"),
         r9((F.avg("l_extendedprice") - 20000.0) / 3000.0).alias("maxrain"),
-    ).withColumnRenamed("l_partkey", "pfaf_id")
+    )
 
 
 def gfms_summary(spark, sf) -> DataFrame:
@@ -117,9 +121,9 @@ def hwrf_summary(spark, sf) -> DataFrame:
 
 def _dfo(parts: DataFrame) -> DataFrame:
     size = F.col("p_size").cast("double")
-    return parts.where(F.col("p_partkey") % 3 == 0).withColumns(
+    return parts.withColumns(
         {
-            "pfaf_id": F.col("p_partkey"),
+            "pfaf_id": F.col("p_partkey") + SHIFT["dfo"],
             "d1_area": size, "d1_perc": size / 50.0,
             "d1cs_area": size * 30.0, "d1cs_perc": size / 4.0,
             "d2_area": size * 20.0, "d2_perc": size / 5.0,
@@ -133,9 +137,9 @@ DFO_COLUMNS = ["pfaf_id", "d1_area", "d1_perc", "d1cs_area", "d1cs_perc", "d2_ar
 
 def _viirs(parts: DataFrame) -> DataFrame:
     size = F.col("p_size").cast("double")
-    return parts.where(F.col("p_partkey") % 4 == 1).withColumns(
+    return parts.withColumns(
         {
-            "pfaf_id": F.col("p_partkey"),
+            "pfaf_id": F.col("p_partkey") + SHIFT["viirs"],
             "oneday_flood_area_km": size * 25.0, "oneday_perc_area": size / 6.0,
             "fiveday_flood_area_km": size * 40.0, "fiveday_perc_area": size / 3.0,
         }
@@ -161,8 +165,8 @@ def at_run(df: DataFrame) -> DataFrame:
 # --- several runs on 2024-01-10 at 00, 06, 12 and 18 h ---------------------------------------------------------------
 
 
-def _slots(spark, sf) -> DataFrame:
-    at = ts("2024-01-10 00:00:00") + hours((F.col("l_linenumber") % 4 * 6).cast("int"))
+def _slots(spark, sf, n: int = 4) -> DataFrame:
+    at = ts("2024-01-10 00:00:00") + hours((F.col("l_linenumber") % n * 6).cast("int"))
     return table(spark, sf, "lineitem").withColumn("run_ts", at)
 
 
@@ -172,7 +176,7 @@ def gfms_runs(spark, sf) -> DataFrame:
 
 def hwrf_runs(spark, sf) -> DataFrame:
     """No storm run at 18 h: that hour falls back on 12 h."""
-    return _hwrf(_slots(spark, sf), "run_ts").where(F.hour("run_ts") != 18)
+    return _hwrf(_slots(spark, sf, 3), "run_ts")
 
 
 def station_runs(spark, sf) -> DataFrame:
@@ -188,7 +192,7 @@ def dfo_dates(spark, sf) -> DataFrame:
 
 
 def viirs_dates(spark, sf) -> DataFrame:
-    at = F.when(F.col("p_partkey") % 8 == 1, day("2024-01-09")).otherwise(day("2023-12-20"))
+    at = F.when(F.col("p_partkey") % 2 == 1, day("2024-01-09")).otherwise(day("2023-12-20"))
     return _viirs(table(spark, sf, "part")).select(at.alias("run_date"), *VIIRS_COLUMNS)
 
 

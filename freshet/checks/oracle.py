@@ -68,23 +68,23 @@ SELECT {RUN} AS run_ts, o_orderkey AS point_no, o_custkey AS pfaf_id, ((o_orderk
  ((o_orderkey * 5) % 104)::DOUBLE AS glofas_5yr, ((o_orderkey * 11) % 105)::DOUBLE AS glofas_20yr,
  CASE WHEN o_orderkey % 41 = 0 THEN 4 ELSE (o_orderkey % 4)::INTEGER END AS alert_level,
  (1 + o_orderkey % 33)::INTEGER AS days_until_peak
-FROM orders WHERE o_orderpriority = '1-URGENT'"""
+FROM orders"""
 
 
 def _gfms(source: str, keys: str) -> str:
     return f"""
-SELECT {keys}, l_partkey AS pfaf_id, round(sum(l_quantity) * 20e0, 9) AS gfms_totalarea_km,
- round(sum(l_quantity) / 20e0, 9) AS gfms_perc_area, round(avg(l_discount) * 200e0, 9) AS gfms_meandepth,
- round(max(l_discount) * 1000e0, 9) AS gfms_maxdepth, (3 * count(*))::INTEGER AS gfms_duration
-FROM {source} WHERE l_returnflag = 'R' AND l_partkey % 5 <> 0 GROUP BY ALL"""
+SELECT {keys}, l_partkey + 40 AS pfaf_id, round(sum(l_quantity) * 7e0, 9) AS gfms_totalarea_km,
+ round(sum(l_quantity) / 60e0, 9) AS gfms_perc_area, round(avg(l_discount) * 200e0, 9) AS gfms_meandepth,
+ round(max(l_discount) * 1000e0, 9) AS gfms_maxdepth, count(*)::INTEGER AS gfms_duration
+FROM {source} GROUP BY ALL"""
 
 
 def _hwrf(source: str, keys: str) -> str:
     return f"""
-SELECT {keys}, l_partkey AS pfaf_id, round(sum(l_quantity) * 40e0, 9) AS rain_totalarea_km,
+SELECT {keys}, l_partkey + 70 AS pfaf_id, round(sum(l_quantity) * 13e0, 9) AS rain_totalarea_km,
  round(avg(l_quantity) * 1.5e0, 9) AS perc_area, round((avg(l_tax) * 100e0 - 2e0) * 3e0, 9) AS meanrain,
  round((avg(l_extendedprice) - 20000e0) / 3000e0, 9) AS maxrain
-FROM {source} WHERE l_returnflag = 'A' AND l_partkey % 3 = 2 GROUP BY ALL"""
+FROM {source} GROUP BY ALL"""
 
 
 CTES["f_gfms"] = _gfms("lineitem", f"{RUN} AS run_ts")
@@ -93,17 +93,17 @@ CTES["f_hwrf"] = _hwrf("lineitem", f"{RUN} AS run_ts")
 
 def _dfo(date: str) -> str:
     return f"""
-SELECT {date} AS run_date, p_partkey AS pfaf_id, p_size * 1e0 AS d1_area, p_size / 50e0 AS d1_perc,
+SELECT {date} AS run_date, p_partkey + 20 AS pfaf_id, p_size * 1e0 AS d1_area, p_size / 50e0 AS d1_perc,
  p_size * 30e0 AS d1cs_area, p_size / 4e0 AS d1cs_perc, p_size * 20e0 AS d2_area, p_size / 5e0 AS d2_perc,
  p_size * 10e0 AS d3_area, p_size / 10e0 AS d3_perc
-FROM part WHERE p_partkey % 3 = 0"""
+FROM part"""
 
 
 def _viirs(date: str) -> str:
     return f"""
-SELECT {date} AS run_date, p_partkey AS pfaf_id, p_size * 25e0 AS oneday_flood_area_km, p_size / 6e0 AS oneday_perc_area,
+SELECT {date} AS run_date, p_partkey + 90 AS pfaf_id, p_size * 25e0 AS oneday_flood_area_km, p_size / 6e0 AS oneday_perc_area,
  p_size * 40e0 AS fiveday_flood_area_km, p_size / 3e0 AS fiveday_perc_area
-FROM part WHERE p_partkey % 4 = 1"""
+FROM part"""
 
 
 CTES["f_dfo"] = _dfo(DAY)
@@ -111,14 +111,15 @@ CTES["f_viirs"] = _viirs(DAY)
 
 CTES["f_slots"] = """
 SELECT *, TIMESTAMP '2024-01-10 00:00:00' + to_hours((l_linenumber % 4) * 6) AS run_ts FROM lineitem"""
+CTES["f_slots3"] = """
+SELECT *, TIMESTAMP '2024-01-10 00:00:00' + to_hours((l_linenumber % 3) * 6) AS run_ts FROM lineitem"""
 CTES["f_gfms_runs"] = _gfms("f_slots", "run_ts")
-CTES["f_hwrf_runs_all"] = _hwrf("f_slots", "run_ts")
-CTES["f_hwrf_runs"] = "SELECT * FROM f_hwrf_runs_all WHERE hour(run_ts) <> 18"
+CTES["f_hwrf_runs"] = _hwrf("f_slots3", "run_ts")
 CTES["f_station_runs"] = """
 SELECT * REPLACE (CASE WHEN point_no % 3 = 0 THEN TIMESTAMP '2024-01-09 00:00:00'
  ELSE TIMESTAMP '2024-01-10 00:00:00' END AS run_ts) FROM f_stations"""
 CTES["f_dfo_dates"] = _dfo("CASE WHEN p_partkey % 2 = 0 THEN DATE '2024-01-10' ELSE DATE '2024-01-08' END")
-CTES["f_viirs_dates"] = _viirs("CASE WHEN p_partkey % 8 = 1 THEN DATE '2024-01-09' ELSE DATE '2023-12-20' END")
+CTES["f_viirs_dates"] = _viirs("CASE WHEN p_partkey % 2 = 1 THEN DATE '2024-01-09' ELSE DATE '2023-12-20' END")
 
 CTES["f_bins3"] = "SELECT *, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2000-01-01') AS run_ts FROM events"
 CTES["f_bins6"] = "SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') AS run_ts FROM events"
@@ -333,6 +334,8 @@ def select(cols: list[str], source: str) -> str:
 
 
 QUERIES["score_gfms"] = select(["run_ts", "pfaf_id", *GFMS, "gfms_score"], "s_gfms")
+CTES["s_gfms_table"] = re.sub(r"/ (\d+)e0", lambda m: f"/ {int(m[1]) / 2}e0", scored_gfms("f_gfms")).replace("1e0 *", "2e0 *").replace("> 10 THEN 10e0", "> 20 THEN 20e0")
+QUERIES["score_gfms_weights"] = select(["run_ts", "pfaf_id", *GFMS, "gfms_score"], "s_gfms_table")
 QUERIES["score_hwrf"] = select(["run_ts", "pfaf_id", *HWRF], "s_hwrf")
 QUERIES["score_dfo"] = select(["run_date", "pfaf_id", *DFO_RAW, *DFO_PARTS, "dfo_total"], "s_dfo_all WHERE dfo_total > 0.1e0")
 QUERIES["score_viirs"] = select(["run_date", "pfaf_id", *VIIRS_RAW, *VIIRS_PARTS, "viirs_total"], "s_viirs_all WHERE viirs_total > 0.1e0")
@@ -442,11 +445,11 @@ CTES["m_map"] = "SELECT * FROM m_seen WHERE dfo_date IS NOT NULL AND viirs_date
 CTES["m_st"] = """
 SELECT m.run_ts, s.* EXCLUDE (run_ts) FROM f_station_runs s JOIN m_map m ON s.run_ts::DATE =
  CASE WHEN m.run_ts::DATE IN (SELECT run_ts::DATE FROM f_station_runs) THEN m.run_ts::DATE
- ELSE (SELECT max(run_ts::DATE) FROM f_station_runs) END"""
+ ELSE (SELECT max(run_ts::DATE) FROM f_station_runs x WHERE x.run_ts::DATE <= m.run_ts::DATE) END"""
 CTES["m_hw"] = """
 SELECT m.run_ts, h.* EXCLUDE (run_ts) FROM f_hwrf_runs h JOIN m_map m ON h.run_ts =
  CASE WHEN m.run_ts IN (SELECT run_ts FROM f_hwrf_runs) THEN m.run_ts
- WHEN abs(date_diff('hour', m.run_ts, (SELECT max(run_ts) FROM f_hwrf_runs))) <= 6 THEN (SELECT max(run_ts) FROM f_hwrf_runs) END"""
+ ELSE (SELECT max(run_ts) FROM f_hwrf_runs x WHERE x.run_ts <= m.run_ts AND x.run_ts >= m.run_ts - INTERVAL 6 HOUR) END"""
 CTES["m_gf"] = "SELECT g.* FROM f_gfms_runs g WHERE g.run_ts IN (SELECT run_ts FROM m_map)"
 CTES["m_df"] = "SELECT m.run_ts, d.* EXCLUDE (run_date) FROM f_dfo_dates d JOIN m_map m ON d.run_date = m.dfo_date"
 CTES["m_vi"] = "SELECT m.run_ts, v.* EXCLUDE (run_date) FROM f_viirs_dates v JOIN m_map m ON v.run_date = m.viirs_date"
@@ -561,11 +564,11 @@ def _asof(dates: str) -> str:
 QUERIES["asof_latest"] = f"SELECT run_ts, {_asof('f_click_dates')} AS dfo_date, {_asof('f_view_dates')} AS viirs_date, {_asof('f_sparse_dates')} AS rare_date FROM f_runs r"
 QUERIES["observation_runs"] = f"SELECT * FROM (SELECT run_ts, {_asof('f_sparse_dates')} AS dfo_date, {_asof('f_view_dates')} AS viirs_date FROM f_runs r) WHERE dfo_date IS NOT NULL AND viirs_date IS NOT NULL"
 QUERIES["latest_within"] = """
-SELECT r.run_ts, coalesce(s.run_ts, CASE WHEN abs(date_diff('hour', r.run_ts, m.top)) <= 6 THEN m.top END) AS source_ts
-FROM f_runs r LEFT JOIN f_storms s ON r.run_ts = s.run_ts, (SELECT max(run_ts) AS top FROM f_storms) m"""
+SELECT r.run_ts, CASE WHEN date_diff('hour', s.run_ts, r.run_ts) <= 6 THEN s.run_ts END AS source_ts
+FROM f_runs r ASOF LEFT JOIN f_storms s ON r.run_ts >= s.run_ts"""
 QUERIES["latest_or"] = """
-SELECT r.run_ts, coalesce(d.run_date, m.top) AS source_date
-FROM f_runs r LEFT JOIN f_click_dates d ON r.run_ts::DATE = d.run_date, (SELECT max(run_date) AS top FROM f_click_dates) m"""
+SELECT r.run_ts, d.run_date AS source_date
+FROM (SELECT run_ts, run_ts::DATE AS day FROM f_runs) r ASOF LEFT JOIN f_click_dates d ON r.day >= d.run_date"""
 QUERIES["latest_n"] = "SELECT run_ts FROM f_runs ORDER BY run_ts DESC LIMIT 7"
 QUERIES["latest_n_per"] = f"SELECT run_ts, pfaf_id, {r6('hazard_score')}, alert FROM f_alerts QUALIFY row_number() OVER (PARTITION BY pfaf_id ORDER BY run_ts DESC) <= 5"
 QUERIES["pending_dates"] = "SELECT run_date FROM f_click_dates EXCEPT SELECT run_date FROM f_view_dates"
@@ -690,7 +693,7 @@ FROM z_fsum JOIN z_fdur USING (run_ts, pfaf_id)"""
 
 _PLACE = ["run_ts", "point_no", "station", "basin", "country", "alert_level", "days_until_peak"]
 _FLOATS = ["upstream_area", "lon", "lat", "glofas_2yr", "glofas_5yr", "glofas_20yr"]
-QUERIES["station_union"] = f"SELECT {plain(*_PLACE)}, {r6(*_FLOATS)} FROM f_raw_stations"
+QUERIES["station_union"] = f"SELECT {plain(*_PLACE)}, {r6(*_FLOATS)} FROM f_raw_stations WHERE point_no % 3 <> 0 OR run_ts < TIMESTAMP '2024-01-02 00:00:00'"
 QUERIES["probability_rescale"] = f"SELECT {plain(*_PLACE)}, {r6(*_FLOATS)} FROM f_rescaled"
 
 
@@ -724,6 +727,8 @@ SELECT 'data' AS kind, event_type AS product, max(ts::DATE) AS latest,
 FROM events GROUP BY event_type"""
 CTES["o_status"] = "SELECT kind, product, latest, days, CASE WHEN days < oldest THEN 'warning' ELSE 'normal' END AS status, counted FROM o_fresh WHERE oldest IS NOT NULL"
 QUERIES["freshness"] = "SELECT * FROM o_status"
+QUERIES["freshness_absent"] = """
+SELECT * FROM o_status UNION ALL SELECT 'data', 'refund', NULL, NULL, 'warning', true"""
 QUERIES["freshness_overall"] = "SELECT CASE WHEN coalesce(bool_or(counted AND status = 'warning'), false) THEN 'warning' ELSE 'normal' END AS status, count(*) AS products FROM o_status"
 _UP = "count(*) AS total, count(*) FILTER (status = 'UP') AS up, count(*) FILTER (status <> 'UP') AS down, round(count(*) FILTER (status = 'UP') * 100e0 / count(*) + 3e-10, 6) AS success_rate"
 QUERIES["uptime_summary"] = f"SELECT name, {_UP} FROM f_checks GROUP BY name"
@@ -733,7 +738,10 @@ QUERIES["uptime_latest"] = f"SELECT {_UP} FROM (SELECT name, arg_max(status, ts)
 
 QUERIES["read_summary"] = select([*_K, *GFMS[:5]], "f_gfms")
 QUERIES["read_pixels"] = "SELECT run_date, layer, row_no, col_no, value, tile::INTEGER AS tile FROM f_dfo_pixels WHERE layer IN ('d1', 'd2') AND run_date >= DATE '2024-01-02'"
-QUERIES["read_stations"] = f"SELECT run_ts, point_no, station, basin, country, {r6('upstream_area', 'lon', 'lat', 'glofas_2yr', 'glofas_5yr', 'glofas_20yr')}, alert_level, days_until_peak FROM (SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' AS run_ts) FROM f_raw_stations WHERE point_no % 3 <> 0)"
+QUERIES["read_stations"] = f"""
+SELECT run_ts, CASE WHEN point_no % 3 <> 0 THEN 'fixed' ELSE 'dynamic' END AS kind,
+ CASE WHEN run_ts < TIMESTAMP '2024-01-02 00:00:00' THEN 19 ELSE 18 END AS width, point_no, station, basin, country,
+ {r6('upstream_area', 'lon', 'lat', 'glofas_2yr', 'glofas_5yr', 'glofas_20yr')}, alert_level, days_until_peak FROM f_raw_stations"""
 QUERIES["read_rain_text"] = f"SELECT run_ts, {r6('lon', 'lat', 'z')} FROM (SELECT * FROM f_rain)"
 QUERIES["read_watersheds"] = "SELECT pfaf_id, area_km2, count(*) AS edges FROM f_sheds JOIN f_edges USING (pfaf_id) GROUP BY ALL"
 QUERIES["read_dimensions"] = f"SELECT pfaf_id, {r6(*[c for c in EXPOSED if c not in WHOLE])}, iso, admin0, admin1, admin_name, part::VARCHAR AS part, {r6('centroid_y')} FROM f_exposure JOIN f_centroids USING (pfaf_id)"
@@ -744,8 +752,13 @@ QUERIES["reprocess"] = f"SELECT run_ts, pfaf_id, round(CASE WHEN run_ts >= TIMES
 QUERIES["stream_summaries"] = QUERIES["read_summary"]
 QUERIES["stream_bins"] = """
 SELECT run_ts, pfaf_id, round(sum(value) + 3e-10, 6) + 0e0 AS total, count(*) AS n
-FROM (SELECT *, user_id % 10 AS pfaf_id FROM f_bins3)
-WHERE run_ts + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) GROUP BY run_ts, pfaf_id"""
+FROM (SELECT *, user_id % 10 AS pfaf_id FROM f_bins3) GROUP BY run_ts, pfaf_id"""
+QUERIES["stream_summaries_daily"] = f"SELECT run_date, pfaf_id, {r6(*VIIRS_RAW)} FROM f_viirs"
+QUERIES["stream_upsert"] = f"SELECT run_ts, pfaf_id, {rnd('hazard_score * CASE WHEN run_ts >= TIMESTAMP \'2024-01-20 00:00:00\' THEN 2 ELSE 1 END')} AS hazard_score, alert FROM f_alerts"
+QUERIES["merge_duplicates"] = f"""
+SELECT coalesce(g.run_ts, h.run_ts) AS run_ts, coalesce(g.pfaf_id, h.pfaf_id) AS pfaf_id, {r6('gfms_totalarea_km', 'rain_totalarea_km')}
+FROM f_gfms g FULL JOIN f_hwrf h ON g.pfaf_id = h.pfaf_id"""
+QUERIES["flood_duration_redelivered"] = QUERIES["flood_duration"]
 QUERIES["stream_flood_duration"] = QUERIES["flood_duration"]
 QUERIES["stream_alert_status"] = "SELECT run_ts, pfaf_id, alert, previous_alert, status FROM t_status"
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freshet import params as P_
 from freshet.checks import fixtures as X
 from freshet.functions import alerts as A
 from freshet.functions import dates as D
@@ -79,6 +80,19 @@ def score_viirs(spark, sf):
     return C.score_viirs(X.viirs_summary(spark, sf), U.MIN_TOTAL)
 
 
+@query
+def score_gfms_weights(spark, sf):
+    """Scores with a weight table read from a file: half the weights, twice the points."""
+    names, values = [], []
+    for part, p in zip(("area", "percarea", "meandepth", "maxdepth", "duration"), P_.GFMS.values(), strict=True):
+        ends = ("Min_pt", "max_pt") if part == "area" else ("Minpt", "Maxpt")
+        names += [f"GFMS_{part}_wt", *[f"GFMS_{part}_{e}" for e in ends]]
+        values += [p.wt / 2.0, p.mn * 2.0, p.mx * 2.0]
+    folder = work_folder(spark, "weights")
+    _write_text(spark.createDataFrame([values], names).coalesce(1), folder)
+    return C.score_gfms(X.gfms_summary(spark, sf), P_.table_weights("gfms", R.read_parameters(spark, folder)))
+
+
 @query
 def score_glofas(spark, sf):
     return C.score_glofas(S.validate_stations(X.stations(spark, sf))[0])
@@ -101,7 +115,10 @@ def station_average(spark, sf):
 
 @query
 def station_union(spark, sf):
-    return S.station_union(*X.raw_stations(spark, sf))
+    """The dynamic files of the second run have another width than the fixed ones; that run keeps its fixed stations."""
+    fixed, dynamic = X.raw_stations(spark, sf)
+    odd = F.when(F.col("run_ts") == X.ts("2024-01-02 00:00:00"), F.lit(18)).otherwise(F.lit(19))
+    return S.station_union(fixed.withColumn("width", F.lit(19)), dynamic.withColumn("width", odd))
 
 
 @query
@@ -273,6 +290,16 @@ def alerts_clean(spark, sf):
     return U.clean_alerts(alerts, X.exposure(spark, sf), with_flag=True)
 
 
+@query
+def merge_duplicates(spark, sf):
+    """The depth summary twice, the second time with other values, beside the storm summary."""
+    depth = X.gfms_summary(spark, sf).select(*U.KEYS, "gfms_totalarea_km")
+    again = depth.withColumn("gfms_totalarea_km", F.col("gfms_totalarea_km") - 1.0)
+    storm = X.hwrf_summary(spark, sf).select(*U.KEYS, "rain_totalarea_km")
+    merged = U.merge_sources({"depth": again.union(depth), "storm": storm})
+    return merged.select(*U.KEYS, "depth.gfms_totalarea_km", "storm.rain_totalarea_km")
+
+
 @query
 def alert_codes(spark, sf):
     code = A.alert_code(F.col("alert"))
@@ -307,6 +334,14 @@ def flood_duration_carry(spark, sf):
     return W.flood_duration(series.where(F.col("run_ts") >= cut), carry=W.last_durations(first), block_days=4)
 
 
+@query
+def flood_duration_redelivered(spark, sf):
+    """Every step twice, the second time with a smaller area."""
+    series = X.gfms_series(spark, sf)
+    again = series.withColumn("gfms_totalarea_km", F.col("gfms_totalarea_km") / 2.0)
+    return W.flood_duration(series.union(again), block_days=4)
+
+
 @query
 def flood_duration_gaps(spark, sf):
     return W.flood_duration(X.gfms_series(spark, sf).where(F.col("gfms_totalarea_km") > 0), block_days=2)
@@ -418,8 +453,7 @@ def zonal_dfo(spark, sf):
 
 @query
 def merge_dfo_layers(spark, sf):
-    layers = Z.dfo_layers(X.dfo_pixels(spark, sf), X.watersheds(spark, sf), X.GRID)
-    return U.merge_dfo_layers(layers.where(F.col("area") > 0))
+    return U.merge_dfo_layers(Z.dfo_layers(X.dfo_pixels(spark, sf), X.watersheds(spark, sf), X.GRID, keep_empty=False))
 
 
 @query
@@ -499,6 +533,13 @@ def freshness(spark, sf):
     return M.freshness(X.product_runs(spark, sf), X.ts(X.NOW), X.EVENT_LIMITS)
 
 
+@query
+def freshness_absent(spark, sf):
+    """A product that never came is late."""
+    limits = [*X.EVENT_LIMITS, ("data", "refund", -1, True)]
+    return M.freshness(X.product_runs(spark, sf), X.ts(X.NOW), limits)
+
+
 @query
 def freshness_overall(spark, sf):
     return M.overall_freshness(M.freshness(X.product_runs(spark, sf), X.ts(X.NOW), X.EVENT_LIMITS))
@@ -528,43 +569,41 @@ def _summary_files(spark, sf) -> str:
     return _write_text(summary, work_folder(spark, "summary") + "/depth_2024010118")
 
 
-def _stamped(df: DataFrame, folder: str) -> DataFrame:
-    """Spark names its part files itself, so the run time of a folder's files is taken from the folder."""
-    stamp = D.run_ts_from_path(F.lit(folder))
-    return df.withColumn("run_ts", stamp)
-
-
 @query
 def read_summary(spark, sf):
-    folder = _summary_files(spark, sf)
-    return _stamped(R.read_summary(spark, folder, "gfms"), folder)
+    return R.read_summary(spark, _summary_files(spark, sf), "gfms")
 
 
 @query
 def read_stations(spark, sf):
-    fixed, _ = X.raw_stations(spark, sf)
-    layout = R.S.STATION_LAYOUTS["fixed", 19]
-    cols = [F.col(n) if n in fixed.columns else F.lit("x").alias(n) for n in layout.fieldNames()]
-    folder = work_folder(spark, "stations") + "/points_2024010100"
-    _write_text(fixed.select(*cols), folder, header=False)
-    keep = ["run_ts", "point_no", "station", "basin", "country", "upstream_area", "lon", "lat", "glofas_2yr", "glofas_5yr",
-            "glofas_20yr", "alert_level", "days_until_peak"]
-    return _stamped(R.read_stations(spark, folder, "fixed"), folder).select(*keep)
+    """Fixed and dynamic files of two runs, those of the second run one column slimmer."""
+    read = []
+    for kind, stations in zip(("fixed", "dynamic"), X.raw_stations(spark, sf), strict=True):
+        folder = work_folder(spark, "stations")
+        for day, width in (("2024-01-01", 19), ("2024-01-02", 18)):
+            layout = R.S.STATION_LAYOUTS[kind, width].fieldNames()
+            cols = [F.col(n) if n in stations.columns else F.lit("x, y").alias(n) for n in layout]
+            mine = stations.where(F.to_date("run_ts") == X.day(day)).select(*cols)
+            _write_text(mine, f"{folder}/points_{day.replace('-', '')}00", header=False)
+        read.append(R.read_stations(spark, f"{folder}/*", kind).withColumn("kind", F.lit(kind)))
+    keep = ["run_ts", "kind", "width", "point_no", "station", "basin", "country", "upstream_area", "lon", "lat", "glofas_2yr",
+            "glofas_5yr", "glofas_20yr", "alert_level", "days_until_peak"]
+    return read[0].select(*keep).union(read[1].select(*keep))
 
 
 @query
 def read_rain_text(spark, sf):
     """Readings of all storms as text lines, one box line per file."""
     rain = X.rain(spark, sf)
-    folder = work_folder(spark, "rain") + "/rain_2024010106"
+    folder = work_folder(spark, "rain")
     head = F.lit("-180.0 180.0 -90.0 90.0 0.1 1800 3600")
     line = F.concat_ws(" ", F.col("lat").cast("string"), F.col("lon").cast("string"), F.col("z").cast("string"))
     body = rain.select(F.col("source"), line.alias("value"))
     heads = rain.select("source").distinct().withColumn("value", head)
-    # One file per storm: its few readings and its box line.
-    body.union(heads).repartition(4, "source").write.partitionBy("source").text(folder)
-    read = R.read_rain_text(spark, folder + "/*")
-    return _stamped(read, folder).select("run_ts", "lon", "lat", "z")
+    # One file per storm, in a folder named by storm and run: its few readings and its box line.
+    stamped = F.concat("source", F.lit("_2024010106"))
+    body.union(heads).withColumn("source", stamped).repartition(4, "source").write.partitionBy("source").text(folder)
+    return R.read_rain_text(spark, folder + "/*").select("run_ts", "lon", "lat", "z")
 
 
 @query
@@ -600,7 +639,7 @@ def read_dimensions(spark, sf):
 def write_product_csv(spark, sf):
     folder = work_folder(spark, "product") + "/depth_2024010118"
     K.write_product(X.gfms_summary(spark, sf).select(R.S.GFMS_SUMMARY.fieldNames()), folder, "csv", "windows-1252")
-    return _stamped(R.read_summary(spark, folder, "gfms"), folder)
+    return R.read_summary(spark, folder, "gfms")
 
 
 @query
@@ -650,13 +689,43 @@ def _streamed(spark, source: DataFrame, twin: Callable[[DataFrame], DataFrame],
 def stream_summaries(spark, sf):
     folder, out = _summary_files(spark, sf), work_folder(spark, "stream_summaries")
     ST.run_available(ST.stream_summaries(spark, folder, "gfms"), out + "/out", out + "/state")
-    return _stamped(spark.read.parquet(out + "/out"), folder)
+    return spark.read.parquet(out + "/out")
+
+
+@query
+def stream_summaries_daily(spark, sf):
+    """Files of a daily product; they have a date instead of a run time."""
+    names = ["row_index", *X.VIIRS_COLUMNS]
+    summary = X.viirs_summary(spark, sf).withColumn("row_index", F.lit(0))
+    fields = [n for n in R.S.SUMMARIES["viirs"].fieldNames()]
+    folder, out = work_folder(spark, "daily") + "/VIIRS_Flood_20240101", work_folder(spark, "stream_daily")
+    _write_text(summary.select(*[n for n in fields if n in names]), folder)
+    ST.run_available(ST.stream_summaries(spark, folder, "viirs"), out + "/out", out + "/state")
+    return spark.read.parquet(out + "/out")
+
+
+@query
+def stream_upsert(spark, sf):
+    """A stream of runs that replaces their partitions, delivered again with corrected values."""
+    alerts, folder = _alert_table(spark, sf)
+    for turn in (1, 2):
+        part = alerts if turn == 1 else alerts.where(F.col("run_ts") >= X.ts("2024-01-20 00:00:00"))
+        source = work_folder(spark, "corrected")
+        part.withColumn("hazard_score", F.col("hazard_score") * turn).write.parquet(source)
+        stream = spark.readStream.schema(alerts.schema).parquet(source)
+        ST.upsert_available(stream, folder, ["run_ts"], source + "_state")
+    return spark.read.parquet(folder)
 
 
 @query
 def stream_bins(spark, sf):
     events = X.table(spark, sf, "events").select("ts", (F.col("user_id") % 10).alias("pfaf_id"), "value")
-    return _streamed(spark, events, lambda s: ST.stream_bins(s, lateness="0 seconds"), "stream_bins")
+    # A row a day later lets the watermark pass the last bin.
+    end = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
+        "ts", F.lit(-1).cast("long").alias("pfaf_id"), F.lit(0.0).alias("value")
+    )
+    out = _streamed(spark, events.union(end), lambda s: ST.stream_bins(s, lateness="0 seconds"), "stream_bins")
+    return out.where(F.col("pfaf_id") >= 0)
 
 
 @query

@@ -50,10 +50,13 @@ def date_from_text(text: Column) -> Column:
 
 
 def run_ts_from_path(path: Column) -> Column:
-    """Run time from the last eight- or ten-digit stamp of a path's file name (yyyyMMdd or yyyyMMddHH)."""
-    name = F.element_at(F.split(path, "/"), -1)
-    stamp = F.rpad(F.regexp_extract(name, r"(\d{8}(?:\d{2})?)", 1), 10, "0")
-    return F.try_to_timestamp(stamp, F.lit("yyyyMMddHH"))
+    """Run time from the eight- or ten-digit stamp of a path's file name (yyyyMMdd or yyyyMMddHH), NULL without one.
+
+    A stamp follows ``/``, ``_`` or ``.`` and ends with its digits. Part files, which the engine names itself, have the
+    stamp of their folder.
+    """
+    stamp = F.regexp_extract(path, r"[/_.](\d{8}(?:\d{2})?)(?!\d)[^/]*(?:/part-[^/]*)?$", 1)
+    return F.try_to_timestamp(F.rpad(stamp, 10, "0"), F.lit("yyyyMMddHH"))
 
 
 def is_ready(run_ts: Column, now: Column, hours: float = 6) -> Column:

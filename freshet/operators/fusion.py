@@ -20,7 +20,8 @@ def merge_sources(sources: dict[str, DataFrame], keys: tuple[str, ...] = KEYS) -
     """Full outer merge of any number of sources in one shuffle: the keys and one struct column per source, NULL where
     the source has no row.
 
-    Sources have unique keys. A chain of full outer joins would shuffle every intermediate result again, because such
+    Of several rows of a source with the same keys, as a file delivered twice has, the largest by its columns in their
+    order counts. A chain of full outer joins would shuffle every intermediate result again, because such
     a join gives up the partitioning of its keys. Here each source is packed into a struct, the sources are stacked and
     brought together by their keys once. Rows travel no wider than their own source, and the repartition in front
     keeps the aggregate from combining before the shuffle, where unique keys leave nothing to combine.
@@ -30,7 +31,7 @@ def merge_sources(sources: dict[str, DataFrame], keys: tuple[str, ...] = KEYS) -
         for name, df in sources.items()
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
-    return stacked.repartition(*keys).groupBy(*keys).agg(*[F.expr(f"any_value({n}, true) AS {n}") for n in sources])
+    return stacked.repartition(*keys).groupBy(*keys).agg(*[F.max(n).alias(n) for n in sources])
 
 
 def exposure(attributes: DataFrame, resilience: DataFrame) -> DataFrame:

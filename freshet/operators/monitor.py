@@ -10,22 +10,17 @@ from freshet.functions.dates import days_from
 
 
 def freshness(runs: DataFrame, now: Column, limits=None) -> DataFrame:
-    """Newest date, age in days and status of every product that has a limit.
+    """Newest date, age in days and status of every product that has a limit; one without any row is a warning.
 
     ``limits`` lists (kind, product, oldest allowed age, counts for the overall status).
     """
     limits = P.FRESHNESS_LIMITS if limits is None else limits
-    limit, counted = F.lit(None).cast("int"), F.lit(False)
-    for kind, product, age, counts in limits:
-        mine = (F.col("kind") == kind) & (F.col("product") == product)
-        limit = F.when(mine, F.lit(age)).otherwise(limit)
-        counted = F.when(mine, F.lit(counts)).otherwise(counted)
+    listed = runs.sparkSession.createDataFrame(limits, "kind string, product string, _limit int, counted boolean")
     newest = runs.groupBy("kind", "product").agg(F.max("run_date").alias("latest"))
-    return (
-        newest.withColumns({"_limit": limit, "counted": counted, "days": days_from(F.col("latest"), now)})
-        .where(F.col("_limit").isNotNull())
-        .withColumn("status", F.when(F.col("days") < F.col("_limit"), "warning").otherwise("normal"))
-        .select("kind", "product", "latest", "days", "status", "counted")
+    joined = listed.join(newest, ["kind", "product"], "left").withColumn("days", days_from(F.col("latest"), now))
+    fine = F.col("days") >= F.col("_limit")
+    return joined.withColumn("status", F.when(fine, "normal").otherwise("warning")).select(
+        "kind", "product", "latest", "days", "status", "counted"
     )
 
 

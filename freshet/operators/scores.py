@@ -23,12 +23,13 @@ def _total(names: list[str]):
     return total
 
 
-def score_gfms(summary: DataFrame) -> DataFrame:
-    """Depth summary -> five part scores and ``gfms_score``."""
+def score_gfms(summary: DataFrame, weights: dict | None = None) -> DataFrame:
+    """Depth summary -> five part scores and ``gfms_score``; ``weights`` as from ``params.table_weights``."""
+    weights = weights or P.GFMS
     sources = ["gfms_totalarea_km", "gfms_perc_area", "gfms_meandepth", "gfms_maxdepth", "gfms_duration"]
     parts = {
         name: capped_score(F.col(c).cast("double"), p)
-        for name, c, p in zip(GFMS_PARTS, sources, P.GFMS.values(), strict=True)
+        for name, c, p in zip(GFMS_PARTS, sources, weights.values(), strict=True)
     }
     return clean(summary).withColumns(parts).withColumn("gfms_score", _total(GFMS_PARTS))
 
@@ -46,42 +47,41 @@ def score_glofas(stations: DataFrame) -> DataFrame:
     return df.withColumns(parts).withColumn("glofas_score", _total(GLOFAS_PARTS))
 
 
-def score_hwrf(summary: DataFrame) -> DataFrame:
+def score_hwrf(summary: DataFrame, weights: dict | None = None) -> DataFrame:
     """Storm rain summary -> four part scores and ``hwrf_total``."""
+    weights = weights or P.HWRF
     return (
         clean(summary)
         .withColumns(
             {
-                "hwrf_area_score": capped_score(F.col("rain_totalarea_km"), P.HWRF["area"]),
-                "hwrf_percarea_score": capped_score(F.col("perc_area"), P.HWRF["perc"]),
-                "meanrain_score": step_score(F.col("meanrain"), P.HWRF["meanrain"]),
-                "maxrain_score": step_score(F.col("maxrain"), P.HWRF["maxrain"]),
+                "hwrf_area_score": capped_score(F.col("rain_totalarea_km"), weights["area"]),
+                "hwrf_percarea_score": capped_score(F.col("perc_area"), weights["perc"]),
+                "meanrain_score": step_score(F.col("meanrain"), weights["meanrain"]),
+                "maxrain_score": step_score(F.col("maxrain"), weights["maxrain"]),
             }
         )
         .withColumn("hwrf_total", _total(HWRF_PARTS) * F.lit(P.HWRF_FACTOR))
     )
 
 
-def score_dfo(summary: DataFrame, min_total: float | None = None) -> DataFrame:
+def score_dfo(summary: DataFrame, min_total: float | None = None, weights: dict | None = None) -> DataFrame:
     """Observed water summary -> six part scores and ``dfo_total``; the one-day layer scored is the cloud-shadow one.
 
     ``min_total`` keeps only rows above it.
     """
-    parts = {}
-    for day, layer in zip(P.DFO_DAYS, ("d1cs", "d2", "d3"), strict=True):
-        mult = P.DFO_DAYS[day]
-        parts[f"dfo_area_{day}_score"] = capped_score(F.col(f"{layer}_area"), P.DFO["area"], mult)
-        parts[f"dfo_perc_area_{day}_score"] = capped_score(F.col(f"{layer}_perc"), P.DFO["perc"], mult)
+    weights, parts = weights or P.DFO | {"days": P.DFO_DAYS}, {}
+    for (day, mult), layer in zip(weights["days"].items(), ("d1cs", "d2", "d3"), strict=True):
+        parts[f"dfo_area_{day}_score"] = capped_score(F.col(f"{layer}_area"), weights["area"], mult)
+        parts[f"dfo_perc_area_{day}_score"] = capped_score(F.col(f"{layer}_perc"), weights["perc"], mult)
     df = clean(summary).withColumns(parts).withColumn("dfo_total", _total(DFO_PARTS))
     return df if min_total is None else df.where(F.col("dfo_total") > F.lit(min_total))
 
 
-def score_viirs(summary: DataFrame, min_total: float | None = None) -> DataFrame:
+def score_viirs(summary: DataFrame, min_total: float | None = None, weights: dict | None = None) -> DataFrame:
     """Flood composite summary -> four part scores and ``viirs_total``."""
-    parts = {}
-    for day, layer in zip(P.VIIRS_DAYS, ("oneday", "fiveday"), strict=True):
-        mult = P.VIIRS_DAYS[day]
-        parts[f"viirs_area_{day}_score"] = capped_score(F.col(f"{layer}_flood_area_km"), P.VIIRS["area"], mult)
-        parts[f"viirs_perc_area_{day}_score"] = capped_score(F.col(f"{layer}_perc_area"), P.VIIRS["perc"], mult)
+    weights, parts = weights or P.VIIRS | {"days": P.VIIRS_DAYS}, {}
+    for (day, mult), layer in zip(weights["days"].items(), ("oneday", "fiveday"), strict=True):
+        parts[f"viirs_area_{day}_score"] = capped_score(F.col(f"{layer}_flood_area_km"), weights["area"], mult)
+        parts[f"viirs_perc_area_{day}_score"] = capped_score(F.col(f"{layer}_perc_area"), weights["perc"], mult)
     df = clean(summary).withColumns(parts).withColumn("viirs_total", _total(VIIRS_PARTS))
     return df if min_total is None else df.where(F.col("viirs_total") > F.lit(min_total))

@@ -13,7 +13,8 @@ from freshet.session import small_side, stored
 BUCKET = 256
 # Spans up to this number are broadcast, some hundred megabytes on an executor; the depth and rain grids have fewer.
 SPAN_ROWS = 2_000_000
-COVER_ROWS = 100_000
+# Edges of all cover rows together, some forty bytes each.
+COVER_EDGES = 1_000_000
 
 
 def _closed_edges(ring: Column) -> Column:
@@ -184,7 +185,7 @@ def points_in_watersheds(points: DataFrame, watersheds: DataFrame, cell: float =
     crossings = F.aggregate("edges", F.lit(0), lambda acc, e: acc + crosses(e))
     located = points.withColumns({"_cx": floor_cell(x), "_cy": floor_cell(y)})
     return (
-        located.join(small_side(stored(cover, "cover"), COVER_ROWS), ["_cx", "_cy"])
+        located.join(small_side(stored(cover, "cover"), COVER_EDGES, F.size("edges") + 1), ["_cx", "_cy"])
         .where((crossings % 2 == 1) & ~F.exists("edges", touches))
         .drop("_cx", "_cy", "edges")
     )

@@ -51,10 +51,15 @@ def normalize_probability(stations: DataFrame, scope: str = "run_ts") -> DataFra
 
 
 def station_union(fixed: DataFrame, dynamic: DataFrame) -> DataFrame:
-    """All stations by column name; a dynamic set of another width is ignored."""
-    if len(fixed.columns) != len(dynamic.columns):
-        return fixed
-    return fixed.unionByName(dynamic)
+    """All stations by column name; the dynamic set of a run is ignored if its files have another ``width`` than the fixed
+    ones of that run. Sets without the column must have equally many columns, else the dynamic set is ignored.
+    """
+    if "width" not in fixed.columns or "width" not in dynamic.columns:
+        return fixed.unionByName(dynamic) if len(fixed.columns) == len(dynamic.columns) else fixed
+    mine = fixed.groupBy("run_ts").agg(F.max("width").alias("_mine"))
+    both = dynamic.groupBy("run_ts").agg(F.max("width").alias("_other")).join(mine, "run_ts")
+    odd = stored(both.where("_mine <> _other").select("run_ts"), "odd_runs")
+    return fixed.unionByName(dynamic.join(odd, "run_ts", "left_anti")).drop("width")
 
 
 def station_output(stations: DataFrame, forecast_ts: str = "run_ts") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from freshet.functions.alerts import alert_code, alert_status
 from freshet.functions.dates import is_ready
 from freshet.functions.numeric import nan_to_null
+from freshet.session import stored
 
 HOUR = 3600
 
@@ -36,6 +37,8 @@ def flood_duration(
     The series of a watershed is cut into blocks of ``block_days``. Streaks are counted inside the blocks, the blocks'
     closing streaks are chained per watershed (one row per block), and the streak that enters a block is added to its
     leading rows. No task ever holds more than one block of a watershed, however long its series is.
+
+    A step that was delivered more than once counts once, with its largest area.
     """
     step = F.lit(float(step_hours))
     gap = F.lit(float(max_gap_hours) * HOUR)
@@ -43,6 +46,9 @@ def flood_duration(
     rows = summary.withColumn("_wet", wet).withColumn(
         "_block", F.floor(_unix("run_ts") / F.lit(block_days * 86400))
     )
+    # One exchange serves the choice among repeated steps, the streaks and the blocks.
+    again = Window.partitionBy("pfaf_id", "_block", "run_ts").orderBy(F.col(area).desc_nulls_last())
+    rows = rows.repartition("pfaf_id", "_block").withColumn("_nth", F.row_number().over(again)).where("_nth = 1").drop("_nth")
     inside = Window.partitionBy("pfaf_id", "_block").orderBy("run_ts")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     late = _unix("run_ts") - _unix(F.lag("run_ts").over(inside)) > gap
@@ -122,27 +128,46 @@ def asof_latest(
     return distinct_runs.join(served, "_day", "left").groupBy("run_ts").agg(F.max(F.when(early, F.col(out))).alias(out))
 
 
-def _exact_or_latest(runs: DataFrame, sources: DataFrame, key: Column, name: str, out: str, keep) -> DataFrame:
-    known = sources.select(F.col(name).alias(out)).distinct()
-    latest = sources.select(F.max(name)).scalar()
-    wanted = runs.select("run_ts").distinct().withColumn("_want", key)
-    joined = wanted.join(known, F.col("_want") == F.col(out), "left")
-    fallback = F.when(keep(latest), latest) if keep else latest
-    return joined.select("run_ts", F.coalesce(F.col(out), fallback).alias(out))
+def _exact_or_latest(
+    runs: DataFrame, sources: DataFrame, key: Column, name: str, out: str, keep, look_ahead: bool
+) -> DataFrame:
+    """The source at ``key``, else the newest one before it, or the newest of all with ``look_ahead``.
 
+    Works on inventories: one row per run and per source time, however large the products are.
+    """
+    known = sources.select(F.col(name).alias(out)).where(F.col(out).isNotNull()).distinct()
+    wanted = runs.select("run_ts").distinct().withColumn("_want", key)
+    if look_ahead:
+        latest = sources.select(F.max(name)).scalar()
+        joined = wanted.join(known, F.col("_want") == F.col(out), "left")
+        fallback = F.when(keep(latest), latest) if keep else latest
+        return joined.select("run_ts", F.coalesce(F.col(out), fallback).alias(out))
+    times = known.select(F.col(out).alias("_want"), F.col(out), F.lit(None).cast("timestamp").alias("run_ts"))
+    upto = Window.orderBy("_want", F.col("run_ts").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = times.unionByName(wanted, allowMissingColumns=True).withColumn(out, F.last(out, ignorenulls=True).over(upto))
+    found = found.where(F.col("run_ts").isNotNull())
+    value = F.when(keep(F.col(out)), F.col(out)) if keep else F.col(out)
+    return found.select("run_ts", value.alias(out))
+
+
+def latest_within(
+    runs: DataFrame, sources: DataFrame, hours: int = 6, out: str = "source_ts", look_ahead: bool = False
+) -> DataFrame:
+    """The source of the same time, else the newest earlier source when it is within ``hours`` of the run, else NULL.
 
-def latest_within(runs: DataFrame, sources: DataFrame, hours: int = 6, out: str = "source_ts") -> DataFrame:
-    """The source of the same time, else the newest source when it is within ``hours`` of the run, else NULL."""
+    ``look_ahead`` takes the newest source of all instead, also one after the run: right for a run computed now, but it
+    changes the past whenever a source arrives.
+    """
 
     def near(latest: Column) -> Column:
         return F.abs(((_unix("run_ts") - _unix(latest)) / F.lit(HOUR)).cast("int")) <= hours
 
-    return _exact_or_latest(runs, sources, F.col("run_ts"), "run_ts", out, near)
+    return _exact_or_latest(runs, sources, F.col("run_ts"), "run_ts", out, near, look_ahead)
 
 
-def latest_or(runs: DataFrame, dates: DataFrame, out: str = "source_date") -> DataFrame:
-    """The source of the run's date, else the newest date there is."""
-    return _exact_or_latest(runs, dates, F.to_date("run_ts"), "run_date", out, None)
+def latest_or(runs: DataFrame, dates: DataFrame, out: str = "source_date", look_ahead: bool = False) -> DataFrame:
+    """The source of the run's date, else the newest date before it; ``look_ahead`` as in ``latest_within``."""
+    return _exact_or_latest(runs, dates, F.to_date("run_ts"), "run_date", out, None, look_ahead)
 
 
 def latest_n(df: DataFrame, by: str = "run_ts", n: int = 7) -> DataFrame:
@@ -174,8 +199,10 @@ def ready_runs(runs: DataFrame, now: Column, hours: float = 6) -> DataFrame:
 def day_over_day(alerts: DataFrame, require_previous_run: bool = True) -> DataFrame:
     """Alert rows with the alert of exactly one day before and the status.
 
-    A run without any row one day before is left out as a whole, unless ``require_previous_run`` is False.
+    A run without any row one day before is left out as a whole, unless ``require_previous_run`` is False. The alerts are
+    used three times, so they are stored once.
     """
+    alerts = stored(alerts, "alerts")
     day = F.expr("INTERVAL 1 DAY")
     previous = alerts.select("pfaf_id", (F.col("run_ts") + day).alias("run_ts"), F.col("alert").alias("previous_alert"))
     joined = alerts.join(previous, ["run_ts", "pfaf_id"], "left")

@@ -65,3 +65,24 @@ FRESHNESS_LIMITS = [
     ("alert", "DFO", -2, True),
     ("alert", "VIIRS", -2, True),
 ]
+
+
+def table_weights(product: str, row: dict[str, float]) -> dict:
+    """Weights of ``gfms``, ``hwrf``, ``dfo`` or ``viirs`` from the row of a weight table, names in lower case.
+
+    The result takes the place of the constants above; day multipliers come under ``days``.
+    """
+    def capped(name: str, low: str = "minpt", high: str = "maxpt") -> Capped:
+        return Capped(row[f"{name}_wt"], row[f"{name}_{low}"], row[f"{name}_{high}"])
+
+    def step(name: str) -> Step:
+        return Step(row[f"{name}_minwt"], row[f"{name}_increment"], row[f"{name}_minpt"], row[f"{name}_maxpt"])
+
+    shared = {"area": capped(f"{product}_area", "min_pt", "max_pt"), "perc": capped(f"{product}_percarea")}
+    if product == "gfms":
+        return shared | {n: capped(f"gfms_{n}") for n in ("meandepth", "maxdepth", "duration")}
+    if product == "hwrf":
+        return shared | {n: step(f"hwrf_{n}") for n in ("meanrain", "maxrain")}
+    words = {"1day": "one", "2day": "two", "3day": "three", "5day": "five"}
+    days = DFO_DAYS if product == "dfo" else VIIRS_DAYS
+    return shared | {"days": {d: row[f"{words[d]}_day_multiplier"] for d in days}}

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Used where the session says nothing; a cluster's own settings win.
@@ -67,12 +67,12 @@ def stored(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a stored join side for broadcast after counting that it is small; a larger one goes through a shuffled join.
+def small_side(df: DataFrame, most: int, size: Column | None = None) -> DataFrame:
+    """Mark a stored join side for broadcast when it is small; a larger one goes through a shuffled join.
 
-    For sides bounded by polygons and grid that may exceed the planner's own limit and yet are worth a broadcast,
-    because the other side is huge and has not been shuffled. The count stops at ``max_rows + 1``.
+    For sides bounded by polygons and grid that may exceed the planner's own limit and yet are worth a broadcast, because
+    the other side is huge and has not been shuffled. ``size`` is what a row weighs, 1 by default; weights are added up where
+    the rows are.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df.hint("merge")
+    weight = df.count() if size is None else df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if weight <= most else df.hint("merge")

@@ -39,19 +39,38 @@ def read_parameters(spark: SparkSession, path: str) -> dict[str, float]:
     return {name.strip().lower(): float(value) for name, value in row.asDict().items()}
 
 
-def read_stations(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Headerless station CSV, ``kind`` fixed or dynamic, 18 or 19 columns by its first line.
+def read_stations(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+    """Headerless station CSV, ``kind`` fixed or dynamic; each file has 18 or 19 columns by its own first line.
 
-    Lines with too many fields are left out, short lines are filled up with NULL. The reader reports both with their
-    text, in which the fields are counted.
+    All files are read at once as text columns, and the names are given by file. Lines with more fields than their file's
+    first line are left out, short lines are filled up with NULL; fields are counted outside quotes. ``width`` has the
+    file's number of columns. The widths, one row per file, are stored so that their size is known to the join.
     """
-    first = spark.read.text(path).first()
-    width = len(first["value"].split(","))
-    wider = T.StructType([*S.STATION_LAYOUTS[kind, width].fields, T.StructField("_line", T.StringType())])
-    rows = spark.read.schema(wider).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
-    fields = F.size(F.split(F.regexp_replace("_line", '"[^"]*"', ""), ","))
-    rows = rows.where(F.col("_line").isNull() | (fields <= width)).drop("_line")
-    return clean(rows.withColumn("run_ts", run_ts_from_path(F.col("_metadata.file_path"))))
+    names = [f"c{i}" for i in range(20)]
+    raw = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_line")])
+    # A pruned line would be taken for complete.
+    reader = spark.read.schema(raw).option("columnPruning", False).option("columnNameOfCorruptRecord", "_line")
+    def count(line: str):
+        return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ","))
+
+    # Places of lines grow within a file, which may be read in several blocks.
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), place.alias("_at"), count("value").alias("_fields"))
+    widths = stored(lines.groupBy("_file").agg(F.min_by("_fields", "_at").alias("width")), "widths")
+    # A line of other than twenty fields comes with its text.
+    fields = F.coalesce(count("_line"), F.lit(20))
+    rows = reader.csv(path).select(*names, fields.alias("_fields"), F.col("_metadata.file_path").alias("_file"))
+    rows = rows.join(widths, "_file").where(F.col("_fields") <= F.col("width"))
+    wide, slim = S.STATION_LAYOUTS[kind, 19], S.STATION_LAYOUTS[kind, 18].fieldNames()
+
+    def value(i: int, field: T.StructField):
+        other = F.col(f"c{slim.index(field.name)}") if field.name in slim else F.lit(None).cast("string")
+        known = F.when(F.col("width") == 19, F.col(f"c{i}")).when(F.col("width") == 18, other)
+        bad = F.raise_error(F.concat(F.lit("not a station file: "), F.col("_file"))).cast("string")
+        return known.otherwise(bad).try_cast(field.dataType).alias(field.name)
+
+    named = rows.select(*[value(i, f) for i, f in enumerate(wide.fields)], "width", run_ts_from_path(F.col("_file")).alias("run_ts"))
+    return clean(named)
 
 
 def read_float_grid(

@@ -24,6 +24,8 @@ def stream_summaries(spark: SparkSession, path: str, product: str, max_files: in
     """Stream of newly arrived summary CSV files; the checkpoint of the query remembers which were read."""
     reader = spark.readStream.schema(S.SUMMARIES[product]).option("header", True).option("maxFilesPerTrigger", max_files)
     raw = reader.csv(path).withColumn("run_ts", run_ts_from_path(F.col("_metadata.file_path")))
+    if product in ("dfo", "viirs"):
+        raw = raw.withColumn("run_date", F.to_date("run_ts")).drop("run_ts")
     return clean(raw.drop("row_index"))
 
 
@@ -92,6 +94,8 @@ def stream_flood_duration(
             at, hours = self.last.get() or (None, 0)
             out = []
             for u, a in ready:
+                if at is not None and u <= at:
+                    continue  # delivered again
                 linked = at is not None and u - at <= max_gap_hours * 3_600_000_000
                 hours = (step_hours + (hours if linked else 0)) if a > threshold else 0
                 at = u

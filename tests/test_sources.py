@@ -53,6 +53,17 @@ def test_stations_skip_long_and_pad_short_lines(spark, tmp_path):
     assert (dyn.station, dyn.basin, dyn.location, dyn.upstream_area, dyn.lat) == ("sta", "bas", "loc", 5.5, 20.5)
 
 
+def test_stations_have_the_layout_of_their_own_file(spark, tmp_path):
+    put(f"{tmp_path}/p_2024010100.txt", LINE19 + "\n")
+    put(f"{tmp_path}/p_2024010200.txt", LINE18.replace("a,sta", '"a, b",sta') + "\n" + LINE18 + ",more\n")
+    rows = {r.run_ts.day: r for r in R.read_stations(spark, str(tmp_path), "dynamic").collect()}
+    assert {d: (r.width, r.lon, r.lat, r.alert_level) for d, r in rows.items()} == {1: (19, 10.5, 20.5, 2), 2: (18, 10.5, 20.5, 2)}
+    assert rows[2].id == "a, b"
+    put(f"{tmp_path}/p_2024010300.txt", "1,2,3\n")
+    with pytest.raises(Exception, match="not a station file"):
+        R.read_stations(spark, str(tmp_path), "dynamic").collect()
+
+
 def test_float_grid(spark, tmp_path):
     grid = Grid("f", 0.0, 0.0, 1.0, 1.0, 130, 7)
     data = np.arange(130 * 7, dtype="<f4").reshape(130, 7)

@@ -98,11 +98,29 @@ def test_latest_within_and_or(spark):
     r = runs(spark, at(0), at(6), at(12), at(18), at(24))
     s = runs(spark, at(0), at(12))
     got = {x.run_ts: x.source_ts for x in W.latest_within(r, s).collect()}
+    assert got == {at(0): at(0), at(6): at(0), at(12): at(12), at(18): at(12), at(24): None}
+    got = {x.run_ts: x.source_ts for x in W.latest_within(r, s, look_ahead=True).collect()}
     assert got == {at(0): at(0), at(6): at(12), at(12): at(12), at(18): at(12), at(24): None}
     got = {x.run_ts: x.source_date for x in W.latest_or(r, dates(spark, 1)).collect()}
     assert set(got.values()) == {dt.date(2024, 1, 1)}
 
 
+def test_a_later_source_changes_no_earlier_run(spark):
+    r = runs(spark, at(0), at(6), at(30))
+    before = {x.run_ts: x.source_ts for x in W.latest_within(r, runs(spark, at(0), at(26))).collect()}
+    after = {x.run_ts: x.source_ts for x in W.latest_within(r, runs(spark, at(0), at(26), at(40))).collect()}
+    assert before == after == {at(0): at(0), at(6): at(0), at(30): at(26)}
+    early = {x.run_ts: x.source_date for x in W.latest_or(r, dates(spark, 2)).collect()}
+    assert early == {at(0): None, at(6): None, at(30): dt.date(2024, 1, 2)}
+
+
+def test_a_step_delivered_twice_counts_once(spark):
+    rows = [(1, at(0), 200.0), (1, at(3), 200.0), (1, at(3), 150.0), (1, at(3), 200.0)]
+    series = spark.createDataFrame(rows, "pfaf_id long, run_ts timestamp, gfms_totalarea_km double")
+    got = sorted((x.run_ts, x.gfms_duration) for x in W.flood_duration(series).collect())
+    assert got == [(at(0), 3), (at(3), 6)]
+
+
 def test_inventories(spark):
     a, b = runs(spark, at(0), at(6), at(6)), runs(spark, at(6), at(12))
     assert [x.run_ts for x in W.run_dates(a, b).collect()] == [at(0), at(6), at(12)]
