@@ -20,7 +20,7 @@ from freshet.llm.suffixes import QUEUE_BYTES, common_prefixes, suffix_array
 LENGTH = 400
 GRAM = 100
 #: Bytes of segments per shard, and different segments of one anchor beyond which its strings are counted one by one.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 MOST_SEGMENTS = 2000
 
 
@@ -126,6 +126,13 @@ def _runs(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return places[np.concatenate([[0], gap + 1])], places[np.concatenate([gap, [len(places) - 1]])] + length
 
 
+def _small(batches: Iterator, rows: int = 500) -> Iterator:
+    """Batches of few rows, for what turns them into Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 _COVERED = "anchor long, segment long, lo array<long>, hi array<long>"
 
 
@@ -151,7 +158,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _small(batches):
             out: dict[str, list] = {k: [] for k in ("bin", "anchor", "segment", "n", "different", "hot", "piece")}
             held = 0
             for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -188,7 +195,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     def strings(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _small(batches):
             for anchor, segment, n, piece in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
                 at = np.arange(len(piece) - length + 1)
                 codes = np.frombuffer(piece, np.uint8)
@@ -229,7 +236,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     def remove(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _small(batches):
             n, runs, kept = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 raw = (text or "").encode()

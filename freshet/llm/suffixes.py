@@ -15,6 +15,8 @@ import numpy as np
 
 #: Bytes of places that a queue keeps in memory.
 QUEUE_BYTES = 64 << 20
+#: Places that are compared with their predecessors at a time.
+COMPARED = 1 << 15
 
 
 class BucketQueue:
@@ -179,18 +181,19 @@ def common_prefixes(t: np.ndarray, order: np.ndarray, stop: int) -> tuple[np.nda
     at = np.arange(n)
     own = (before < 0) | (at == 0) | (before == 0)
     own |= (t[at - 1] != t[before - 1]) | (t[at - 1] <= stop)
-    place = np.flatnonzero(own & (before >= 0))
+    todo = np.flatnonzero(own & (before >= 0))
     length = np.zeros(n, np.int64)
     width = 16
     padded = np.concatenate([t, np.zeros(width, t.dtype)])
-    a, b = place.copy(), before[place]
     steps = np.arange(width)
-    while len(place):
-        x = padded[a[:, None] + steps]
-        differs = (x != padded[b[:, None] + steps]) | (x <= stop)
-        some = differs.any(axis=1)
-        got = np.where(some, differs.argmax(axis=1), width)
-        length[place] += got
-        place, a, b = place[~some], a[~some] + width, b[~some] + width
+    for lo in range(0, len(todo), COMPARED):
+        place = todo[lo : lo + COMPARED]
+        a, b = place, before[place]
+        while len(place):
+            x = padded[a[:, None] + steps]
+            differs = (x != padded[b[:, None] + steps]) | (x <= stop)
+            some = differs.any(axis=1)
+            length[place] += np.where(some, differs.argmax(axis=1), width)
+            place, a, b = place[~some], a[~some] + width, b[~some] + width
     last = np.maximum.accumulate(np.where(own, at, 0))
     return np.maximum(length[last] - (at - last), 0), before
