@@ -1,10 +1,10 @@
 """N-gram Jaccard join with signature trees.
 
-A document is its set of word shingles. Equal sets are one node of the join. Blocks of a set, one more than the elements in
-which two similar sets may differ, bring together every pair that can be similar: by the pigeonhole principle one block of
-theirs is equal. Sets so connected form clusters, and within a cluster a signature tree - nodes with OR-combined bitmaps of
-the elements and ranges of the sizes - is traversed against itself, which discards pairs of nodes by the largest overlap
-that they allow; pairs of leaves are compared exactly.
+A document is its set of word shingles. Equal sets are one node of the join. Similar sets share one of their first elements
+in any common order, so sets that do are brought together; the order has frequent elements last, and few unlike sets meet.
+Sets so connected form clusters, and within a cluster a signature tree - nodes with OR-combined bitmaps of the elements and
+ranges of the sizes - is traversed against itself, which discards pairs of nodes by the largest overlap that they allow;
+pairs of leaves are compared exactly.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from freshet.llm.common import SpanHash, bounded_broadcast, components, mix64, s
 BITS, LEAF, FANOUT = 4096, 8, 4
 #: Sets that one task holds of a cluster at most, and a side of a comparison of parts.
 CHUNK = 1500
-#: Elements beyond one more block, for sets whose blocks may be empty.
-SPARE = 8
+#: An element is frequent if so many sets of one batch have it; frequent elements that are listed, those of most batches first.
+OFTEN, MOST_COMMON = 3, 250_000
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -54,51 +54,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     return total, np.searchsorted(r, np.arange(len(n) + 1))
 
 
-def _levels(size: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Class of a size: sizes of similar sets are in the same or in neighbouring classes."""
-    return np.floor(np.log(size) / np.log(den / num) + 1e-9).astype(np.int64)
+def prefix_keys(elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(element, row): the first elements of each set, of which two sets with ``den * overlap >= num * union`` share one.
 
-
-def block_keys(elements: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row): equal keys for every pair of sets with ``den * overlap >= num * union``.
-
-    Sets of the classes L - 1 and L meet at level L. The largest of them has ``top`` elements, so two similar ones differ in
-    at most ``d`` elements and of ``d + 1`` blocks one is equal. If it could be empty, ``d + 1 + SPARE`` blocks have more
-    equal ones than a set has empty ones; should a set have more, its elements themselves are keys.
+    Their overlap has at least ``num / den`` of the elements of either. Both leave out fewer than that of their last elements
+    here, so the first one of the overlap is among those kept, whatever the order, if it is the same for all sets:
+    elements not in ``common`` (sorted) come first, then by value.
     """
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
-    keys, owner = [], []
-    level0 = np.where(size > 0, _levels(np.maximum(size, 1), num, den), 0)
-    for step in (0, 1):
-        level = level0 + step
-        top = np.ceil((den / num) ** (level + 1)) + 1
-        d = np.floor((den - num) / (den + num) * 2 * top + 1e-9).astype(np.int64)
-        todo = size > 0
-        for family, spare in enumerate((0, SPARE)):
-            if not todo.any():
-                break
-            some = todo[row]
-            r, e = row[some], elements[some]
-            blocks = d + 1 + spare
-            b = (mix64(e + np.uint64(family)) % blocks[r].astype(np.uint64)).astype(np.int64)
-            first = np.concatenate([[0], np.cumsum(np.where(todo, blocks, 0))])
-            slot = first[r] + b
-            n = int(first[-1])
-            low, high = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-            np.add.at(low, slot, mix64(e ^ np.uint64(0x5851F42D4C957F2D)))
-            high += np.bincount(slot, minlength=n)
-            full = np.flatnonzero(high)
-            of = np.searchsorted(first, full, side="right") - 1
-            tag = (level[of].astype(np.uint64) << np.uint64(34)) + (np.uint64(family) << np.uint64(32)) + (full - first[of]).astype(np.uint64)
-            keys.append(mix64(low[full] + mix64(tag) + high[full].astype(np.uint64)))
-            owner.append(of)
-            empty = blocks - np.bincount(of, minlength=len(size))
-            todo = todo & (empty > spare)
-        some = todo[row]
-        keys.append(mix64(elements[some] + mix64(level[row[some]].astype(np.uint64) + np.uint64(1 << 50))))
-        owner.append(row[some])
-    return np.concatenate(keys), np.concatenate(owner)
+    known = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] == elements if len(common) else np.zeros(len(elements), bool)
+    order = np.lexsort((known, row))
+    place = np.arange(len(elements)) - bounds[row]
+    kept = place < (size - -(-num * size // den) + 1)[row]
+    return elements[order][kept], row[kept]
 
 
 # --- signature trees --------------------------------------------------------------------------------------------------
@@ -225,21 +194,33 @@ def _compare(tasks: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 def _scan_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, tkey, n, node) per row: size and hash of the set, NULL for a text without words."""
+    """(doc_id, tkey, n, node, common) per row: size and hash of the set, NULL for a text without words.
+
+    The first row of a batch has the elements that several of its sets have.
+    """
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column(1)):
+            sizes, nodes, every = [], [], [np.zeros(0, np.uint64)]
+            for _, _, data, offsets in text_slices(batch.column(1)):
                 elements, bounds = shingle_sets(data, offsets, words)
-                n = np.diff(bounds)
-                node = set_hashes(elements, bounds).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), batch.column(2).slice(first, end - first), pa.array(n),
-                     pa.array(node, mask=n == 0)], names=["doc_id", "tkey", "n", "node"])
+                sizes.append(np.diff(bounds))
+                nodes.append(set_hashes(elements, bounds).view(np.int64))
+                every.append(elements)
+            if not sizes:
+                continue
+            n = np.concatenate(sizes)
+            values, count = np.unique(np.concatenate(every), return_counts=True)
+            often = values[count >= OFTEN].view(np.int64)
+            ends = np.concatenate([[0], np.full(len(n), len(often))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(n), pa.array(np.concatenate(nodes), mask=n == 0),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(often))], names=["doc_id", "tkey", "n", "node", "common"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", text_key().alias("tkey")).mapInArrow(scan, f"doc_id {kind}, tkey binary, n long, node long")
+    return docs.select("doc_id", "text", text_key().alias("tkey")).mapInArrow(
+        scan, f"doc_id {kind}, tkey binary, n long, node long, common array<long>")
 
 
 def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -249,8 +230,8 @@ def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix64(sums[bounds[1:]] - sums[bounds[:-1]] + n.astype(np.uint64))
 
 
-def _scan_keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(key, node) of the blocks of every set; copies within a piece of text once."""
+def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarray) -> DataFrame:
+    """(key, n, node) of the first elements of every set; copies within a piece of text once."""
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -258,36 +239,39 @@ def _scan_keys(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 elements, bounds = shingle_sets(data, offsets, words)
                 nodes = set_hashes(elements, bounds)
-                keys, owner = block_keys(elements, bounds, num, den)
+                keys, owner = prefix_keys(elements, bounds, common, num, den)
                 first = np.zeros(len(nodes), bool)
                 first[np.unique(nodes, return_index=True)[1]] = True
                 keys, owner = keys[first[owner]], owner[first[owner]]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes[owner].view(np.int64))], names=["key", "node"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(np.diff(bounds)[owner]), pa.array(nodes[owner].view(np.int64))], names=["key", "n", "node"])
 
-    return docs.select("text").mapInArrow(scan, "key long, node long")
+    return docs.select("text").mapInArrow(scan, "key long, n long, node long")
 
 
-def _pairs(keyed: DataFrame) -> DataFrame:
-    """(a, b): each node with the first node that has the same key. Keys are sorted in their partitions and read as a stream."""
+def _pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): neighbours by size among the nodes with one key, unless their sizes rule out similarity.
+
+    Of two similar sets with a key in common all those between them in size are close enough to their neighbours as well, so
+    a chain of pairs connects them. Keys are sorted in their partitions and read as a stream.
+    """
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        key, pivot = None, None
+        last = None
         for batch in batches:
-            k, v = (np.asarray(batch.column(x)) for x in (0, 1))
+            k, n, v = (np.asarray(batch.column(x)) for x in (0, 1, 2))
             if not len(k):
                 continue
-            new = np.ones(len(k), bool)
-            new[1:] = k[1:] != k[:-1]
-            new[0] = key is None or k[0] != key
-            at = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-            first = np.where(at >= 0, v[np.maximum(at, 0)], pivot if pivot is not None else 0)
-            key, pivot = k[-1], first[-1]
-            some = first != v
-            pairs = np.unique(np.stack([first[some], v[some]]), axis=1)
+            if last is not None:
+                k, n, v = (np.concatenate([[x], y]) for x, y in zip(last, (k, n, v), strict=True))
+            last = k[-1], n[-1], v[-1]
+            near = (k[1:] == k[:-1]) & (den * n[:-1] >= num * n[1:]) & (v[1:] != v[:-1])
+            pairs = np.unique(np.stack([v[:-1][near], v[1:][near]]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(walk, "a long, b long").distinct()
+    sorted_keys = keyed.repartition("key").sortWithinPartitions("key", "n", "node")
+    return sorted_keys.mapInArrow(walk, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> DataFrame:
@@ -295,7 +279,11 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> Dat
     rows = stored(_scan_sets(docs, words), "sets")
     # One text stands for each set.
     nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("tkey").alias("tkey")), "nodes")
-    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den))), "clusters")
+    # A bounded list: what it lacks makes clusters larger, never less complete.
+    often = rows.where(F.size("common") > 0).select(F.explode("common").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
+    often = often.orderBy(F.desc("n"), "e").limit(MOST_COMMON).select("e").toPandas()["e"].to_numpy(np.int64)
+    rows = rows.drop("common")
+    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, np.sort(often.view(np.uint64))), num, den)), "clusters")
     links = _links(docs, clusters, nodes, words, num, den, chunk)
     parts = stored(components(links).withColumnRenamed("node", "_node"), "parts")
     joined = rows.join(parts, F.col("node") == F.col("_node"), "left")

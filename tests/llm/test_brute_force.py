@@ -136,9 +136,9 @@ def test_jaccard_components(spark, words, num, den, chunk):
         assert (got[i].n_shingles, got[i].component_id) == (len(sets[i]), g)
 
 
-def test_equal_blocks_for_all_similar_sets():
+def test_similar_sets_share_a_first_element():
     rng = np.random.default_rng(5)
-    for num, den in ((9, 10), (4, 5), (1, 2)):
+    for num, den in ((9, 10), (4, 5), (1, 2), (1, 1)):
         for _ in range(400):
             n = int(rng.integers(1, 80))
             a = rng.integers(0, 2**63, n).astype(np.uint64)
@@ -148,7 +148,8 @@ def test_equal_blocks_for_all_similar_sets():
             both = len(np.intersect1d(a, b))
             if not len(b) or den * both < num * (len(a) + len(b) - both):
                 continue
-            keys = [set(jaccard.block_keys(x, np.array([0, len(x)]), num, den)[0].tolist()) for x in (a, b)]
+            common = np.sort(rng.choice(a, int(rng.integers(0, len(a) + 1)), replace=False))
+            keys = [set(jaccard.prefix_keys(x, np.array([0, len(x)]), common, num, den)[0].tolist()) for x in (a, b)]
             assert keys[0] & keys[1]
 
 
