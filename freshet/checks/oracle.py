@@ -493,6 +493,19 @@ chosen("n", "n_runs", "f_dfo_dates", "f_viirs_today")
 chosen("w", "m_runs", "f_dfo_dates", "f_viirs_today")
 chosen("e", "e_runs", "f_dfo_dates", "f_viirs_today")
 QUERIES["daily_forecast"] = select([*_K, *EXPOSED, *_FORE, *_END], "nx_p3")
+
+# From raw stations: rescaled, located, cut to whole numbers.
+CTES["q_runs"] = "SELECT TIMESTAMP '2024-01-02 00:00:00' AS run_ts"
+CTES["q_st"] = """
+SELECT r.run_ts, r.point_no, l.pfaf_id, trunc(glofas_2yr) AS glofas_2yr, trunc(glofas_5yr) AS glofas_5yr, trunc(glofas_20yr) AS glofas_20yr,
+ alert_level, days_until_peak
+FROM f_rescaled r JOIN f_located l ON r.point_no = l.point_no WHERE r.run_ts = TIMESTAMP '2024-01-02 00:00:00'"""
+CTES["q_gf"] = "SELECT TIMESTAMP '2024-01-02 00:00:00' AS run_ts, * EXCLUDE (run_ts) FROM f_gfms"
+CTES["q_s_st"] = scored_stations("q_st")
+CTES["q_s_glofas"] = averaged("q_s_st")
+CTES["q_s_gfms"] = scored_gfms("q_gf")
+stages("qx", "q_s_glofas", "q_s_gfms", "m_s_hwrf", "m_s_dfo", "m_s_viirs", "q_runs")
+QUERIES["stations_to_alerts"] = select([*_K, *EXPOSED, *_FORE, *_END], "qx_p3")
 QUERIES["storm_alerts"] = select([*_K, *EXPOSED, *_STORM, *_END, "flag"], "wx_p4")
 QUERIES["daily_dfo"] = select([*_K, *EXPOSED, *_STORM, *_SEEN, *_END, "flag"], "ex_p5")
 QUERIES["daily_viirs"] = select([*_K, *EXPOSED, *_STORM, *_SEEN, *_LAYERS, *_END, "flag"], "ex_p6")

@@ -137,6 +137,14 @@ def glofas_stations(spark, sf):
     return P.glofas_stations(*X.raw_stations(spark, sf), X.watersheds(spark, sf))
 
 
+@query
+def stations_to_alerts(spark, sf):
+    """Raw stations of two days and the flood depth of the second midnight, up to the alerts."""
+    stations = P.forecast_stations(*X.raw_stations(spark, sf), X.watersheds(spark, sf))
+    depth = X.gfms_summary(spark, sf).withColumn("run_ts", X.ts("2024-01-02 00:00:00"))
+    return P.daily_forecast(stations, depth, X.exposure(spark, sf), DIGITS)
+
+
 # --- fusion and alerts -----------------------------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from freshet.operators import fusion as U
 from freshet.operators import scores as C
 from freshet.operators.spatial import clip_rain, points_in_watersheds, rasterize_points
-from freshet.operators.stations import normalize_probability, station_output, station_scores, station_union
+from freshet.operators.stations import PROBABILITIES, normalize_probability, station_output, station_scores, station_union
 from freshet.operators.temporal import asof_latest, day_over_day, flood_duration, latest_or, latest_within
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
 from freshet.params import DFO_TILES
@@ -305,6 +305,13 @@ def located_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame
     return normalize_probability(stored(located, "located"))
 
 
+def forecast_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame) -> DataFrame:
+    """Located stations as the alerts take them: with their run times and the whole-number probabilities that are published,
+    so that 37.6 % counts as 37 and 100.4 % is valid."""
+    located = located_stations(fixed, dynamic, watersheds)
+    return located.withColumns({c: F.col(c).cast("int").cast("double") for c in PROBABILITIES})
+
+
 def glofas_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame) -> DataFrame:
     """Station ingestion up to the published projection."""
     return station_output(located_stations(fixed, dynamic, watersheds))

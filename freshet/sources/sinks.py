@@ -47,8 +47,10 @@ def existing_keys(df: DataFrame, path: str, keys: list[str]) -> DataFrame | None
     """Distinct partition keys already written below ``path``, None when there is no table yet."""
     try:
         old = df.sparkSession.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     return old.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys]).distinct()
 
 

@@ -93,6 +93,13 @@ def test_merge_sources_is_a_full_outer_join(spark):
     assert got == {k: (*[sides[n].get(k) for n in "abc"], k not in sides["a"]) for k in keys}
 
 
+def test_the_largest_of_repeated_rows_counts(spark):
+    a = spark.createDataFrame([(1, 1, 5.0), (1, 1, 7.0), (1, 1, 7.0), (1, 2, None)], "run_ts int, pfaf_id int, v double")
+    b = spark.createDataFrame([(1, 1, 2.0)], "run_ts int, pfaf_id int, w double")
+    got = U.merge_sources({"a": a, "b": b}).selectExpr("pfaf_id", "a.v", "b.w", "a IS NULL AS no_a").collect()
+    assert sorted((r.pfaf_id, r.v, r.w, r.no_a) for r in got) == [(1, 7.0, 2.0, False), (2, None, None, False)]
+
+
 def test_merge_dfo_layers_and_viirs(spark):
     rows = [("2024-01-01", 1, n, 1.0, 2.0) for n in ("d1", "d1cs", "d2", "d3")] + [("2024-01-01", 2, "d1", 1.0, 2.0)]
     layers = spark.createDataFrame(rows, "run_date string, pfaf_id long, layer string, area double, perc double")
