@@ -61,6 +61,16 @@ def unpack(raw: bytes) -> np.ndarray:
     return np.cumsum(wide.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest one needs, the size first."""
+    size = next(b for b in (1, 2, 4, 8) if not len(x) or int(x.max()) < 1 << 8 * b)
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def widen(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least_count: int = LEAST_COUNT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, n_words, n_backed, log_score, mean_log_score), one row for each row of ``docs`` (doc_id, text).
 
@@ -103,17 +113,17 @@ def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, lea
             cut = buckets(keys)
             for b in np.flatnonzero(np.diff(cut)).tolist():
                 part = slice(cut[b], cut[b + 1])
-                out.append((n, b, pdf["slice"].iloc[0], pack(keys[part]), count[part].astype(np.int32).tobytes()))
+                out.append((n, b, pdf["slice"].iloc[0], pack(keys[part]), narrow(count[part])))
         return pd.DataFrame(out, columns=["n", "bucket", "slice", "keys", "counts"])
 
     def add(pdf):
         keys = [unpack(k) for k in pdf["keys"]]
         ends = np.cumsum([len(k) for k in keys])
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(c, np.int32) for c in pdf["counts"]])
+        counts = np.concatenate([widen(c) for c in pdf["counts"]])
         totals = np.bincount(inverse, counts)[inverse].astype(np.int64)
         out = pdf[["slice", "n", "bucket"]].copy()
-        out["totals"] = [x.tobytes() for x in np.split(totals, ends[:-1])]
+        out["totals"] = [narrow(x) for x in np.split(totals, ends[:-1])]
         return out
 
     def tell(texts, answers):
@@ -121,7 +131,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, lea
         import pyarrow as pa
 
         h, bounds = word_hashes(pa.array(texts["text"], pa.large_string()))
-        known = {n: np.concatenate([np.frombuffer(x, np.int64) for x in a.sort_values("bucket")["totals"]]) for n, a in answers.groupby("n")}
+        known = {n: np.concatenate([widen(x) for x in a.sort_values("bucket")["totals"]]) for n, a in answers.groupby("n")}
         score, steps = np.zeros(len(h)), np.zeros(len(h), np.int64)
         lower = np.zeros(len(h))
         for n, _, _, inverse, at in grams(h, bounds):
