@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from freshet.session import stored
 
-__all__ = ["stored", "text_key", "let", "bounded_broadcast", "components", "text_slices", "word_spans", "SpanHash", "mix64"]
+__all__ = ["stored", "text_key", "let", "bounded_broadcast", "matching", "components", "text_slices", "word_spans", "SpanHash", "mix64"]
 
 
 def text_key(text: str = "text") -> Column:
@@ -35,6 +35,17 @@ def bounded_broadcast(side: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(side) if side.count() <= max_rows else side.hint("merge")
 
 
+def matching(docs: DataFrame, side: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """``docs`` with a column ``_key`` joined to a *stored* side whose rows hold arrays of any length.
+
+    Never the arrays but only the keys are broadcast, when counted to be few; what they leave of the documents is shuffled.
+    """
+    keys = side.select("_key")
+    if keys.count() <= max_rows:
+        docs = docs.join(F.broadcast(keys), "_key", "left_semi")
+    return docs.join(side.hint("merge"), "_key")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for edges (a, b) of longs: the smallest node that can be reached.
 

@@ -1,10 +1,10 @@
 """N-gram Jaccard join with signature trees.
 
-A document is its set of word shingles. Equal sets are one node of the join. Similar sets share one of their first elements
-in any common order, so sets that do are brought together; the order has frequent elements last, and few unlike sets meet.
-Sets so connected form clusters, and within a cluster a signature tree - nodes with OR-combined bitmaps of the elements and
-ranges of the sizes - is traversed against itself, which discards pairs of nodes by the largest overlap that they allow;
-pairs of leaves are compared exactly.
+A document is its set of word shingles. Equal sets are one node of the join. Exact filters give every set keys, of which any
+two similar ones share one: hashes of blocks of a set while similar sets differ in few elements, so that blocks hold many of
+them, else its first elements in an order that has frequent elements last. Sets with a key in common form clusters, and within
+a cluster a signature tree - nodes with OR-combined bitmaps of the elements and ranges of the sizes - is traversed against
+itself, which discards pairs of nodes by the largest overlap that they allow; pairs of leaves are compared exactly.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ BITS, LEAF, FANOUT = 4096, 8, 4
 #: Sets that one task holds of a cluster at most, and a side of a comparison of parts.
 CHUNK = 1500
 #: An element is frequent if so many sets of one batch have it; frequent elements that are listed, those of most batches first.
-OFTEN, MOST_COMMON = 3, 250_000
+OFTEN, MOST_COMMON = 2, 1_000_000
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -54,6 +54,62 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     return total, np.searchsorted(r, np.arange(len(n) + 1))
 
 
+def has_wide_blocks(num: int, den: int) -> bool:
+    """Whether blocks hold some eight elements: similar sets differ in few."""
+    return 8 * (den - num) <= den
+
+
+def _levels(size: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Class of a size: sizes of similar sets are in the same or in neighbouring classes."""
+    return np.floor(np.log(size) / np.log(den / num) + 1e-9).astype(np.int64)
+
+
+def block_keys(elements: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row): equal keys for every pair of sets with ``den * overlap >= num * union``.
+
+    Sets of the classes L - 1 and L meet at level L. The largest of them has ``top`` elements, so two similar ones differ in
+    at most ``d`` elements, and of ``d + 1 + spare`` blocks more than ``spare`` are equal: one of them is not empty unless a set
+    has more than ``spare`` empty blocks. ``spare`` follows from the level alone and is rarely exceeded; sets that do so are
+    cut into more blocks once more, and should that not do either, their elements themselves are keys.
+    """
+    size = np.diff(bounds)
+    row = np.repeat(np.arange(len(size)), size)
+    keys, owner = [], []
+    level0 = np.where(size > 0, _levels(np.maximum(size, 1), num, den), 0)
+    for step in (0, 1):
+        level = level0 + step
+        top = np.ceil((den / num) ** (level + 1)) + 1
+        d = np.floor((den - num) / (den + num) * 2 * top + 1e-9).astype(np.int64)
+        # Empty blocks to expect of the smallest sets of the level, and a good deal more.
+        empties = (d + 1) * np.exp(-np.maximum((den / num) ** (level - 1.0), 1) / (d + 1))
+        few = np.where(d > 0, np.ceil(2 * empties + 4 * np.sqrt(empties)), 0).astype(np.int64)
+        todo = size > 0
+        for family, spare in enumerate((few, 2 * few + 8)):
+            if not todo.any():
+                break
+            some = todo[row]
+            r, e = row[some], elements[some]
+            blocks = d + 1 + spare
+            b = (mix64(e + np.uint64(family)) % blocks[r].astype(np.uint64)).astype(np.int64)
+            first = np.concatenate([[0], np.cumsum(np.where(todo, blocks, 0))])
+            slot = first[r] + b
+            n = int(first[-1])
+            low = np.zeros(n, np.uint64)
+            np.add.at(low, slot, mix64(e ^ np.uint64(0x5851F42D4C957F2D)))
+            high = np.bincount(slot, minlength=n)
+            full = np.flatnonzero(high)
+            of = np.searchsorted(first, full, side="right") - 1
+            tag = (level[of].astype(np.uint64) << np.uint64(34)) + (np.uint64(family) << np.uint64(32)) + (full - first[of]).astype(np.uint64)
+            keys.append(mix64(low[full] + mix64(tag) + high[full].astype(np.uint64)))
+            owner.append(of)
+            empty = blocks - np.bincount(of, minlength=len(size))
+            todo = todo & (empty > spare)
+        some = todo[row]
+        keys.append(mix64(elements[some] + mix64(level[row[some]].astype(np.uint64) + np.uint64(1 << 50))))
+        owner.append(row[some])
+    return np.concatenate(keys), np.concatenate(owner)
+
+
 def prefix_keys(elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(element, row): the first elements of each set, of which two sets with ``den * overlap >= num * union`` share one.
 
@@ -193,10 +249,10 @@ def _compare(tasks: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return tasks.groupBy("bin").applyInPandas(run, "a long, b long")
 
 
-def _scan_sets(docs: DataFrame, words: int) -> DataFrame:
+def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
     """(doc_id, tkey, n, node, common) per row: size and hash of the set, NULL for a text without words.
 
-    The first row of a batch has the elements that several of its sets have.
+    With ``list_common`` the first row of a batch has the elements that several of its sets have.
     """
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -207,7 +263,8 @@ def _scan_sets(docs: DataFrame, words: int) -> DataFrame:
                 elements, bounds = shingle_sets(data, offsets, words)
                 sizes.append(np.diff(bounds))
                 nodes.append(set_hashes(elements, bounds).view(np.int64))
-                every.append(elements)
+                if list_common:
+                    every.append(elements)
             if not sizes:
                 continue
             n = np.concatenate(sizes)
@@ -231,7 +288,9 @@ def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarray) -> DataFrame:
-    """(key, n, node) of the first elements of every set; copies within a piece of text once."""
+    """(key, n, node): the keys of every set; copies within a piece of text once."""
+    wide = has_wide_blocks(num, den)
+
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -239,7 +298,7 @@ def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarr
             for _, _, data, offsets in text_slices(batch.column(0)):
                 elements, bounds = shingle_sets(data, offsets, words)
                 nodes = set_hashes(elements, bounds)
-                keys, owner = prefix_keys(elements, bounds, common, num, den)
+                keys, owner = block_keys(elements, bounds, num, den) if wide else prefix_keys(elements, bounds, common, num, den)
                 first = np.zeros(len(nodes), bool)
                 first[np.unique(nodes, return_index=True)[1]] = True
                 keys, owner = keys[first[owner]], owner[first[owner]]
@@ -276,14 +335,18 @@ def _pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
 
 def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> DataFrame:
     """(doc_id, tkey, n, node, component), stored, one row for each row of ``docs``."""
-    rows = stored(_scan_sets(docs, words), "sets")
+    wide = has_wide_blocks(num, den)
+    rows = stored(_scan_sets(docs, words, not wide), "sets")
     # One text stands for each set.
     nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("tkey").alias("tkey")), "nodes")
-    # A bounded list: what it lacks makes clusters larger, never less complete.
-    often = rows.where(F.size("common") > 0).select(F.explode("common").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
-    often = often.orderBy(F.desc("n"), "e").limit(MOST_COMMON).select("e").toPandas()["e"].to_numpy(np.int64)
+    common = np.zeros(0, np.uint64)
+    if not wide:
+        # A bounded list: what it lacks makes clusters larger, never less complete.
+        often = rows.where(F.size("common") > 0).select(F.explode("common").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
+        often = often.orderBy(F.desc("n"), "e").limit(MOST_COMMON).select("e").toPandas()
+        common = np.sort(often["e"].to_numpy(np.int64).view(np.uint64))
     rows = rows.drop("common")
-    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, np.sort(often.view(np.uint64))), num, den)), "clusters")
+    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, common), num, den)), "clusters")
     links = _links(docs, clusters, nodes, words, num, den, chunk)
     parts = stored(components(links).withColumnRenamed("node", "_node"), "parts")
     joined = rows.join(parts, F.col("node") == F.col("_node"), "left")

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import SpanHash, bounded_broadcast, stored, text_key, text_slices
+from freshet.llm.common import SpanHash, matching, stored, text_key, text_slices
 from freshet.llm.suffixes import QUEUE_BYTES, common_prefixes, suffix_array
 
 LENGTH = 400
@@ -153,7 +153,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     n_bins = max(12, -(-int(total) // shard_bytes))
     place = F.struct("anchor", "segment", "n", "start", "strings", "different", "hot", F.pmod(F.xxhash64("anchor"), F.lit(n_bins)).alias("bin"))
     per_text = stored(wanted.groupBy(F.col("tkey").alias("_key")).agg(F.collect_list(place).alias("places")), "per_text")
-    texts = docs.select(text_key().alias("_key"), "text").join(bounded_broadcast(per_text, 100_000), "_key").dropDuplicates(["_key"])
+    texts = matching(docs.select(text_key().alias("_key"), "text"), per_text).dropDuplicates(["_key"])
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -221,7 +221,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     return stored(spans.distinct().groupBy("tkey").agg(F.collect_list("s").alias("spans")), "spans")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, most: int = MOST_SEGMENTS) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, most: int = MOST_SEGMENTS,
+                   most_keys: int = 500_000) -> DataFrame:
     """(doc_id, n_bytes, spans, kept), one row for each row of ``docs`` (doc_id, text).
 
     Every byte of the UTF-8 text that is covered by a string of ``length`` bytes which also starts elsewhere in the corpus,
@@ -258,5 +259,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     side = spans.select(F.col("tkey").alias("_key"), "spans")
-    joined = docs.select("doc_id", "text").join(bounded_broadcast(side, 100_000), text_key() == F.col("_key"), "left").select("doc_id", "text", "spans")
+    rows = docs.select("doc_id", "text", text_key().alias("_key"))
+    if side.count() <= most_keys:
+        # Only texts with repeats are shuffled; the others are known by a broadcast of the keys.
+        clean = rows.join(F.broadcast(side.select("_key")), "_key", "left_anti").withColumn("spans", F.lit(None).cast(side.schema["spans"].dataType))
+        joined = matching(rows, side, most_keys).unionByName(clean)
+    else:
+        joined = rows.join(side.hint("merge"), "_key", "left")
+    joined = joined.select("doc_id", "text", "spans")
     return joined.mapInArrow(remove, f"doc_id {kind}, n_bytes long, spans array<struct<lo:long,hi:long>>, kept binary")

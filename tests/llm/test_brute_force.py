@@ -108,7 +108,7 @@ def test_suffix_array_and_common_prefixes():
 def test_repeats_are_removed_exactly(spark, most):
     """With ``most`` of 2 nearly all anchors take the way of hot ones."""
     texts = corpus(2, 30)
-    got = {r.doc_id: r for r in substrings.remove_repeats(frame(spark, texts), 60, 20, 3000, most).collect()}
+    got = {r.doc_id: r for r in substrings.remove_repeats(frame(spark, texts), 60, 20, 3000, most, most_keys=most).collect()}
     for i, flags in enumerate(B.removed(texts, 60)):
         raw = (texts[i] or "").encode()
         assert bytes(got[i].kept) == bytes(x for x, f in zip(raw, flags, strict=True) if not f)
@@ -136,7 +136,7 @@ def test_jaccard_components(spark, words, num, den, chunk):
         assert (got[i].n_shingles, got[i].component_id) == (len(sets[i]), g)
 
 
-def test_similar_sets_share_a_first_element():
+def test_similar_sets_share_a_key():
     rng = np.random.default_rng(5)
     for num, den in ((9, 10), (4, 5), (1, 2), (1, 1)):
         for _ in range(400):
@@ -151,6 +151,9 @@ def test_similar_sets_share_a_first_element():
             common = np.sort(rng.choice(a, int(rng.integers(0, len(a) + 1)), replace=False))
             keys = [set(jaccard.prefix_keys(x, np.array([0, len(x)]), common, num, den)[0].tolist()) for x in (a, b)]
             assert keys[0] & keys[1]
+            if den > num:
+                keys = [set(jaccard.block_keys(x, np.array([0, len(x)]), num, den)[0].tolist()) for x in (a, b)]
+                assert keys[0] & keys[1]
 
 
 def test_signature_tree_finds_all_links():
