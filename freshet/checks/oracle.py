@@ -465,6 +465,33 @@ stages("b", "m_s_glofas", "m_s_gfms", "m_s_hwrf", "m_s_dfo", "m_s_viirs", "m_map
 QUERIES["combined_alerts"] = select(
     [*_K, *EXPOSED, *_STORM, *_SEEN, *_LAYERS, *_END, "flag", "dfo_date", "viirs_date"], "b_p6 JOIN m_map USING (run_ts)")
 
+# Two days of runs, published with the status against the day before.
+CTES["c_gfms"] = "SELECT * FROM f_gfms_runs UNION ALL SELECT * REPLACE (run_ts + INTERVAL 1 DAY AS run_ts) FROM f_gfms_runs"
+for _n in ("runs", "seen", "map", "st", "hw", "gf", "df", "vi"):
+    _sql = CTES[f"m_{_n}"].replace("f_gfms_runs", "c_gfms")
+    CTES[f"c_{_n}"] = _sql.replace("m_runs", "c_runs").replace("m_seen", "c_seen").replace("m_map", "c_map")
+CTES["c_s_st"] = scored_stations("c_st")
+CTES["c_s_glofas"] = averaged("c_s_st")
+CTES["c_s_gfms"] = scored_gfms("c_gf")
+CTES["c_s_hwrf"] = scored_hwrf("c_hw")
+CTES["c_s_dfo0"] = scored_dfo("c_df")
+CTES["c_s_viirs0"] = scored_viirs("c_vi")
+CTES["c_s_dfo"] = "SELECT * FROM c_s_dfo0 WHERE dfo_total > 0.1e0"
+CTES["c_s_viirs"] = "SELECT * FROM c_s_viirs0 WHERE viirs_total > 0.1e0"
+stages("cx", "c_s_glofas", "c_s_gfms", "c_s_hwrf", "c_s_dfo", "c_s_viirs", "c_map")
+CTES["c_coded"] = f"SELECT *, {CODE.format('alert')} AS code FROM cx_p6"
+CTES["c_status"] = """
+SELECT a.*, CASE WHEN b.code IS NULL THEN 'New' WHEN a.code = b.code THEN 'Continued' WHEN a.code > b.code THEN 'Upgraded'
+ WHEN a.code < b.code THEN 'Downgraded' ELSE 'Other' END AS status
+FROM c_coded a LEFT JOIN c_coded b ON b.run_ts = a.run_ts - INTERVAL 1 DAY AND b.pfaf_id = a.pfaf_id
+WHERE a.run_ts - INTERVAL 1 DAY IN (SELECT run_ts FROM c_coded)"""
+_PUBLISHED = select(
+    [*_K, "area_km2", "rfr_score", "cfr_score", *_STORM, *_SEEN, *_LAYERS, *_END, "flag", "dfo_date", "viirs_date", "status"],
+    "c_status JOIN c_map USING (run_ts) JOIN f_centroids USING (pfaf_id)",
+).replace(" FROM", f", admin_name, part, {r6('centroid_y')} FROM", 1)
+QUERIES["published_alerts"] = _PUBLISHED
+QUERIES["published_alerts_north"] = _PUBLISHED + " WHERE NOT (dfo_total IS NULL AND forecast_score IS NULL AND centroid_y > 50)"
+
 # The same with the inputs of the storm runs and of the evening runs.
 CTES["f_viirs_today"] = _viirs("DATE '2024-01-10'")
 

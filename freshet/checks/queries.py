@@ -214,6 +214,30 @@ def combined_alerts(spark, sf):
     )
 
 
+def _published(spark, sf, north: bool) -> DataFrame:
+    """Two days of runs, published in two goes; the second finds the first day's runs there."""
+    depth = X.gfms_runs(spark, sf)
+    depth = depth.union(depth.withColumn("run_ts", F.col("run_ts") + F.expr("INTERVAL 1 DAY")))
+    folder = work_folder(spark, "published")
+    for now in ("2024-01-11 02:00:00", "2024-01-13 00:00:00"):
+        P.publish_runs(
+            X.station_runs(spark, sf), depth, X.hwrf_runs(spark, sf), X.dfo_dates(spark, sf), X.viirs_dates(spark, sf),
+            X.exposure(spark, sf), X.centroids(spark, sf), depth.select("run_ts"), X.ts(now), folder + "/alerts", folder + "/out",
+            north, DIGITS,
+        )
+    return spark.read.parquet(folder + "/out")
+
+
+@query
+def published_alerts(spark, sf):
+    return _published(spark, sf, False)
+
+
+@query
+def published_alerts_north(spark, sf):
+    return _published(spark, sf, True)
+
+
 @query
 def exposure(spark, sf):
     return X.exposure(spark, sf)

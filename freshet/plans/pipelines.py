@@ -9,11 +9,14 @@ from freshet.operators import fusion as U
 from freshet.operators import scores as C
 from freshet.operators.spatial import clip_rain, points_in_watersheds, rasterize_points
 from freshet.operators.stations import PROBABILITIES, normalize_probability, station_output, station_scores, station_union
-from freshet.operators.temporal import asof_latest, day_over_day, flood_duration, latest_or, latest_within
+from freshet.operators.temporal import (
+    asof_latest, day_over_day, flood_duration, latest_or, latest_within, pending_dates, ready_runs,
+)
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
 from freshet.params import DFO_TILES
 from freshet.schemas import DEPTH, Grid
 from freshet.session import stored
+from freshet.sources.sinks import existing_keys, write_partitions
 
 KEYS = U.KEYS
 
@@ -293,6 +296,23 @@ def final_alert(alerts: DataFrame, centroids: DataFrame, apply_north_filter: boo
     return out
 
 
+def publish_runs(
+    stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, dfo: DataFrame, viirs: DataFrame, exposed: DataFrame,
+    centroids: DataFrame, runs: DataFrame, now: Column, alerts_path: str, published_path: str,
+    apply_north_filter: bool = False, digits: int | None = None,
+) -> None:
+    """Everything that is due: of ``runs`` those old enough and not yet in the alert table, their combined alerts added to it
+    by run, and the published alerts of all runs that have a run the day before. A second call changes nothing."""
+    spark = runs.sparkSession
+    due = ready_runs(runs.select("run_ts").distinct(), now)
+    done = existing_keys(due, alerts_path, ["run_ts"])
+    pending = stored(due if done is None else pending_dates(due, done, "run_ts"), "pending")
+    alerts = combined_alerts(stations, gfms, hwrf, dfo, viirs, exposed, pending, digits)
+    write_partitions(alerts, alerts_path, ["run_ts"])
+    final = final_alert(spark.read.schema(alerts.schema).parquet(alerts_path), centroids, apply_north_filter)
+    write_partitions(final, published_path, ["run_ts"])
+
+
 # --- products to summaries -------------------------------------------------------------------------------------------
 
 
