@@ -22,7 +22,7 @@ BITS, LEAF, FANOUT = 4096, 8, 4
 #: Sets that one task holds of a cluster at most, and a side of a comparison of parts.
 CHUNK = 1500
 #: An element is frequent if so many sets of one batch have it; frequent elements that are listed, those of most batches first.
-OFTEN, MOST_COMMON = 2, 1_000_000
+OFTEN, MOST_COMMON = 2, 250_000
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
