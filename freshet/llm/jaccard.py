@@ -20,9 +20,9 @@ from freshet.llm.common import SpanHash, bounded_broadcast, components, mix64, s
 #: Bits of a node's bitmap, sets in a leaf, children of a node.
 BITS, LEAF, FANOUT = 4096, 8, 4
 #: Sets that one task holds of a cluster at most, and a side of a comparison of parts.
-CHUNK = 1500
-#: An element is frequent if so many sets of one batch have it; frequent elements that are listed, those of most batches first.
-OFTEN, MOST_COMMON = 2, 250_000
+CHUNK = 800
+#: Frequent elements that are listed at most, those that sets share in most batches first.
+MOST_COMMON = 250_000
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -268,8 +268,10 @@ def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
             if not sizes:
                 continue
             n = np.concatenate(sizes)
-            values, count = np.unique(np.concatenate(every), return_counts=True)
-            often = values[count >= OFTEN].view(np.int64)
+            shared = np.concatenate(every)
+            every.clear()
+            shared.sort()
+            often = np.unique(shared[1:][shared[1:] == shared[:-1]]).view(np.int64)
             ends = np.concatenate([[0], np.full(len(n), len(often))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n), pa.array(np.concatenate(nodes), mask=n == 0),
@@ -380,7 +382,7 @@ def _links(docs: DataFrame, clusters: DataFrame, nodes: DataFrame, words: int, n
     wanted = stored(wanted.select("node", "component", "parts", "part", F.col("tkey").alias("_key")), "wanted")
     texts = docs.select(text_key().alias("_key"), "text").join(bounded_broadcast(wanted), "_key").dropDuplicates(["node"])
     texts = stored(texts.drop("_key"), "texts")
-    n_bins = max(12, -(-texts.count() // 400))
+    n_bins = max(12, -(-texts.count() // 200))
 
     def binned(df: DataFrame, *keys: str) -> DataFrame:
         return df.withColumns({"task": F.concat_ws(":", "component", *keys), "bin": F.pmod(F.xxhash64("component", *keys), F.lit(n_bins))})
