@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model over all documents, and a linear classifier.
 
-Lexicon voters look for a word, pattern voters for words that start in a certain way. They are mined from a bounded sample
-of labelled rows. Accuracies and correlations of the voters are estimated without labels, from how often they fire alone
+Lexicon voters look for a word, pattern voters for words that start in a certain way, both either once or several times in
+a text. They are mined from a bounded sample of labelled rows. Accuracies and correlations of the voters are estimated without labels, from how often they fire alone
 and together in all documents. The label model's posteriors are the training labels of the classifier that scores texts.
 """
 
@@ -19,14 +19,16 @@ from freshet.llm.common import SpanHash, mix64, stored, text_slices, word_spans
 #: Labelled rows that mining and training read at most, chosen by a hash of the id; a sample, the bound is a parameter.
 MAX_LABELLED = 20_000
 #: Features tried as voters, features of the classifier, and voters at most.
-MAX_CANDIDATES, MAX_FEATURES, MAX_VOTERS = 50_000, 1024, 96
-#: A feature is tried if at least so many toxic rows have it, and kept if so large a share of the rows with it are toxic.
-LEAST_ROWS, LEAST_PRECISION = 3, 0.95
+MAX_CANDIDATES, MAX_FEATURES, MAX_VOTERS = 100_000, 4096, 96
+#: A feature is tried if at least so many toxic rows have it.
+LEAST_ROWS = 3
 #: Voters that every toxic row of the sample shall have, if there are so many.
 COVER = 3
 #: Of two features that fire together in so large a share of the rows with either, one is a voter.
 SAME = 0.7
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+#: Besides its presence, a feature is known by that it occurs so many times in a row: (times, what its hash is combined with).
+TIMES = ((2, np.uint64(0x5851F42D4C957F2D)), (4, np.uint64(0x14057B7EF767814F)))
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -34,7 +36,7 @@ _WORD = ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 97) & (_BYTES <= 122)) |
 
 
 def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of all words and all starts of words of 4, 5 and 6 bytes in a piece of text; repeats included."""
+    """(hash, row) of all words and all starts of words of 4 to 8 bytes in a piece of text; repeats included."""
     low = _LOWER[data]
     starts, ends, before = word_spans(low, offsets, _WORD)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(before))
@@ -52,19 +54,35 @@ class Lookup:
 
     def __init__(self, known: np.ndarray):
         self.known = known
-        self.quick = np.zeros(1 << 16, bool)
-        self.quick[known & np.uint64(0xFFFF)] = True
+        # A known hash stands for a feature or for one that occurs several times; what a text shows are features.
+        self.base = np.unique(np.concatenate([known, *(known ^ salt for _, salt in TIMES)]))
+        self.levels = [(1, self._places(self.base)), *((n, self._places(self.base ^ salt)) for n, salt in TIMES)]
+        self.quick = np.zeros(1 << 20, bool)
+        self.quick[self.base & np.uint64(0xFFFFF)] = True
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash in the list, -1 where it is not there."""
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, at, -1)
 
     def pairs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, place) of the known features of a piece of text, each once per row, by row."""
         hashes, rows = text_features(data, offsets)
-        some = self.quick[hashes & np.uint64(0xFFFF)]
+        some = self.quick[hashes & np.uint64(0xFFFFF)]
         hashes, rows = hashes[some], rows[some]
         if not len(self.known) or not len(hashes):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        same = self.known[at] == hashes
-        keys = np.unique(rows[same] * len(self.known) + at[same])
+        at = np.minimum(np.searchsorted(self.base, hashes), len(self.base) - 1)
+        same = self.base[at] == hashes
+        keys, count = np.unique(rows[same] * len(self.base) + at[same], return_counts=True)
+        row, base = keys // len(self.base), keys % len(self.base)
+        found = []
+        for n, place in self.levels:
+            here = (count >= n) & (place[base] >= 0)
+            found.append(row[here] * len(self.known) + place[base[here]])
+        keys = np.sort(np.concatenate(found))
         return keys // len(self.known), keys % len(self.known)
 
 
@@ -111,7 +129,8 @@ def _candidates(toxic: DataFrame, least: int, most: int) -> tuple[np.ndarray, np
                 order = np.lexsort((hashes, rows))
                 h, r = hashes[order], rows[order]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])]) if len(h) else np.zeros(0, bool)
-                values, n = np.unique(h[new], return_counts=True)
+                times = np.diff(np.flatnonzero(np.append(new, True)))
+                values, n = np.unique(np.concatenate([h[new], *(h[new][times >= k] ^ salt for k, salt in TIMES)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["f", "n"])
 
     counted = toxic.mapInArrow(distinct, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -134,15 +153,26 @@ def _presence(sample: DataFrame, known: np.ndarray) -> tuple[np.ndarray, np.ndar
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).slice(first, end - first), pa.ListArray.from_arrays(pa.array(ends), pa.array(at.astype(np.int32)))], names=["y", "f"])
 
-    got = sample.select("text", "toxic").mapInArrow(find, "y int, f array<int>").collect()
-    y = np.array([r["y"] for r in got], float)
-    rows = np.repeat(np.arange(len(got)), [len(r["f"]) for r in got])
-    return y, rows, np.array([x for r in got for x in r["f"]], np.int64)
+    got = sample.select("text", "toxic").mapInArrow(find, "y int, f array<int>").toArrow()
+    lists = got.column("f").combine_chunks()
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return got.column("y").to_numpy().astype(float), rows, lists.flatten().to_numpy().astype(np.int64)
+
 
+def information(rate1: np.ndarray, rate0: np.ndarray, share: float) -> np.ndarray:
+    """Mutual information of presence and class, from how often features are in toxic and in clean rows."""
+    def part(joint: np.ndarray, own: np.ndarray, other: float) -> np.ndarray:
+        return joint * np.log(np.maximum(joint, 1e-300) / np.maximum(own * other, 1e-300))
 
-def choose_voters(y: np.ndarray, rows: np.ndarray, feats: np.ndarray, n: int, most: int, cover: int) -> np.ndarray:
+    has = rate1 * share + rate0 * (1 - share)
+    return part(rate1 * share, has, share) + part(rate0 * (1 - share), has, 1 - share) + part((1 - rate1) * share, 1 - has, share) + part((1 - rate0) * (1 - share), 1 - has, 1 - share)
+
+
+def choose_voters(y: np.ndarray, rows: np.ndarray, feats: np.ndarray, n: int, most: int, cover: int, worth: np.ndarray) -> np.ndarray:
     """Features by greedy covering: the one that most toxic rows still lack, until each has ``cover`` of them.
 
+    Rows count by the feature's ``worth``; features without one are not chosen.
+
     A word that only copies of one text share is not chosen before the words that unrelated rows share.
     """
     positive = y[rows] == 1
@@ -153,8 +183,8 @@ def choose_voters(y: np.ndarray, rows: np.ndarray, feats: np.ndarray, n: int, mo
     open_ = np.ones(n, bool)
     while n and len(chosen) < most:
         gain = np.bincount(f, need[r] > 0, minlength=n) * open_
-        best = int(np.argmax(gain))
-        if gain[best] < 2:
+        best = int(np.argmax(np.where(gain < 2, 0, gain * worth)))
+        if gain[best] < 2 or worth[best] <= 0:
             break
         chosen.append(best)
         mine = r[f == best]
@@ -258,7 +288,7 @@ def posteriors(n: int, rows: np.ndarray, voters: np.ndarray, m: LabelModel) -> n
     return 1 - np.prod(1 - 1 / (1 + np.exp(-np.clip(base + votes, -30, 30))), axis=1)
 
 
-def fit_linear(n: int, rows: np.ndarray, feats: np.ndarray, width: int, target: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_linear(n: int, rows: np.ndarray, feats: np.ndarray, width: int, target: np.ndarray, rounds: int = 300, decay: float = 0.3) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by full gradient steps with a step size per feature."""
     w, b = np.zeros(width), 0.0
     gw, gb = np.full(width, 1e-8), 1e-8
@@ -293,13 +323,15 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     # Precision at the true share of toxic rows, since the sample holds more of them.
     rate1, rate0 = n_toxic / max(sampled.get(1, 0), 1), n_clean / max(sampled.get(0, 0), 1)
     precision = rate1 * share / (rate1 * share + rate0 * (1 - share))
-    good = np.flatnonzero(precision >= LEAST_PRECISION)
-    good = np.sort(good[np.argsort(-n_toxic[good], kind="stable")][:MAX_FEATURES])
+    # The classifier weighs whatever toxic rows have more often; the features that tell most about the class come first.
+    told = information(rate1, rate0, share)
+    good = np.flatnonzero(rate1 > rate0)
+    good = np.sort(good[np.argsort(-told[good], kind="stable")][:MAX_FEATURES])
     if not len(good):
         return nothing
     features = hashes[good]
     y, rows, feats = _presence(sample, features)
-    voters = np.sort(choose_voters(y, rows, feats, len(features), MAX_VOTERS, COVER))
+    voters = np.sort(choose_voters(y, rows, feats, len(features), MAX_VOTERS, COVER, 2 * precision[good] - 1))
     if not len(voters):
         return nothing
     total, both = vote_moments(docs, features[voters])
