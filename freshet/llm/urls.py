@@ -35,10 +35,35 @@ def _ancestors(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from ``/`` on, its segments ``.`` and ``..`` carried out."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    up = lambda a: F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, s: F.when(s == "..", up(a)).when(s == ".", a).otherwise(F.concat(a, F.array(s))))
+    folder = F.element_at(parts, -1).isin(".", "..")
+    return F.concat(F.lit("/"), F.array_join(F.when(folder, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+
+
+def resolve_url(base: Column, target: Column) -> Column:
+    """A link's target as a full url, seen from the url ``base``; NULL if empty, of a scheme without ``//``, or relative to a base without ``://``."""
+    site = F.regexp_extract(base, "(?s)^(.*?://[^/?#]*)", 1)
+    path = url_path(base)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, "(?s)^(.*/)", 1))
+    own = F.regexp_extract(target, "(?s)^([^?#]*)", 1)
+    merged = _without_dots(F.when(own.startswith("/"), own).otherwise(F.concat(folder, own)))
+    full = (
+        F.when(target.startswith("//"), F.concat(F.regexp_extract(base, "(?s)^(.*?:)//", 1), target))
+        .when(target.startswith("#"), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), target))
+        .when(target.startswith("?"), F.concat(site, path, target))
+        .otherwise(F.concat(site, merged, F.regexp_extract(target, "(?s)^[^?#]*(.*)$", 1))))
+    scheme = "(?i)^[a-z][a-z0-9+.-]*:"
+    return F.when(target.rlike(scheme + "//"), target).when((target != "") & ~target.rlike(scheme) & (site != ""), full)
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(url, target) of canonical links and of redirects by refresh in the pages' markup, with absolute targets.
+    """(url, target) of canonical links and of redirects by refresh in the pages' markup, with full targets.
 
-    Only tags are looked at; the markup of pages without such a tag is not searched further.
+    Relative targets are resolved against the page's url, or its base element. Only tags are looked at; the markup of pages without such a tag is not searched further.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     some = html.rlike("(?i)<(link|meta)\\s[^>]*(canonical|refresh)")
@@ -48,8 +73,11 @@ def alias_edges(pages: DataFrame) -> DataFrame:
         F.transform(links, lambda t: F.regexp_extract(t, "(?i)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)", 1)),
         F.transform(metas, lambda t: F.regexp_extract(t, "(?i)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)", 1)),
     )
-    found = pages.where(some & F.col("url").isNotNull()).select("url", F.explode_outer(targets).alias("target"))
-    return found.where(F.col("target").contains("://") & (F.col("target") != F.col("url"))).distinct()
+    based = F.regexp_extract(html, "(?i)<base\\s[^>]*?\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)", 1)
+    found = pages.where(some & F.col("url").isNotNull()).select("url", based.alias("based"), F.explode(targets).alias("target"))
+    found = found.withColumn("based", F.coalesce(resolve_url(F.col("url"), F.col("based")), F.col("url")))
+    found = found.select("url", resolve_url(F.col("based"), F.col("target")).alias("target"))
+    return found.where(F.col("target") != F.col("url")).distinct()
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
