@@ -50,6 +50,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_lm_scores_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"), order=3)
+
+
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_lm_scores_order3": op6_lm_scores_order3,
     "op6_lm_scores": op6_lm_scores,
     "op7_secrets": op7_secrets,
     "op8_top_k": op8_top_k,

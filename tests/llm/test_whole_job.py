@@ -1,5 +1,6 @@
 """What operators once left out: small inputs on which a part of the job went missing."""
 
+import math
 import os
 import random
 import sys
@@ -8,6 +9,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 
 from freshet.llm import toxicity, urls  # noqa: E402
+from freshet.llm.queries import QUERIES  # noqa: E402
 
 
 # --- 5 ---
@@ -55,3 +57,15 @@ def test_url_filter_resolves_relative_targets(spark):
     got = {r.page_id: r.verdict for r in urls.filter_urls(pages, urls.rule_table(spark, urls.RULES)).collect()}
     # Page 12 is blocked as an alias of page 1.
     assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 6, 7, 12}
+
+
+# --- 6 ---
+
+
+def test_lm_scores_tell_new_sequences_of_known_pairs(spark, tmp_path):
+    """All pairs of the last text are in the table, its three words in a row are not."""
+    texts = ["a b d", "a b d", "c b e", "c b e", "a b e"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op6_lm_scores_order3"](spark, str(tmp_path)).collect()}
+    assert [got[i].n_backed for i in range(5)] == [0, 0, 0, 0, 1]
+    assert abs(got[4].log_score - (math.log(3 / 15) + math.log(3 / 3) + math.log(0.4 * 3 / 5))) < 1e-9
