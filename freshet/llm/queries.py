@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontam, jaccard, lm, mixing, secrets, substrings, tokens, topk, toxicity, urls
+from freshet.llm import bpe, collocations, decontam, jaccard, lm, mixing, ranked, secrets, substrings, tokens, topk, toxicity, urls
 from freshet.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -87,6 +87,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
+    "op11_bpe": op11_bpe,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_collocations": op13_collocations,
 }

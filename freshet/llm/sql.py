@@ -136,10 +136,55 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
+_TERMS = f"regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+size AS MATERIALIZED (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+total AS MATERIALIZED (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+item AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM item JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (r), total GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+_OP13 = f"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, '{_UP}', '{_LOW}'), '[.,;:!?\\x0A-\\x0D]')) AS p
+        FROM documents)),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10),
+cuts AS (
+  SELECT lang, k, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y
+  FROM c, (SELECT unnest([1, 2]) AS j) WHERE j < k),
+s AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r,
+         CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, j) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM c, (SELECT unnest([1, 2]) AS i) WHERE k = 3) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, s.a DESC, phrase) AS rank, phrase, s.a, l, r, n, score
+FROM s JOIN total USING (lang) LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * s.a QUALIFY rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op4_decontamination": _OP4,
     "op7_secrets": _OP7,
     "op8_top_k": _OP8,
     "op9_url_filter": _OP9,
     "op10_mixing": mix_sql("documents"),
+    "op12_ranked_search": _OP12,
+    "op13_collocations": _OP13,
 }
