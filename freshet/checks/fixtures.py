@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from freshet.functions.alerts import alert_class
 from freshet.operators.fusion import exposure as join_exposure
 from freshet.schemas import Grid
+from freshet.session import work_folder
 
 RUN_TS = "2024-01-01 18:00:00"
 RUN_DATE = "2024-01-01"
@@ -298,6 +299,29 @@ def pixels(spark, sf) -> DataFrame:
     return cells(spark, sf).groupBy("run_ts", "row", "col").agg(F.max_by("value", "ordinal").alias("value"))
 
 
+def float_grids(spark, sf) -> str:
+    """A folder with a raw grid of float32 per run of ``pixels``, no-data where there is none."""
+    folder = work_folder(spark, "grids")
+    rows, cols, nodata = GRID.nrows, GRID.ncols, GRID.nodata
+
+    def write(key, pdf):
+        import numpy as np
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        data = np.full((rows, cols), nodata, "<f4")
+        data[pdf["row"], pdf["col"]] = pdf["value"]
+        fs, inner = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(inner)
+        with fs.open_output_stream(f"{inner}/depth_{key[0]:%Y%m%d%H}.bin") as f:
+            f.write(data.tobytes())
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    pixels(spark, sf).groupBy(F.date_format("run_ts", "yyyyMMddHH").alias("stamp"), "run_ts").applyInPandas(
+        lambda key, pdf: write(key[1:], pdf), "n long").collect()
+    return folder
+
+
 def dfo_pixels(spark, sf) -> DataFrame:
     """Class 3 is water; tiles are blocks of 30 x 30 cells."""
     c = cells(spark, sf)

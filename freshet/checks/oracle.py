@@ -30,7 +30,14 @@ def _with(final: str) -> str:
             todo |= used(CTES[n]) - {n}
     if not needed:
         return final
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in names if n in needed) + "\n" + final
+    # A piece that is used more than once is computed once; recursive ones are anyway.
+    texts = [final, *(CTES[n] for n in needed)]
+
+    def hint(n: str) -> str:
+        uses = sum(len(re.findall(rf"\b{n}\b", t)) for t in texts)
+        return "MATERIALIZED " if uses > 1 and not re.search(rf"\b{n}\b", CTES[n]) else ""
+
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS {hint(n)}({CTES[n]})" for n in names if n in needed) + "\n" + final
 
 
 def rnd(expression: str) -> str:
@@ -467,30 +474,40 @@ QUERIES["combined_alerts"] = select(
 
 # Two days of runs, published with the status against the day before.
 CTES["c_gfms"] = "SELECT * FROM f_gfms_runs UNION ALL SELECT * REPLACE (run_ts + INTERVAL 1 DAY AS run_ts) FROM f_gfms_runs"
-for _n in ("runs", "seen", "map", "st", "hw", "gf", "df", "vi"):
-    _sql = CTES[f"m_{_n}"].replace("f_gfms_runs", "c_gfms")
-    CTES[f"c_{_n}"] = _sql.replace("m_runs", "c_runs").replace("m_seen", "c_seen").replace("m_map", "c_map")
-CTES["c_s_st"] = scored_stations("c_st")
-CTES["c_s_glofas"] = averaged("c_s_st")
-CTES["c_s_gfms"] = scored_gfms("c_gf")
-CTES["c_s_hwrf"] = scored_hwrf("c_hw")
-CTES["c_s_dfo0"] = scored_dfo("c_df")
-CTES["c_s_viirs0"] = scored_viirs("c_vi")
-CTES["c_s_dfo"] = "SELECT * FROM c_s_dfo0 WHERE dfo_total > 0.1e0"
-CTES["c_s_viirs"] = "SELECT * FROM c_s_viirs0 WHERE viirs_total > 0.1e0"
-stages("cx", "c_s_glofas", "c_s_gfms", "c_s_hwrf", "c_s_dfo", "c_s_viirs", "c_map")
-CTES["c_coded"] = f"SELECT *, {CODE.format('alert')} AS code FROM cx_p6"
-CTES["c_status"] = """
+CTES["k_gfms"] = """
+SELECT * REPLACE (CASE WHEN run_ts = TIMESTAMP '2024-01-10 06:00:00' THEN gfms_totalarea_km * 9e0 ELSE gfms_totalarea_km END AS gfms_totalarea_km,
+ CASE WHEN run_ts = TIMESTAMP '2024-01-10 06:00:00' THEN gfms_perc_area * 9e0 ELSE gfms_perc_area END AS gfms_perc_area) FROM c_gfms"""
+
+
+def published(p: str) -> str:
+    """Published alerts of all runs in ``p``_gfms, computed at once."""
+    for n in ("runs", "seen", "map", "st", "hw", "gf", "df", "vi"):
+        sql = CTES[f"m_{n}"].replace("f_gfms_runs", f"{p}_gfms")
+        CTES[f"{p}_{n}"] = sql.replace("m_runs", f"{p}_runs").replace("m_seen", f"{p}_seen").replace("m_map", f"{p}_map")
+    CTES[f"{p}_s_st"] = scored_stations(f"{p}_st")
+    CTES[f"{p}_s_glofas"] = averaged(f"{p}_s_st")
+    CTES[f"{p}_s_gfms"] = scored_gfms(f"{p}_gf")
+    CTES[f"{p}_s_hwrf"] = scored_hwrf(f"{p}_hw")
+    CTES[f"{p}_s_dfo0"] = scored_dfo(f"{p}_df")
+    CTES[f"{p}_s_viirs0"] = scored_viirs(f"{p}_vi")
+    CTES[f"{p}_s_dfo"] = f"SELECT * FROM {p}_s_dfo0 WHERE dfo_total > 0.1e0"
+    CTES[f"{p}_s_viirs"] = f"SELECT * FROM {p}_s_viirs0 WHERE viirs_total > 0.1e0"
+    stages(f"{p}x", f"{p}_s_glofas", f"{p}_s_gfms", f"{p}_s_hwrf", f"{p}_s_dfo", f"{p}_s_viirs", f"{p}_map")
+    CTES[f"{p}_coded"] = f"SELECT *, {CODE.format('alert')} AS code FROM {p}x_p6"
+    CTES[f"{p}_status"] = f"""
 SELECT a.*, CASE WHEN b.code IS NULL THEN 'New' WHEN a.code = b.code THEN 'Continued' WHEN a.code > b.code THEN 'Upgraded'
  WHEN a.code < b.code THEN 'Downgraded' ELSE 'Other' END AS status
-FROM c_coded a LEFT JOIN c_coded b ON b.run_ts = a.run_ts - INTERVAL 1 DAY AND b.pfaf_id = a.pfaf_id
-WHERE a.run_ts - INTERVAL 1 DAY IN (SELECT run_ts FROM c_coded)"""
-_PUBLISHED = select(
-    [*_K, "area_km2", "rfr_score", "cfr_score", *_STORM, *_SEEN, *_LAYERS, *_END, "flag", "dfo_date", "viirs_date", "status"],
-    "c_status JOIN c_map USING (run_ts) JOIN f_centroids USING (pfaf_id)",
-).replace(" FROM", f", admin_name, part, {r6('centroid_y')} FROM", 1)
-QUERIES["published_alerts"] = _PUBLISHED
-QUERIES["published_alerts_north"] = _PUBLISHED + " WHERE NOT (dfo_total IS NULL AND forecast_score IS NULL AND centroid_y > 50)"
+FROM {p}_coded a LEFT JOIN {p}_coded b ON b.run_ts = a.run_ts - INTERVAL 1 DAY AND b.pfaf_id = a.pfaf_id
+WHERE a.run_ts - INTERVAL 1 DAY IN (SELECT run_ts FROM {p}_coded)"""
+    return select(
+        [*_K, "area_km2", "rfr_score", "cfr_score", *_STORM, *_SEEN, *_LAYERS, *_END, "flag", "dfo_date", "viirs_date", "status"],
+        f"{p}_status JOIN {p}_map USING (run_ts) JOIN f_centroids USING (pfaf_id)",
+    ).replace(" FROM", f", admin_name, part, {r6('centroid_y')} FROM", 1)
+
+
+QUERIES["published_alerts"] = published("c")
+QUERIES["published_alerts_north"] = QUERIES["published_alerts"] + " WHERE NOT (dfo_total IS NULL AND forecast_score IS NULL AND centroid_y > 50)"
+QUERIES["republished_alerts"] = published("k")
 
 # The same with the inputs of the storm runs and of the evening runs.
 CTES["f_viirs_today"] = _viirs("DATE '2024-01-10'")
@@ -645,6 +662,8 @@ QUERIES["zonal_gfms"] = select([*_K, "gfms_totalarea_km", "gfms_perc_area", "gfm
 CTES["z_hwrf_summary"] = """
 SELECT z.run_ts, z.pfaf_id, area AS rain_totalarea_km, area / area_km2 * 100e0 AS perc_area, mean AS meanrain, top AS maxrain
 FROM z_hwrf z JOIN f_sheds USING (pfaf_id)"""
+QUERIES["zonal_gfms_rows"] = QUERIES["zonal_gfms_grids"] = QUERIES["zonal_gfms"]
+QUERIES["float_grid"] = "SELECT run_ts, row_no, col_no, value FROM f_pixels WHERE value <> -9999e0"
 QUERIES["zonal_hwrf"] = select([*_K, "rain_totalarea_km", "perc_area", "meanrain", "maxrain"], "z_hwrf_summary")
 CTES["z_dfo"] = """
 SELECT q.run_date, q.layer, w.pfaf_id, round(coalesce(n, 0) * 0.0625e0, 3) AS area, round(coalesce(n, 0) * 0.0625e0 / area_km2 * 100e0, 3) AS perc
@@ -799,9 +818,13 @@ QUERIES["merge_duplicates"] = f"""
 SELECT coalesce(g.run_ts, h.run_ts) AS run_ts, coalesce(g.pfaf_id, h.pfaf_id) AS pfaf_id, {r6('gfms_totalarea_km', 'rain_totalarea_km')}
 FROM f_gfms g FULL JOIN f_hwrf h ON g.pfaf_id = h.pfaf_id"""
 QUERIES["flood_duration_redelivered"] = QUERIES["flood_duration"]
-QUERIES["stream_flood_duration"] = QUERIES["flood_duration"]
+QUERIES["stream_flood_duration"] = QUERIES["stream_flood_duration_batches"] = QUERIES["flood_duration"]
 QUERIES["stream_alert_status"] = "SELECT run_ts, pfaf_id, alert, previous_alert, status FROM t_status"
 
 
+for _name in ("zonal_hwrf", "gfms_pipeline"):
+    QUERIES[f"{_name}_rows"] = QUERIES[_name]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(sql.strip()) for name, sql in QUERIES.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from freshet.schemas import Grid
 from freshet.session import prepare, work_folder
 from freshet.sources import readers as R
 from freshet.sources import sinks as K
+from freshet.sources.grids import read_grid_rows
 from freshet.streaming import streams as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,17 +215,24 @@ def combined_alerts(spark, sf):
     )
 
 
+def _two_days(spark, sf) -> DataFrame:
+    depth = X.gfms_runs(spark, sf)
+    return depth.union(depth.withColumn("run_ts", F.col("run_ts") + F.expr("INTERVAL 1 DAY")))
+
+
+def _publish(spark, sf, depth: DataFrame, now: str, folder: str, north: bool = False, changed: DataFrame | None = None) -> None:
+    P.publish_runs(
+        X.station_runs(spark, sf), depth, X.hwrf_runs(spark, sf), X.dfo_dates(spark, sf), X.viirs_dates(spark, sf),
+        X.exposure(spark, sf), X.centroids(spark, sf), depth.select("run_ts"), X.ts(now), folder + "/alerts", folder + "/out",
+        north, DIGITS, changed,
+    )
+
+
 def _published(spark, sf, north: bool) -> DataFrame:
     """Two days of runs, published in two goes; the second finds the first day's runs there."""
-    depth = X.gfms_runs(spark, sf)
-    depth = depth.union(depth.withColumn("run_ts", F.col("run_ts") + F.expr("INTERVAL 1 DAY")))
-    folder = work_folder(spark, "published")
-    for now in ("2024-01-11 02:00:00", "2024-01-13 00:00:00"):
-        P.publish_runs(
-            X.station_runs(spark, sf), depth, X.hwrf_runs(spark, sf), X.dfo_dates(spark, sf), X.viirs_dates(spark, sf),
-            X.exposure(spark, sf), X.centroids(spark, sf), depth.select("run_ts"), X.ts(now), folder + "/alerts", folder + "/out",
-            north, DIGITS,
-        )
+    depth, folder = _two_days(spark, sf), work_folder(spark, "published")
+    _publish(spark, sf, depth, "2024-01-11 02:00:00", folder, north)
+    _publish(spark, sf, depth, "2024-01-13 00:00:00", folder, north)
     return spark.read.parquet(folder + "/out")
 
 
@@ -238,6 +246,18 @@ def published_alerts_north(spark, sf):
     return _published(spark, sf, True)
 
 
+@query
+def republished_alerts(spark, sf):
+    """After both days were published a run of the first one is corrected; the run a day later follows."""
+    depth, folder = _two_days(spark, sf), work_folder(spark, "published")
+    _publish(spark, sf, depth, "2024-01-13 00:00:00", folder)
+    run = X.ts("2024-01-10 06:00:00")
+    parts = {c: F.when(F.col("run_ts") == run, F.col(c) * 9.0).otherwise(F.col(c)) for c in ("gfms_totalarea_km", "gfms_perc_area")}
+    changed = depth.select("run_ts").where(F.col("run_ts") == run).distinct()
+    _publish(spark, sf, depth.withColumns(parts), "2024-01-13 00:00:00", folder, changed=changed)
+    return spark.read.parquet(folder + "/out")
+
+
 @query
 def exposure(spark, sf):
     return X.exposure(spark, sf)
@@ -473,6 +493,30 @@ def zonal_gfms(spark, sf):
     return Z.gfms_summary(X.pixels(spark, sf), X.watersheds(spark, sf), X.GRID)
 
 
+@query
+def zonal_gfms_rows(spark, sf):
+    """From running sums along the rows of the pixel table."""
+    return Z.gfms_summary(X.pixels(spark, sf), X.watersheds(spark, sf), X.GRID, by_rows=True)
+
+
+@query
+def zonal_gfms_grids(spark, sf):
+    """From raw grids of the same cells, which never become a pixel table."""
+    rows = read_grid_rows(spark, X.float_grids(spark, sf), X.GRID)
+    return Z.gfms_summary(rows, X.watersheds(spark, sf), X.GRID)
+
+
+@query
+def float_grid(spark, sf):
+    """Raw grids of the pixels, read back in bands."""
+    return cells_named(R.read_float_grid(spark, X.float_grids(spark, sf) + "/*.bin", X.GRID, min_bytes=0))
+
+
+@query
+def zonal_hwrf_rows(spark, sf):
+    return Z.hwrf_summary(X.pixels(spark, sf), X.watersheds(spark, sf), X.GRID, by_rows=True)
+
+
 @query
 def zonal_hwrf(spark, sf):
     return Z.hwrf_summary(X.pixels(spark, sf), X.watersheds(spark, sf), X.GRID)
@@ -519,6 +563,12 @@ def gfms_pipeline(spark, sf):
     return P.gfms_pipeline(X.pixels(spark, sf), X.watersheds(spark, sf), fine)
 
 
+@query
+def gfms_pipeline_rows(spark, sf):
+    fine = Grid("check_fine", -180.0, 90.0, 0.5, 0.5, 360, 720, X.GRID.nodata)
+    return P.gfms_pipeline(X.pixels(spark, sf), X.watersheds(spark, sf), fine, by_rows=True)
+
+
 @query
 def upsample(spark, sf):
     return cells_named(G.upsample_nearest(X.pixels(spark, sf)))
@@ -767,6 +817,19 @@ def stream_flood_duration(spark, sf):
     )
 
 
+@query
+def stream_flood_duration_batches(spark, sf):
+    """The series in four files, one per micro-batch, by the batch algorithm with a carry."""
+    series, folder = X.gfms_series(spark, sf), work_folder(spark, "durations")
+    parts = series.withColumn("part", F.ntile(4).over(Window.orderBy("run_ts")))
+    for n in range(1, 5):
+        # The last batch lets everything pass.
+        parts.where(F.col("part") == n).drop("part").coalesce(1).write.mode("append").parquet(folder + "/in")
+        stream = spark.readStream.schema(series.schema).parquet(folder + "/in")
+        ST.durations_available(stream, folder + "/out", folder + "/carry", folder + "/state", lateness_hours=72 if n < 4 else 0)
+    return spark.read.parquet(folder + "/out").drop("batch")
+
+
 @query
 def stream_alert_status(spark, sf):
     alerts = X.alert_series(spark, sf).select(*U.KEYS, "alert")

@@ -44,8 +44,8 @@ def polygon_edges(watersheds: DataFrame) -> DataFrame:
     return _with_edges(watersheds).select("pfaf_id", F.inline("edges"))
 
 
-def watershed_spans(watersheds: DataFrame, grid: Grid) -> DataFrame:
-    """Polygons as scanline spans (pfaf_id, row, bucket, c0, c1) of a grid; computed once per grid.
+def row_spans(watersheds: DataFrame, grid: Grid) -> DataFrame:
+    """Polygons as scanline spans (pfaf_id, row, c0, c1) of a grid.
 
     A cell belongs to a polygon when its centre does, with half-open edges: [bottom, top) and [left, right). Each edge
     is listed under the rows it crosses, the crossings of a row are sorted and paired.
@@ -82,22 +82,25 @@ def watershed_spans(watersheds: DataFrame, grid: Grid) -> DataFrame:
         F.lead("_x").over(order).alias("_to"),
         F.row_number().over(order).alias("_n"),
     ).where((F.col("_n") % 2 == 1) & F.col("_to").isNotNull())
-    spans = paired.select(
+    return paired.select(
         "pfaf_id",
         "row",
-        F.greatest(_first_col(F.col("_from"), grid), F.lit(0)).alias("_c0"),
-        F.least(_first_col(F.col("_to"), grid) - F.lit(1), F.lit(grid.ncols - 1)).alias("_c1"),
-    ).where(F.col("_c0") <= F.col("_c1"))
-    return (
-        spans.withColumn("bucket", F.explode(F.sequence(_bucket("_c0"), _bucket("_c1"))))
-        .select(
-            "pfaf_id",
-            "row",
-            "bucket",
-            F.greatest("_c0", F.col("bucket") * F.lit(BUCKET)).alias("c0"),
-            F.least("_c1", F.col("bucket") * F.lit(BUCKET) + F.lit(BUCKET - 1)).alias("c1"),
-        )
-    )
+        F.greatest(_first_col(F.col("_from"), grid), F.lit(0)).alias("c0"),
+        F.least(_first_col(F.col("_to"), grid) - F.lit(1), F.lit(grid.ncols - 1)).alias("c1"),
+    ).where(F.col("c0") <= F.col("c1"))
+
+
+def split_spans(spans: DataFrame, width: int, name: str = "bucket") -> DataFrame:
+    """Spans cut at multiples of ``width`` columns, with the number of their piece of the row as ``name``."""
+    low, high = (F.floor(F.col(c) / F.lit(width)).cast("int") for c in ("c0", "c1"))
+    cut = spans.withColumn(name, F.explode(F.sequence(low, high)))
+    first = F.col(name) * F.lit(width)
+    return cut.withColumns({"c0": F.greatest("c0", first), "c1": F.least("c1", first + F.lit(width - 1))})
+
+
+def watershed_spans(watersheds: DataFrame, grid: Grid) -> DataFrame:
+    """Scanline spans in buckets of columns (pfaf_id, row, bucket, c0, c1); computed once per grid."""
+    return split_spans(row_spans(watersheds, grid), BUCKET).select("pfaf_id", "row", "bucket", "c0", "c1")
 
 
 def _first_col(x: Column, grid: Grid) -> Column:
@@ -111,10 +114,6 @@ def _first_col(x: Column, grid: Grid) -> Column:
     )
 
 
-def _bucket(col: str) -> Column:
-    return F.floor(F.col(col) / F.lit(BUCKET)).cast("int")
-
-
 def zonal_join(pixels: DataFrame, spans: DataFrame, factor: int = 1) -> DataFrame:
     """Every pixel with every watershed that holds its centre, as an equality join on (row, bucket).
 

@@ -196,16 +196,27 @@ def ready_runs(runs: DataFrame, now: Column, hours: float = 6) -> DataFrame:
     return runs.where(is_ready(F.col("run_ts"), now, hours))
 
 
-def day_over_day(alerts: DataFrame, require_previous_run: bool = True) -> DataFrame:
+def day_over_day(alerts: DataFrame, require_previous_run: bool = True, earlier: DataFrame | None = None) -> DataFrame:
     """Alert rows with the alert of exactly one day before and the status.
 
-    A run without any row one day before is left out as a whole, unless ``require_previous_run`` is False. The alerts are
-    used three times, so they are stored once.
+    A run without any row one day before is left out as a whole, unless ``require_previous_run`` is False. ``earlier`` has the
+    rows of the days before, by default they are among ``alerts``, which are then used three times and so stored once.
     """
-    alerts = stored(alerts, "alerts")
+    if earlier is None:
+        alerts = earlier = stored(alerts, "alerts")
     day = F.expr("INTERVAL 1 DAY")
-    previous = alerts.select("pfaf_id", (F.col("run_ts") + day).alias("run_ts"), F.col("alert").alias("previous_alert"))
+    previous = earlier.select("pfaf_id", (F.col("run_ts") + day).alias("run_ts"), F.col("alert").alias("previous_alert"))
     joined = alerts.join(previous, ["run_ts", "pfaf_id"], "left")
     if require_previous_run:
         joined = joined.join(previous.select("run_ts").distinct(), "run_ts", "left_semi")
     return joined.withColumn("status", alert_status(alert_code(F.col("alert")), alert_code(F.col("previous_alert"))))
+
+
+def at_times(df: DataFrame, times: DataFrame, key: str = "run_ts", most: int = 1000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among ``times``: a list of literals when they are few, so that the scan of a table
+    that is partitioned by ``key`` opens those partitions only; a semi join otherwise. ``times`` should be stored."""
+    wanted = times.select(key).where(F.col(key).isNotNull()).distinct()
+    few = wanted.select(F.unix_micros(key).alias("t")).limit(most + 1).collect()
+    if len(few) > most:
+        return df.join(wanted, key, "left_semi")
+    return df.where(F.col(key).isin([F.timestamp_micros(F.lit(r.t)) for r in few]) if few else F.lit(False))

@@ -11,7 +11,8 @@ from freshet import params as P
 from freshet.functions.geo import RAIN_DEG2RAD, center_y, pixel_area
 from freshet.functions.numeric import percent_area
 from freshet.operators.fusion import merge_dfo_layers, merge_viirs
-from freshet.operators.spatial import watershed_spans, zonal_join
+from freshet.operators.rowsums import dense_rows, pixel_rows, row_stats, row_sums
+from freshet.operators.spatial import row_spans, watershed_spans, zonal_join
 from freshet.schemas import Grid
 from freshet.session import stored
 
@@ -58,6 +59,20 @@ def zonal_stats(
     )
 
 
+def depth_stats(
+    pixels: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None, deg2rad: float = math.pi / 180.0,
+    factor: int = 1, by_rows: bool = False,
+) -> DataFrame:
+    """``zonal_stats`` of a pixel table, or, with ``by_rows``, the same from running sums along grid rows: for polygons that
+    overlap much or are wide. Grid rows (run_ts, row, values) need no pixel table and always go by rows."""
+    dense = "values" in pixels.columns
+    if not (by_rows or dense):
+        return zonal_stats(pixels, grid_spans(watersheds, grid, spans), grid, deg2rad=deg2rad, factor=factor)
+    spans = stored(row_spans(watersheds, grid), "spans") if spans is None else spans
+    sums = row_sums(dense_rows(pixels) if dense else pixel_rows(pixels), grid.nodata)
+    return row_stats(sums, spans, grid, deg2rad=deg2rad, factor=factor)
+
+
 def zonal_count(
     pixels: DataFrame, spans: DataFrame, predicate: Column, cell_km2: float, keys: tuple[str, ...]
 ) -> DataFrame:
@@ -72,15 +87,14 @@ def _sizes(watersheds: DataFrame) -> DataFrame:
 
 def gfms_summary(
     pixels: DataFrame, watersheds: DataFrame, grid: Grid, runs: DataFrame | None = None, keep_empty: bool = True,
-    seed_hours: int = 3, threshold: float = 100.0, spans: DataFrame | None = None, factor: int = 1,
+    seed_hours: int = 3, threshold: float = 100.0, spans: DataFrame | None = None, factor: int = 1, by_rows: bool = False,
 ) -> DataFrame:
     """Flood depth per watershed and run, with the seed of the flood duration.
 
     ``spans`` may be handed in when they were written once for the grid. ``runs`` lists the runs to report, by default
-    those that have pixels. With ``factor`` the pixels count as upsampled to ``grid``.
+    those that have pixels. With ``factor`` the pixels count as upsampled to ``grid``. ``by_rows`` as in ``depth_stats``.
     """
-    spans = grid_spans(watersheds, grid, spans)
-    stats = zonal_stats(pixels, spans, grid, factor=factor)
+    stats = depth_stats(pixels, watersheds, grid, spans, factor=factor, by_rows=by_rows)
     if keep_empty:
         runs = pixels.select("run_ts") if runs is None else runs.select("run_ts")
         stats = dense_scaffold(_sizes(watersheds), runs).join(stats, ["run_ts", "pfaf_id"], "left")
@@ -103,11 +117,10 @@ def gfms_summary(
 
 
 def hwrf_summary(
-    pixels: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None
+    pixels: DataFrame, watersheds: DataFrame, grid: Grid, spans: DataFrame | None = None, by_rows: bool = False
 ) -> DataFrame:
-    """Storm rain per watershed and run; only watersheds that got rain data."""
-    spans = grid_spans(watersheds, grid, spans)
-    stats = zonal_stats(pixels, spans, grid, deg2rad=RAIN_DEG2RAD).join(_sizes(watersheds), "pfaf_id")
+    """Storm rain per watershed and run; only watersheds that got rain data. ``by_rows`` as in ``depth_stats``."""
+    stats = depth_stats(pixels, watersheds, grid, spans, deg2rad=RAIN_DEG2RAD, by_rows=by_rows).join(_sizes(watersheds), "pfaf_id")
     return stats.select(
         "run_ts",
         "pfaf_id",

@@ -10,12 +10,13 @@ from freshet.operators import scores as C
 from freshet.operators.spatial import clip_rain, points_in_watersheds, rasterize_points
 from freshet.operators.stations import PROBABILITIES, normalize_probability, station_output, station_scores, station_union
 from freshet.operators.temporal import (
-    asof_latest, day_over_day, flood_duration, latest_or, latest_within, pending_dates, ready_runs,
+    asof_latest, at_times, day_over_day, flood_duration, latest_or, latest_within, pending_dates, ready_runs,
 )
 from freshet.operators.zonal import complete_dates, dfo_summary, gfms_summary, hwrf_summary, viirs_summary
 from freshet.params import DFO_TILES
 from freshet.schemas import DEPTH, Grid
 from freshet.session import stored
+from freshet.sources import commits
 from freshet.sources.sinks import existing_keys, write_partitions
 
 KEYS = U.KEYS
@@ -279,14 +280,16 @@ def combined_alerts(
 NORTH_LATITUDE = 50
 
 
-def final_alert(alerts: DataFrame, centroids: DataFrame, apply_north_filter: bool = False) -> DataFrame:
+def final_alert(
+    alerts: DataFrame, centroids: DataFrame, apply_north_filter: bool = False, earlier: DataFrame | None = None
+) -> DataFrame:
     """Published alert: administrative centroids (several per watershed) with the alert and its status.
 
     ``apply_north_filter`` drops northern rows that neither a forecast nor observed water supports; by default they
-    stay, as they do in the published product.
+    stay, as they do in the published product. ``earlier`` are the alerts of the days before, when ``alerts`` lacks them.
     """
     drop = ["admin0", "admin1", "iso", "resilience_index", "normalized_lack_of_resilience", "previous_alert"]
-    alerts = day_over_day(alerts).drop(*drop)
+    alerts = day_over_day(alerts, earlier=earlier).drop(*drop)
     alerts = alerts.drop(*[c for c in alerts.columns if "fid" in c.lower()])
     centroids = centroids.drop(*[c for c in centroids.columns if "fid" in c.lower()])
     out = alerts.join(centroids, "pfaf_id")
@@ -296,21 +299,71 @@ def final_alert(alerts: DataFrame, centroids: DataFrame, apply_north_filter: boo
     return out
 
 
+def due_runs(runs: DataFrame, now: Column, alerts_path: str, changed: DataFrame | None = None) -> DataFrame:
+    """(run_ts): of ``runs`` those old enough that are not in the alert table yet, or whose inputs have ``changed``."""
+    due = ready_runs(runs.select("run_ts").distinct(), now)
+    done = existing_keys(due, alerts_path, ["run_ts"])
+    pending = due if done is None else pending_dates(due, done, "run_ts")
+    if changed is not None:
+        pending = pending.union(due.join(changed.select("run_ts"), "run_ts", "left_semi")).distinct()
+    return pending
+
+
+def stale_runs(alerts_path: str, published_path: str, runs: DataFrame) -> DataFrame:
+    """(run_ts, _inputs): committed runs with a committed run the day before, whose published rows are missing or come from
+    an older version of either. Only commit records are read; ``runs`` gives the type of the time."""
+    spark, key = runs.sparkSession, [runs.schema["run_ts"]]
+    made = commits.committed(spark, alerts_path, key)
+    if made is None:
+        return runs.select("run_ts", F.lit(None).cast("map<string,bigint>").alias(commits.INPUTS)).where("false")
+    made = made.select("run_ts", F.col(commits.VERSION).alias("_now"))
+    before = made.select((F.col("run_ts") + F.expr("INTERVAL 1 DAY")).alias("run_ts"), F.col("_now").alias("_before"))
+    wanted = made.join(before, "run_ts")
+    have = commits.committed(spark, published_path, key)
+    if have is not None:
+        have = have.select("run_ts", F.col(f"{commits.INPUTS}.alerts").alias("_had"), F.col(f"{commits.INPUTS}.previous").alias("_had_before"))
+        wanted = wanted.join(have, "run_ts", "left").where(
+            ~(F.col("_now").eqNullSafe(F.col("_had")) & F.col("_before").eqNullSafe(F.col("_had_before"))))
+    inputs = F.create_map(F.lit("alerts"), F.col("_now"), F.lit("previous"), F.col("_before"))
+    return wanted.select("run_ts", inputs.alias(commits.INPUTS))
+
+
+def publish_stale(
+    alerts: DataFrame, alerts_path: str, published_path: str, centroids: DataFrame, apply_north_filter: bool = False
+) -> DataFrame:
+    """Publish what is stale, and return those runs. Of the alert table ``alerts`` only the partitions of these runs and of
+    the runs a day earlier are read, and only these runs are replaced in the published table.
+
+    A run that was computed again makes itself and the run a day later stale; a run that comes late makes the next day's run
+    publishable. A call that was cut off is made up for by the next one.
+    """
+    stale = stored(stale_runs(alerts_path, published_path, alerts.select("run_ts")), "stale")
+    if stale.isEmpty():
+        return stale
+    earlier = at_times(alerts, stale.select((F.col("run_ts") - F.expr("INTERVAL 1 DAY")).alias("run_ts")))
+    final = final_alert(at_times(alerts, stale), centroids, apply_north_filter, earlier.select("run_ts", "pfaf_id", "alert"))
+    write_partitions(final, published_path, ["run_ts"], overwrite=True, written=stale)
+    return stale
+
+
 def publish_runs(
     stations: DataFrame, gfms: DataFrame, hwrf: DataFrame, dfo: DataFrame, viirs: DataFrame, exposed: DataFrame,
     centroids: DataFrame, runs: DataFrame, now: Column, alerts_path: str, published_path: str,
-    apply_north_filter: bool = False, digits: int | None = None,
-) -> None:
-    """Everything that is due: of ``runs`` those old enough and not yet in the alert table, their combined alerts added to it
-    by run, and the published alerts of all runs that have a run the day before. A second call changes nothing."""
+    apply_north_filter: bool = False, digits: int | None = None, changed: DataFrame | None = None,
+) -> DataFrame:
+    """Everything that is due: of ``runs`` those old enough and not yet in the alert table, and the ``changed`` ones again, get
+    their combined alerts in it by run; then published alerts of the runs that these touch. Returns the published runs.
+
+    Neither the sources' nor the alerts' history is read again, and a second call changes nothing. A changed run
+    that no longer has rows keeps its old ones.
+    """
     spark = runs.sparkSession
-    due = ready_runs(runs.select("run_ts").distinct(), now)
-    done = existing_keys(due, alerts_path, ["run_ts"])
-    pending = stored(due if done is None else pending_dates(due, done, "run_ts"), "pending")
+    pending = stored(due_runs(runs, now, alerts_path, changed), "pending")
     alerts = combined_alerts(stations, gfms, hwrf, dfo, viirs, exposed, pending, digits)
-    write_partitions(alerts, alerts_path, ["run_ts"])
-    final = final_alert(spark.read.schema(alerts.schema).parquet(alerts_path), centroids, apply_north_filter)
-    write_partitions(final, published_path, ["run_ts"])
+    if not pending.isEmpty():
+        write_partitions(alerts, alerts_path, ["run_ts"], overwrite=True)
+    table = spark.read.schema(alerts.schema).parquet(alerts_path)
+    return publish_stale(table, alerts_path, published_path, centroids, apply_north_filter)
 
 
 # --- products to summaries -------------------------------------------------------------------------------------------
@@ -339,14 +392,14 @@ def glofas_stations(fixed: DataFrame, dynamic: DataFrame, watersheds: DataFrame)
 
 def gfms_pipeline(
     raw_pixels: DataFrame, watersheds: DataFrame, grid: Grid = DEPTH, carry: DataFrame | None = None,
-    runs: DataFrame | None = None, factor: int = 2, spans: DataFrame | None = None,
+    runs: DataFrame | None = None, factor: int = 2, spans: DataFrame | None = None, by_rows: bool = False,
 ) -> DataFrame:
-    """Raw depth cells -> watershed summary on the ``factor`` times finer ``grid`` -> flood duration.
+    """Raw depth cells, or grid rows, -> watershed summary on the ``factor`` times finer ``grid`` -> flood duration.
 
     The finer cells are never made: the summary weighs each raw cell with the fine cells it stands for. The summary is
     stored, since the duration reads it twice.
     """
-    summary = gfms_summary(raw_pixels, watersheds, grid, runs, spans=spans, factor=factor)
+    summary = gfms_summary(raw_pixels, watersheds, grid, runs, spans=spans, factor=factor, by_rows=by_rows)
     return flood_duration(stored(summary, "summary"), carry=carry)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from freshet import schemas as S
 from freshet.functions.dates import run_ts_from_path
 from freshet.functions.numeric import clean
 from freshet.session import stored
+from freshet.sources.grids import read_grid_rows
 
 LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
 
@@ -77,40 +77,15 @@ def read_float_grid(
     spark: SparkSession, path: str, grid: S.Grid = S.DEPTH_RAW, min_bytes: int = S.DEPTH_MIN_BYTES,
     keep_nodata: bool = False,
 ) -> DataFrame:
-    """Raw little-endian float32 grids as pixel rows (run_ts, row, col, value), one task per few files.
+    """Raw little-endian float32 grids as pixel rows (run_ts, row, col, value), a band of rows per task.
 
-    Files cut off in transfer are skipped by their length before they are read. A file is decoded in bands of rows, so
-    a task holds one file's bytes and one band.
+    Files cut off in transfer are skipped by their length before they are read. Conditions on ``row`` reach the source.
     """
-    ncols, nrows, nodata, band = grid.ncols, grid.nrows, grid.nodata, 64
-
-    def decode(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        for batch in batches:
-            for run_ts, content in zip(batch["run_ts"], batch["content"], strict=True):
-                data = np.frombuffer(content, dtype="<f4", count=nrows * ncols).reshape(nrows, ncols)
-                for top in range(0, nrows, band):
-                    part = data[top : top + band]
-                    keep = np.ones(part.shape, bool) if keep_nodata else part != nodata
-                    r, c = np.nonzero(keep)
-                    yield pd.DataFrame(
-                        {
-                            "run_ts": pd.Series([run_ts] * len(r), dtype="datetime64[us]"),
-                            "row": (r + top).astype("int32"),
-                            "col": c.astype("int32"),
-                            "value": part[r, c].astype("float64"),
-                        }
-                    )
-
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .where(F.col("length") >= max(min_bytes, nrows * ncols * 4))
-        .select(run_ts_from_path(F.col("path")).alias("run_ts"), "content")
-    )
-    return files.mapInPandas(decode, "run_ts timestamp, row int, col int, value double")
+    rows = read_grid_rows(spark, path, grid, min_bytes)
+    cells = rows.select("run_ts", "row", F.posexplode("values").alias("col", "value"))
+    if not keep_nodata:
+        cells = cells.where(F.isnan("value") | (F.col("value") != F.lit(grid.nodata).cast("float")))
+    return cells.select("run_ts", "row", "col", F.col("value").cast("double").alias("value"))
 
 
 def read_rain_text(spark: SparkSession, path: str) -> DataFrame:

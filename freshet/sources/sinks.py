@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.session import stored
+from freshet.sources import commits
 from freshet.sources.readers import LEGACY_CHARSETS
 
 
@@ -43,33 +47,36 @@ def write_geojson_lines(df: DataFrame, path: str, lon: str = "lon", lat: str = "
     to_geojson_lines(df, lon, lat).write.mode("overwrite").text(path)
 
 
+def _fields(df: DataFrame, keys: list[str]) -> list:
+    return [df.schema[k] for k in keys]
+
+
 def existing_keys(df: DataFrame, path: str, keys: list[str]) -> DataFrame | None:
-    """Distinct partition keys already written below ``path``, None when there is no table yet."""
-    try:
-        old = df.sparkSession.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return old.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys]).distinct()
+    """Partition keys written to the table at ``path``, from its commit records alone; None when there are none."""
+    done = commits.committed(df.sparkSession, path, _fields(df, keys))
+    return None if done is None else done.select(*keys)
 
 
-def write_partitions(df: DataFrame, path: str, keys: list[str], overwrite: bool = False) -> None:
+def write_partitions(df: DataFrame, path: str, keys: list[str], overwrite: bool = False, written: DataFrame | None = None) -> None:
     """Write ``df`` partitioned by ``keys`` so that a second run changes nothing.
 
     By default partitions that exist are skipped; with ``overwrite`` the partitions in ``df`` replace theirs and all
-    others stay. Rows are rebalanced over the keys first: small partitions get few files, a huge one is split.
+    others stay. Rows are rebalanced over the keys first: small partitions get few files, a huge one is split. A partition
+    exists when it is recorded; what a killed write left behind is replaced. ``written`` lists the keys to record when the
+    caller knows them, with ``_inputs`` if they matter; otherwise they are those that the write has seen.
     """
+    spark, fields = df.sparkSession, _fields(df, keys)
     if not overwrite:
         done = existing_keys(df, path, keys)
         if done is not None:
-            df = df.join(stored(done, "done"), keys, "left_anti")
-    writer = df.hint("rebalance", *keys).write.partitionBy(*keys)
-    if overwrite:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+            done = stored(done.select(*[F.col(k).alias(f"_{k}") for k in keys]), "done")
+            df = df.join(done, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+    seen = Observation()
+    df = df.hint("rebalance", *keys).observe(seen, F.collect_set(F.struct(*keys)).alias("keys"))
+    df.write.partitionBy(*keys).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if written is None:
+        written = spark.createDataFrame([tuple(k) for k in seen.get["keys"]], T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+    commits.commit(written, path, fields)
 
 
 def reprocess(df: DataFrame, path: str, keys: list[str]) -> None:

@@ -11,7 +11,8 @@ from freshet import schemas as S
 from freshet.functions.alerts import alert_code, alert_status
 from freshet.functions.dates import run_ts_from_path
 from freshet.functions.numeric import clean
-from freshet.session import DEFAULTS
+from freshet.operators.temporal import flood_duration, last_durations
+from freshet.session import DEFAULTS, stored
 from freshet.sources.sinks import reprocess
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -133,6 +134,59 @@ def stream_flood_duration(
     return out.select("run_ts", "pfaf_id", F.col("area").alias(area), F.col("duration").alias("gfms_duration"))
 
 
+_CARRY = "pfaf_id long, last_ts timestamp, duration int"
+
+
+def advance_durations(
+    batch: DataFrame, number: int, path: str, state: str, area: str = "gfms_totalarea_km", lateness_hours: float = 48,
+    carry: DataFrame | None = None, **options,
+) -> None:
+    """One micro-batch of summary rows: its durations to ``path``, partition ``batch = number``, by the batch twin's algorithm.
+
+    ``state`` has two slots, used in turn: each holds a batch's last duration of every watershed and the steps that wait for
+    the newest time seen to be ``lateness_hours`` past them. A batch reads the slot of the one before and replaces its own and
+    its partition, so a repeated batch changes nothing, whatever it had written. ``carry`` (pfaf_id, last_ts,
+    duration) is where the first batch goes on from. Steps not after a watershed's last one were delivered again or
+    too late and are skipped, rows without time or watershed as well.
+    """
+    spark = batch.sparkSession
+    before, after = f"{state}/{(number + 1) % 2}", f"{state}/{number % 2}"
+    steps = batch.select("run_ts", F.col("pfaf_id").cast("long").alias("pfaf_id"), F.col(area).cast("double").alias(area))
+    steps = steps.where(F.col("run_ts").isNotNull() & F.col("pfaf_id").isNotNull())
+    last = spark.createDataFrame([], _CARRY) if carry is None else carry.selectExpr("CAST(pfaf_id AS long) pfaf_id", "last_ts", "CAST(duration AS int) duration")
+    if number:
+        last = spark.read.schema(_CARRY).parquet(f"{before}/carry")
+        steps = steps.unionByName(spark.read.schema(steps.schema).parquet(f"{before}/waiting"))
+    # Read by what follows three times; the batch's own source may not be there as long.
+    steps = steps.join(last.select("pfaf_id", "last_ts"), "pfaf_id", "left").where(F.col("last_ts").isNull() | (F.col("run_ts") > F.col("last_ts")))
+    steps = stored(steps.drop("last_ts"), "steps")
+    newest, applied = (df.agg(F.max(F.unix_micros(c))).first()[0] for df, c in ((steps, "run_ts"), (last, "last_ts")))
+    if newest is None:
+        newest = applied or 0
+    horizon = F.timestamp_micros(F.lit(max(newest - round(lateness_hours * 3_600_000_000), applied or 0)))
+    done = stored(flood_duration(steps.where(F.col("run_ts") <= horizon), area, carry=last, **options), "durations")
+    out = done.withColumn("batch", F.lit(number).cast("long"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    both = last.unionByName(last_durations(done)).groupBy("pfaf_id").agg(F.max("last_ts").alias("last_ts"), F.max_by("duration", "last_ts").alias("duration"))
+    both.write.mode("overwrite").parquet(f"{after}/carry")
+    steps.where(F.col("run_ts") > horizon).write.mode("overwrite").parquet(f"{after}/waiting")
+
+
+def durations_available(
+    summaries: DataFrame, path: str, state: str, checkpoint: str, lateness_hours: float = 48, carry: DataFrame | None = None, **options,
+) -> None:
+    """Flood durations of what there is of a stream, batch by batch as in ``advance_durations``: no row goes through Python, and
+    no watershed's steps meet in one task. ``path``, ``state`` and ``checkpoint`` belong together."""
+    query = (
+        summaries.writeStream.foreachBatch(
+            lambda batch, number: advance_durations(batch, number, path, state, lateness_hours=lateness_hours, carry=carry, **options))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def stream_alert_status(alerts: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Alert rows with the status against exactly one day before, as an outer self join of the stream.
 

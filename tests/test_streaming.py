@@ -105,3 +105,58 @@ def test_bins(spark, tmp_path):
     ST.run_available(ST.stream_bins(stream, lateness="0 seconds"), f"{tmp_path}/out", f"{tmp_path}/state")
     got = sorted((r.run_ts.hour, r.n) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [(0, 6), (3, 6), (6, 6)]
+
+
+def go_batches(spark, tmp_path, schema=SERIES, **options):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    ST.durations_available(stream, f"{tmp_path}/out", f"{tmp_path}/carry", f"{tmp_path}/state", **options)
+
+
+def durations(spark, tmp_path):
+    return sorted((r.pfaf_id, r.run_ts, r.gfms_duration) for r in spark.read.parquet(f"{tmp_path}/out").where("pfaf_id >= 0").collect())
+
+
+def test_duration_batches_out_of_order(spark, tmp_path):
+    rows = series(60)
+    late = rows[66:78]
+    first = [r for r in rows[:90] if r not in late] + [(None, T0, 1.0), (7, None, 1.0)]
+    random.Random(1).shuffle(first)
+    feed(spark, f"{tmp_path}/in", first, SERIES)
+    go_batches(spark, tmp_path)
+    early = len(durations(spark, tmp_path))
+    # The late steps, some of them twice, and some that were applied long before.
+    feed(spark, f"{tmp_path}/in", rows[90:] + late + late[:3] + rows[:3], SERIES)
+    go_batches(spark, tmp_path)
+    feed(spark, f"{tmp_path}/in", [(-1, T0 + dt.timedelta(days=60), 0.0)], SERIES)
+    go_batches(spark, tmp_path)
+    want = sorted((r.pfaf_id, r.run_ts, r.gfms_duration) for r in W.flood_duration(spark.createDataFrame(rows, SERIES)).collect())
+    assert durations(spark, tmp_path) == want and 0 < early < len(want)
+
+
+def test_a_replayed_duration_batch_changes_nothing(spark, tmp_path):
+    rows = series(40, 4)
+    parts = [spark.createDataFrame(rows[i : i + 40], SERIES) for i in range(0, 120, 40)]
+    paths = f"{tmp_path}/out", f"{tmp_path}/carry"
+    for n, part in enumerate(parts):
+        ST.advance_durations(part, n, *paths, lateness_hours=6)
+        before = durations(spark, tmp_path)
+        ST.advance_durations(part, n, *paths, lateness_hours=6)
+        assert durations(spark, tmp_path) == before
+    ST.advance_durations(parts[0].limit(0), 3, *paths, lateness_hours=0)
+    want = sorted((r.pfaf_id, r.run_ts, r.gfms_duration) for r in W.flood_duration(spark.createDataFrame(rows, SERIES)).collect())
+    assert durations(spark, tmp_path) == want
+
+
+def test_duration_batches_go_on_from_a_carry(spark, tmp_path):
+    rows = series(40, 9)
+    carry = W.last_durations(W.flood_duration(spark.createDataFrame(rows[:60], SERIES)))
+    feed(spark, f"{tmp_path}/in", rows[60:], SERIES)
+    go_batches(spark, tmp_path, lateness_hours=0, carry=carry)
+    every = W.flood_duration(spark.createDataFrame(rows, SERIES)).collect()
+    assert durations(spark, tmp_path) == sorted((r.pfaf_id, r.run_ts, r.gfms_duration) for r in every if r.run_ts >= rows[60][1])
+
+
+def test_duration_batches_have_no_python(spark, tmp_path):
+    done = W.flood_duration(spark.createDataFrame(series(10), SERIES), carry=spark.createDataFrame([], ST._CARRY))
+    text = done._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text.replace("PythonRDD", "") and "Pandas" not in text
