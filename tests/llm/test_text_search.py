@@ -39,30 +39,42 @@ def test_ids_equal_the_library_on_odd_texts(library):
     parts = ["a", " ", "the", "\n", "  ", "<|endoftext|>", "<|endof", "é", "日本", "\U0001e6c0", "՘", "1", "٣", "'s", "'", "\x1c", "\x85", "​", "in", "\U0001f600", "\x00"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
     texts += ["".join(rng.choice("ahtein ") for _ in range(rng.randrange(80))) for _ in range(3000)]
-    for text in texts:
-        ids = encoder.encode(text)
-        assert ids == library.encode(text, add_special_tokens=False).ids
-        assert encoder.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    ids, bounds = encoder.encode(texts)
+    back = encoder.decode(ids, bounds)
+    for i, text in enumerate(texts):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == want
+        assert back[i] == library.decode(want, skip_special_tokens=False)
 
 
 def test_every_code_point_is_cut_as_by_the_library(library):
     encoder = bpe.Encoder(bpe.VOCABULARY)
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     texts = ["".join(f"a{c}1{c}.{c} {c}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
-    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert encoder.encode(text) == want.ids
+    ids, _ = encoder.encode(texts)
+    assert ids.tolist() == [i for want in library.encode_batch(texts, add_special_tokens=False) for i in want.ids]
 
 
 @pytest.mark.parametrize("text", ["a" * 200_000, "ab" * 100_000, " " * 200_000, "日" * 60_000])
 def test_very_long_pieces_are_linear(library, text):
-    assert bpe.Encoder(bpe.VOCABULARY).encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert bpe.Encoder(bpe.VOCABULARY).encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_that_forgets_goes_on(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    encoder = bpe.Encoder(bpe.VOCABULARY)
+    for text in ("some words here", "some other words", "", "words here again") * 2:
+        assert encoder.encode([text, text])[0].tolist() == 2 * library.encode(text, add_special_tokens=False).ids
 
 
 def test_stored_last_tokens_are_those_of_every_prefix(library):
     """The tokens found for the prefixes of a piece are the last ones of the prefixes' own encodings."""
     encoder, piece = bpe.Encoder(bpe.VOCABULARY), "unbelievablyantidisestablishmentarianisms"
+    data = np.frombuffer(piece.encode(), np.uint8)[None, :]
+    last = encoder.last_tokens(data, np.array([len(piece)]))[0]
     for end in range(1, len(piece) + 1):
-        assert encoder.encode_piece(piece[:end])[-1] == library.encode(piece[:end], add_special_tokens=False).ids[-1]
+        want = library.encode(piece[:end], add_special_tokens=False).ids
+        assert last[end - 1] == want[-1] and encoder.encode_long(piece[:end].encode()) == want
 
 
 def test_encode_and_decode_whole_table(spark, library):
