@@ -24,6 +24,10 @@ CHUNK = 800
 #: Frequent elements that are listed at most, those that sets share in most batches first.
 MOST_COMMON = 250_000
 
+#: Slots that tell elements of one set from those of several, and ranges of slots that are added up apart. Slots shared by
+#: different elements make clusters larger, never less complete.
+SLOT_BITS, RANGES = 27, 64
+
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 _WORD = (_BYTES != 32) & ~((_BYTES >= 9) & (_BYTES <= 13))
@@ -110,17 +114,40 @@ def block_keys(elements: np.ndarray, bounds: np.ndarray, num: int, den: int) ->
     return np.concatenate(keys), np.concatenate(owner)
 
 
-def prefix_keys(elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def slots_of(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def gaps(slots: np.ndarray) -> bytes:
+    """Ascending numbers as bytes: the gap to the next one, 255 for as much of it and more to come."""
+    more, rest = np.divmod(np.diff(slots, prepend=0), 255)
+    out = np.full(int(more.sum()) + len(slots), 255, np.uint8)
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.tobytes()
+
+
+def from_gaps(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps < 255]
+
+
+def prefix_keys(
+    elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int, again: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(element, row): the first elements of each set, of which two sets with ``den * overlap >= num * union`` share one.
 
     Their overlap has at least ``num / den`` of the elements of either. Both leave out fewer than that of their last elements
     here, so the first one of the overlap is among those kept, whatever the order, if it is the same for all sets:
-    elements not in ``common`` (sorted) come first, then by value.
+    elements whose bit of ``again`` is not set come first, those in ``common`` (sorted) last, then by value.
     """
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
     known = common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] == elements if len(common) else np.zeros(len(elements), bool)
-    order = np.lexsort((known, row))
+    kind = known.astype(np.int8)
+    if again is not None:
+        at = slots_of(elements)
+        kind += (again[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+    order = np.lexsort((kind, row))
     place = np.arange(len(elements)) - bounds[row]
     kept = place < (size - -(-num * size // den) + 1)[row]
     return elements[order][kept], row[kept]
@@ -250,9 +277,10 @@ def _compare(tasks: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
-    """(doc_id, tkey, n, node, common) per row: size and hash of the set, NULL for a text without words.
+    """(doc_id, tkey, n, node, common, once, more) per row: size and hash of the set, NULL for a text without words.
 
-    With ``list_common`` the first row of a batch has the elements that several of its sets have.
+    With ``list_common`` the first row of a batch has the elements that several of its sets have, and by range the slots of the
+    elements that one set and that several sets have; copies of a set in one piece of text are one set.
     """
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -264,22 +292,70 @@ def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
                 sizes.append(np.diff(bounds))
                 nodes.append(set_hashes(elements, bounds).view(np.int64))
                 if list_common:
-                    every.append(elements)
+                    first = np.zeros(len(sizes[-1]), bool)
+                    first[np.unique(nodes[-1], return_index=True)[1]] = True
+                    every.append(elements[np.repeat(first, sizes[-1])])
             if not sizes:
                 continue
             n = np.concatenate(sizes)
             shared = np.concatenate(every)
             every.clear()
             shared.sort()
-            often = np.unique(shared[1:][shared[1:] == shared[:-1]]).view(np.int64)
+            often = np.unique(shared[1:][shared[1:] == shared[:-1]])
+            lists = [_by_range(slots_of(shared[np.concatenate([[True], shared[1:] != shared[:-1]])])), _by_range(slots_of(often))] if len(shared) else [[], []]
+            often = often.view(np.int64)
             ends = np.concatenate([[0], np.full(len(n), len(often))]).astype(np.int32)
+            seen = [pa.array([x, *[[]] * (len(n) - 1)], pa.list_(pa.binary())) for x in lists]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n), pa.array(np.concatenate(nodes), mask=n == 0),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(often))], names=["doc_id", "tkey", "n", "node", "common"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(often)), *seen], names=["doc_id", "tkey", "n", "node", "common", "once", "more"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", text_key().alias("tkey")).mapInArrow(
-        scan, f"doc_id {kind}, tkey binary, n long, node long, common array<long>")
+        scan, f"doc_id {kind}, tkey binary, n long, node long, common array<long>, once array<binary>, more array<binary>")
+
+
+def _by_range(slots: np.ndarray) -> list[bytes]:
+    """Sorted slots as gaps, a list for each range."""
+    width = 1 << SLOT_BITS - int(RANGES).bit_length() + 1
+    slots = np.unique(slots)
+    cuts = np.searchsorted(slots, np.arange(1, RANGES) * width)
+    return [gaps(part - i * width) for i, part in enumerate(np.split(slots, cuts))]
+
+
+def _seen_again(rows: DataFrame) -> np.ndarray:
+    """A bit per slot: whether several sets have an element in it. Its size does not depend on the rows.
+
+    ``once`` lists every slot of a batch, ``more`` those of several of its sets. A range's lists are read as a stream.
+    """
+    width = 1 << SLOT_BITS - int(RANGES).bit_length() + 1
+
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def packed(of: int, seen: np.ndarray):
+            bits = np.packbits(seen > 1, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), pa.array([bits], pa.binary())], names=["range", "bits"])
+
+        now, seen = None, None
+        for batch in batches:
+            for of, once, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != now:
+                    if now is not None:
+                        yield packed(now, seen)
+                    now, seen = of, np.zeros(width, np.uint8)
+                at = from_gaps(once)
+                seen[at] = np.minimum(seen[at] + 1, 2)
+                seen[from_gaps(more)] = 2
+        if now is not None:
+            yield packed(now, seen)
+
+    zipped = F.posexplode(F.arrays_zip("once", "more")).alias("range", "lists")
+    lists = rows.where(F.size("once") > 0).select(zipped).select("range", "lists.once", "lists.more")
+    out = np.zeros(1 << SLOT_BITS - 3, np.uint8)
+    for r in lists.repartition("range").sortWithinPartitions("range").mapInArrow(add, "range int, bits binary").toArrow().to_pylist():
+        out[r["range"] * width // 8 :][: width // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -289,7 +365,7 @@ def set_hashes(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix64(sums[bounds[1:]] - sums[bounds[:-1]] + n.astype(np.uint64))
 
 
-def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarray) -> DataFrame:
+def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarray, again) -> DataFrame:
     """(key, n, node): the keys of every set; copies within a piece of text once."""
     wide = has_wide_blocks(num, den)
 
@@ -300,7 +376,7 @@ def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarr
             for _, _, data, offsets in text_slices(batch.column(0)):
                 elements, bounds = shingle_sets(data, offsets, words)
                 nodes = set_hashes(elements, bounds)
-                keys, owner = block_keys(elements, bounds, num, den) if wide else prefix_keys(elements, bounds, common, num, den)
+                keys, owner = block_keys(elements, bounds, num, den) if wide else prefix_keys(elements, bounds, common, num, den, again.value)
                 first = np.zeros(len(nodes), bool)
                 first[np.unique(nodes, return_index=True)[1]] = True
                 keys, owner = keys[first[owner]], owner[first[owner]]
@@ -341,14 +417,15 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> Dat
     rows = stored(_scan_sets(docs, words, not wide), "sets")
     # One text stands for each set.
     nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("tkey").alias("tkey")), "nodes")
-    common = np.zeros(0, np.uint64)
+    common, again = np.zeros(0, np.uint64), None
     if not wide:
         # A bounded list: what it lacks makes clusters larger, never less complete.
         often = rows.where(F.size("common") > 0).select(F.explode("common").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
         often = often.orderBy(F.desc("n"), "e").limit(MOST_COMMON).select("e").toPandas()
         common = np.sort(often["e"].to_numpy(np.int64).view(np.uint64))
-    rows = rows.drop("common")
-    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, common), num, den)), "clusters")
+        again = docs.sparkSession.sparkContext.broadcast(_seen_again(rows))
+    rows = rows.drop("common", "once", "more")
+    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, common, again), num, den)), "clusters")
     links = _links(docs, clusters, nodes, words, num, den, chunk)
     parts = stored(components(links).withColumnRenamed("node", "_node"), "parts")
     joined = rows.join(parts, F.col("node") == F.col("_node"), "left")
