@@ -27,6 +27,8 @@ MOST_COMMON = 250_000
 #: Slots that tell elements of one set from those of several, and ranges of slots that are added up apart. Slots shared by
 #: different elements make clusters larger, never less complete.
 SLOT_BITS, RANGES = 27, 64
+#: Elements that are counted together.
+HELD = 1 << 21
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -279,37 +281,44 @@ def _compare(tasks: DataFrame, words: int, num: int, den: int) -> DataFrame:
 def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
     """(doc_id, tkey, n, node, common, once, more) per row: size and hash of the set, NULL for a text without words.
 
-    With ``list_common`` the first row of a batch has the elements that several of its sets have, and by range the slots of the
-    elements that one set and that several sets have; copies of a set in one piece of text are one set.
+    With ``list_common`` the first of some rows has the elements that several of their sets have, and by range the slots of the
+    elements that they have at all and that several have; copies of a set in one piece of text are one set.
     """
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            sizes, nodes, every = [], [], [np.zeros(0, np.uint64)]
-            for _, _, data, offsets in text_slices(batch.column(1)):
-                elements, bounds = shingle_sets(data, offsets, words)
-                sizes.append(np.diff(bounds))
-                nodes.append(set_hashes(elements, bounds).view(np.int64))
-                if list_common:
-                    first = np.zeros(len(sizes[-1]), bool)
-                    first[np.unique(nodes[-1], return_index=True)[1]] = True
-                    every.append(elements[np.repeat(first, sizes[-1])])
-            if not sizes:
-                continue
+        def flushed(rows, sizes: list, nodes: list, every: list):
             n = np.concatenate(sizes)
-            shared = np.concatenate(every)
+            shared = np.concatenate([np.zeros(0, np.uint64), *every])
             every.clear()
             shared.sort()
             often = np.unique(shared[1:][shared[1:] == shared[:-1]])
-            lists = [_by_range(slots_of(shared[np.concatenate([[True], shared[1:] != shared[:-1]])])), _by_range(slots_of(often))] if len(shared) else [[], []]
+            # The order of slots is that of elements.
+            lists = [_by_range(slots_of(shared)), _by_range(slots_of(often))] if list_common else [[], []]
             often = often.view(np.int64)
             ends = np.concatenate([[0], np.full(len(n), len(often))]).astype(np.int32)
             seen = [pa.array([x, *[[]] * (len(n) - 1)], pa.list_(pa.binary())) for x in lists]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n), pa.array(np.concatenate(nodes), mask=n == 0),
+            return pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(2), pa.array(n), pa.array(np.concatenate(nodes), mask=n == 0),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(often)), *seen], names=["doc_id", "tkey", "n", "node", "common", "once", "more"])
 
+        for batch in batches:
+            start, held, sizes, nodes, every = 0, 0, [], [], []
+            for _, end, data, offsets in text_slices(batch.column(1)):
+                elements, bounds = shingle_sets(data, offsets, words)
+                sizes.append(np.diff(bounds))
+                nodes.append(set_hashes(elements, bounds).view(np.int64))
+                if list_common:
+                    first = np.zeros(len(sizes[-1]), bool)
+                    first[np.unique(nodes[-1], return_index=True)[1]] = True
+                    every.append(elements[np.repeat(first, sizes[-1])])
+                    held += len(every[-1])
+                if held > HELD:
+                    yield flushed(batch.slice(start, end - start), sizes, nodes, every)
+                    start, held, sizes, nodes, every = end, 0, [], [], []
+            if sizes:
+                yield flushed(batch.slice(start), sizes, nodes, every)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", text_key().alias("tkey")).mapInArrow(
         scan, f"doc_id {kind}, tkey binary, n long, node long, common array<long>, once array<binary>, more array<binary>")
@@ -318,7 +327,7 @@ def _scan_sets(docs: DataFrame, words: int, list_common: bool) -> DataFrame:
 def _by_range(slots: np.ndarray) -> list[bytes]:
     """Sorted slots as gaps, a list for each range."""
     width = 1 << SLOT_BITS - int(RANGES).bit_length() + 1
-    slots = np.unique(slots)
+    slots = slots[np.concatenate([[True], slots[1:] != slots[:-1]])] if len(slots) else slots
     cuts = np.searchsorted(slots, np.arange(1, RANGES) * width)
     return [gaps(part - i * width) for i, part in enumerate(np.split(slots, cuts))]
 
