@@ -48,6 +48,34 @@ def depth_grid(spark) -> float:
     return round(best, 3)
 
 
+def overlapping(spark) -> dict[str, float]:
+    """Seconds by cells and by rows for one depth grid under 2,000 polygons of growing width, which overlap the more the wider they are."""
+    from pyspark.sql import functions as F
+
+    from freshet.operators import zonal as Z
+    from freshet.operators.spatial import row_spans
+    from freshet.schemas import DEPTH
+    from freshet.session import stored
+
+    cell, out = F.col("id"), {}
+    pixels = stored(spark.range(DEPTH.nrows * DEPTH.ncols).select(
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("run_ts"), F.floor(cell / DEPTH.ncols).cast("int").alias("row"),
+        (cell % DEPTH.ncols).cast("int").alias("col"), (cell % 97 / F.lit(10.0)).alias("value")), "grid")
+    for width in (3.0, 30.0, 150.0):
+        x, y = F.lit(-127.0) + cell % 50 * F.lit(3.0), F.lit(-49.5) + F.floor(cell / 50) * F.lit(2.4)
+        ring = F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in ((0.1, 0.0), (width, 0.3), (width - 0.5, 2.3), (0.4, 2.1))])
+        sheds = stored(spark.range(2000).select(cell.alias("pfaf_id"), F.lit(50000.0).alias("area_km2"), F.array(ring).alias("rings")), "sheds")
+        for by_rows in (False, True):
+            spans = stored(row_spans(sheds, DEPTH), "spans") if by_rows else Z.grid_spans(sheds, DEPTH)
+            best = float("inf")
+            for _ in range(2):
+                start = time.perf_counter()
+                Z.depth_stats(pixels, sheds, DEPTH, spans, by_rows=by_rows).write.format("noop").mode("overwrite").save()
+                best = min(best, time.perf_counter() - start)
+            out[f"width {width:g} degrees, by {'rows' if by_rows else 'cells'}"] = round(best, 2)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 1))
@@ -56,6 +84,9 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("OFF")
+    if sys.argv[1:] == ["overlapping"]:
+        print(json.dumps(overlapping(spark)))
+        return
     times: dict[str, float] = {}
     for name in sys.argv[1:] or HEADLINE:
         best = float("inf")

@@ -343,6 +343,31 @@ def select(cols: list[str], source: str) -> str:
 QUERIES["score_gfms"] = select(["run_ts", "pfaf_id", *GFMS, "gfms_score"], "s_gfms")
 CTES["s_gfms_table"] = re.sub(r"/ (\d+)e0", lambda m: f"/ {int(m[1]) / 2}e0", scored_gfms("f_gfms")).replace("1e0 *", "2e0 *").replace("> 10 THEN 10e0", "> 20 THEN 20e0")
 QUERIES["score_gfms_weights"] = select(["run_ts", "pfaf_id", *GFMS, "gfms_score"], "s_gfms_table")
+CTES["s_hwrf_table"] = f"""
+SELECT *, (hwrf_area_score + hwrf_percarea_score + meanrain_score + maxrain_score) * 2.5e0 AS hwrf_total
+FROM (SELECT *, {capped('rain_totalarea_km', '500e0', '2e0', '20e0', '20')} AS hwrf_area_score,
+ {capped('perc_area', '2.5e0', '2e0', '20e0', '20')} AS hwrf_percarea_score,
+ CASE WHEN meanrain >= 1 THEN least(20e0, (meanrain - 1e0) / 0.25e0 + 2e0) ELSE 0e0 END AS meanrain_score,
+ CASE WHEN maxrain >= 2 THEN least(20e0, (maxrain - 2e0) / 0.5e0 + 2e0) ELSE 0e0 END AS maxrain_score FROM f_hwrf)"""
+QUERIES["score_hwrf_weights"] = select(["run_ts", "pfaf_id", *HWRF], "s_hwrf_table")
+
+
+def table_scored(source: str, days: list[tuple[str, str, int]], parts: tuple[tuple[str, str, str], ...], product: str) -> str:
+    """Daily products with half the weights, twice the points and other day multipliers."""
+    names, cols = [], []
+    for d, layer, mult in days:
+        for m, c, wt in parts:
+            names.append(f"{product}_{m}_{d}_score")
+            cols.append(f"{capped(f'{layer}_{c}', wt, f'{2 * mult}e0', f'{20 * mult}e0', '20')} AS {names[-1]}")
+    return f"SELECT *, {' + '.join(names)} AS {product}_total FROM (SELECT *, {', '.join(cols)} FROM {source})"
+
+
+CTES["s_dfo_table"] = table_scored(
+    "f_dfo", [("1day", "d1cs", 2), ("2day", "d2", 3), ("3day", "d3", 4)], (("area", "area", "50e0"), ("perc_area", "perc", "0.5e0")), "dfo")
+CTES["s_viirs_table"] = table_scored(
+    "f_viirs", [("1day", "oneday", 2), ("5day", "fiveday", 3)], (("area", "flood_area_km", "50e0"), ("perc_area", "perc_area", "0.5e0")), "viirs")
+QUERIES["score_dfo_weights"] = select(["run_date", "pfaf_id", *DFO_RAW, *DFO_PARTS, "dfo_total"], "s_dfo_table WHERE dfo_total > 0.1e0")
+QUERIES["score_viirs_weights"] = select(["run_date", "pfaf_id", *VIIRS_RAW, *VIIRS_PARTS, "viirs_total"], "s_viirs_table WHERE viirs_total > 0.1e0")
 QUERIES["score_hwrf"] = select(["run_ts", "pfaf_id", *HWRF], "s_hwrf")
 QUERIES["score_dfo"] = select(["run_date", "pfaf_id", *DFO_RAW, *DFO_PARTS, "dfo_total"], "s_dfo_all WHERE dfo_total > 0.1e0")
 QUERIES["score_viirs"] = select(["run_date", "pfaf_id", *VIIRS_RAW, *VIIRS_PARTS, "viirs_total"], "s_viirs_all WHERE viirs_total > 0.1e0")

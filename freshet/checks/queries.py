@@ -81,17 +81,50 @@ def score_viirs(spark, sf):
     return C.score_viirs(X.viirs_summary(spark, sf), U.MIN_TOTAL)
 
 
+def _weight_table(spark, product: str, row: dict[str, float]) -> dict:
+    """Weights of a product from a table with this row, written to a file and read back."""
+    folder = work_folder(spark, "weights")
+    _write_text(spark.createDataFrame([list(row.values())], list(row)).coalesce(1), folder)
+    return P_.table_weights(product, R.read_parameters(spark, folder))
+
+
+def _half(name: str, p, minimum: str = "Minpt", maximum: str = "Maxpt") -> dict[str, float]:
+    """Half the weight, twice the points."""
+    return {f"{name}_wt": p.wt / 2.0, f"{name}_{minimum}": p.mn * 2.0, f"{name}_{maximum}": p.mx * 2.0}
+
+
 @query
 def score_gfms_weights(spark, sf):
     """Scores with a weight table read from a file: half the weights, twice the points."""
-    names, values = [], []
+    row = {}
     for part, p in zip(("area", "percarea", "meandepth", "maxdepth", "duration"), P_.GFMS.values(), strict=True):
-        ends = ("Min_pt", "max_pt") if part == "area" else ("Minpt", "Maxpt")
-        names += [f"GFMS_{part}_wt", *[f"GFMS_{part}_{e}" for e in ends]]
-        values += [p.wt / 2.0, p.mn * 2.0, p.mx * 2.0]
-    folder = work_folder(spark, "weights")
-    _write_text(spark.createDataFrame([values], names).coalesce(1), folder)
-    return C.score_gfms(X.gfms_summary(spark, sf), P_.table_weights("gfms", R.read_parameters(spark, folder)))
+        row |= _half(f"GFMS_{part}", p, *(("Min_pt", "max_pt") if part == "area" else ()))
+    return C.score_gfms(X.gfms_summary(spark, sf), _weight_table(spark, "gfms", row))
+
+
+@query
+def score_hwrf_weights(spark, sf):
+    row = _half("HWRF_area", P_.HWRF["area"], "Min_pt", "max_pt") | _half("HWRF_percarea", P_.HWRF["perc"])
+    for part in ("meanrain", "maxrain"):
+        p = P_.HWRF[part]
+        row |= {f"HWRF_{part}_minwt": p.lo / 2.0, f"HWRF_{part}_increment": p.inc / 2.0, f"HWRF_{part}_Minpt": p.mn * 2.0, f"HWRF_{part}_Maxpt": p.mx * 2.0}
+    return C.score_hwrf(X.hwrf_summary(spark, sf), _weight_table(spark, "hwrf", row))
+
+
+def _daily_weights(product: str, weights: dict, days: dict[str, float]) -> dict[str, float]:
+    return _half(f"{product}_area", weights["area"], "Min_pt", "max_pt") | _half(f"{product}_percarea", weights["perc"]) | days
+
+
+@query
+def score_dfo_weights(spark, sf):
+    row = _daily_weights("DFO", P_.DFO, {"One_Day_Multiplier": 2.0, "Two_Day_Multiplier": 3.0, "Three_Day_Multiplier": 4.0})
+    return C.score_dfo(X.dfo_summary(spark, sf), U.MIN_TOTAL, _weight_table(spark, "dfo", row))
+
+
+@query
+def score_viirs_weights(spark, sf):
+    row = _daily_weights("VIIRS", P_.VIIRS, {"One_Day_Multiplier": 2.0, "Five_Day_Multiplier": 3.0})
+    return C.score_viirs(X.viirs_summary(spark, sf), U.MIN_TOTAL, _weight_table(spark, "viirs", row))
 
 
 @query

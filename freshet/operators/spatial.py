@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ BUCKET = 256
 SPAN_ROWS = 2_000_000
 # Edges of all cover rows together, some forty bytes each.
 COVER_EDGES = 1_000_000
+# Edges of a cover cell that is not cut further, and how often cells are halved at most.
+MOST_EDGES, MAX_LEVEL = 64, 12
 
 
 def _closed_edges(ring: Column) -> Column:
@@ -134,59 +138,99 @@ def zonal_join(pixels: DataFrame, spans: DataFrame, factor: int = 1) -> DataFram
     return met.withColumn("cells", cells).drop("bucket", "c0", "c1")
 
 
-def points_in_watersheds(points: DataFrame, watersheds: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Inner join of points (lon, lat) with the polygons that hold them strictly inside.
-
-    Each polygon is listed under the cells it may touch, with only the edges that matter there: those of the cell's
-    latitude band that are not left of the cell. A point meets its cell's candidates and counts the crossings to its
-    right.
-    """
-    size = F.lit(float(cell))
+def _low(e: Column, axis: str) -> Column:
+    return F.least(e[f"{axis}1"], e[f"{axis}2"])
 
-    def low(e: Column, axis: str) -> Column:
-        return F.least(e[f"{axis}1"], e[f"{axis}2"])
 
-    def high(e: Column, axis: str) -> Column:
-        return F.greatest(e[f"{axis}1"], e[f"{axis}2"])
+def _high(e: Column, axis: str) -> Column:
+    return F.greatest(e[f"{axis}1"], e[f"{axis}2"])
 
-    def floor_cell(c: Column) -> Column:
-        return F.floor(c / size).cast("int")
 
-    def cells(axis: str) -> Column:
-        lo = F.array_min(F.transform("edges", lambda e: low(e, axis)))
-        hi = F.array_max(F.transform("edges", lambda e: high(e, axis)))
-        return F.explode(F.sequence(floor_cell(lo), floor_cell(hi)))
-
-    def touches_band(e: Column) -> Column:
-        floor_lat = F.col("_cy") * size
-        return (high(e, "y") >= floor_lat) & (low(e, "y") <= floor_lat + size)
-
-    cover = (
-        _with_edges(watersheds)
-        .where(F.size("edges") > 0)
-        .withColumn("_cy", cells("y"))
-        .withColumn("edges", F.filter("edges", touches_band))
-        .where(F.size("edges") > 0)
-        .withColumn("_cx", cells("x"))
-        .withColumn("edges", F.filter("edges", lambda e: high(e, "x") >= F.col("_cx") * size))
-    )
-    x, y = F.col("lon"), F.col("lat")
+def _crossings(edges: str, x: Column, y: Column) -> Column:
+    """How many edges a ray to the right of a point crosses."""
 
     def crosses(e: Column) -> Column:
         straddles = (e["y1"] <= y) != (e["y2"] <= y)
         at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
         return F.when(straddles & (x < at), F.lit(1)).otherwise(F.lit(0))
 
+    return F.aggregate(edges, F.lit(0), lambda acc, e: acc + crosses(e))
+
+
+def _touching(cover: DataFrame, size: float) -> DataFrame:
+    """Cells of ``size`` (_cx, _cy, edges) that edges may reach, with their number as ``_near``, or else that lie inside.
+
+    Without an edge that reaches a cell all its points are on the same side, so one of them tells."""
+    s, slack = F.lit(size), F.lit(size * 1e-9)
+    x0, y0 = F.col("_cx") * s, F.col("_cy") * s
+
+    def near(e: Column) -> Column:
+        return ((_high(e, "x") >= x0 - slack) & (_low(e, "x") <= x0 + s + slack)
+                & (_high(e, "y") >= y0 - slack) & (_low(e, "y") <= y0 + s + slack))
+
+    judged = cover.withColumn("_near", F.size(F.filter("edges", near)))
+    return judged.where((F.col("_near") > 0) | (_crossings("edges", x0 + s / 2, y0 + s / 2) % 2 == 1))
+
+
+def polygon_cover(watersheds: DataFrame, cell: float = 1.0, most_edges: int = MOST_EDGES, max_level: int = MAX_LEVEL) -> list[tuple[int, DataFrame]]:
+    """(level, stored cells (pfaf_id, _cx, _cy, edges)): each polygon as squares of ``cell / 2 ** level`` degrees.
+
+    A cell that edges may reach has the edges that matter in it, those of its latitude band that are not left of it. It is cut
+    into four while more than ``most_edges`` reach it; what lies to the right in its band shrinks with the band. A cell inside
+    has none, cells outside are left out.
+    """
+    def cells(axis: str) -> Column:
+        lo = F.array_min(F.transform("edges", lambda e: _low(e, axis)))
+        hi = F.array_max(F.transform("edges", lambda e: _high(e, axis)))
+        return F.explode(F.sequence(*[F.floor(c / F.lit(cell)).cast("int") for c in (lo, hi)]))
+
+    def in_band(size: float):
+        return lambda e: (_high(e, "y") >= F.col("_cy") * F.lit(size)) & (_low(e, "y") <= (F.col("_cy") + 1) * F.lit(size))
+
+    def not_left(size: float):
+        return lambda e: _high(e, "x") >= F.col("_cx") * F.lit(size)
+
+    cover = _with_edges(watersheds).where(F.size("edges") > 0).withColumn("_cy", cells("y")).withColumn("edges", F.filter("edges", in_band(cell)))
+    cover = cover.where(F.size("edges") > 0).withColumn("_cx", cells("x")).withColumn("edges", F.filter("edges", not_left(cell)))
+    out = []
+    for level in range(max_level + 1):
+        cover = stored(_touching(cover, cell / 2**level), "cover")
+        split = (F.col("_near") > most_edges) & F.lit(level < max_level)
+        edges = F.when(F.col("_near") > 0, F.col("edges")).otherwise(F.slice("edges", 1, 0))
+        out.append((level, cover.where(~split).select("pfaf_id", "_cx", "_cy", edges.alias("edges"))))
+        cover = cover.where(split).drop("_near")
+        if cover.isEmpty():
+            break
+        size = cell / 2 ** (level + 1)
+        for axis, keep in (("_cy", in_band(size)), ("_cx", not_left(size))):
+            halves = F.explode(F.array(F.col(axis) * 2, F.col(axis) * 2 + 1))
+            cover = cover.withColumn(axis, halves).withColumn("edges", F.filter("edges", keep)).where(F.size("edges") > 0)
+    return out
+
+
+def points_in_watersheds(points: DataFrame, watersheds: DataFrame, cell: float = 1.0, most_edges: int = MOST_EDGES) -> DataFrame:
+    """Inner join of points (lon, lat) with the polygons that hold them strictly inside.
+
+    Polygons are squares of ``polygon_cover``. A point meets the candidates of its square, of each size there is, and counts the
+    crossings to its right with the few edges of that square; in squares inside a polygon there is nothing to count.
+    """
+    x, y = F.col("lon"), F.col("lat")
+    cover = polygon_cover(watersheds, cell, most_edges)
+
     def touches(e: Column) -> Column:
         on_line = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
-        return on_line & x.between(low(e, "x"), high(e, "x")) & y.between(low(e, "y"), high(e, "y"))
+        return on_line & x.between(_low(e, "x"), _high(e, "x")) & y.between(_low(e, "y"), _high(e, "y"))
+
+    def cell_at(c: Column, level: int) -> Column:
+        return F.floor(c / F.lit(cell / 2**level)).cast("int")
 
-    crossings = F.aggregate("edges", F.lit(0), lambda acc, e: acc + crosses(e))
-    located = points.withColumns({"_cx": floor_cell(x), "_cy": floor_cell(y)})
+    side = reduce(DataFrame.unionByName, [df.withColumn("_level", F.lit(level)) for level, df in cover])
+    at = F.array(*[F.struct(F.lit(level).alias("_level"), cell_at(x, level).alias("_cx"), cell_at(y, level).alias("_cy")) for level, _ in cover])
+    located = points.select("*", F.inline(at))
     return (
-        located.join(small_side(stored(cover, "cover"), COVER_EDGES, F.size("edges") + 1), ["_cx", "_cy"])
-        .where((crossings % 2 == 1) & ~F.exists("edges", touches))
-        .drop("_cx", "_cy", "edges")
+        located.join(small_side(side, COVER_EDGES, F.size("edges") + 1), ["_level", "_cx", "_cy"])
+        .where((F.size("edges") == 0) | ((_crossings("edges", x, y) % 2 == 1) & ~F.exists("edges", touches)))
+        .drop("_level", "_cx", "_cy", "edges")
     )
 
 

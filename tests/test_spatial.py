@@ -192,3 +192,41 @@ def test_complete_dates(spark):
     tiles = spark.createDataFrame(rows, "d string, tile int").select(F.col("d").cast("date").alias("run_date"), "tile")
     got = Z.complete_dates(tiles, 2, F.lit("2024-01-02").cast("date")).collect()
     assert sorted((str(r.run_date), r.tiles) for r in got) == [("2024-01-01", 1), ("2024-01-03", 2)]
+
+
+# --- adaptive cover ---------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("cell,most", [(16.0, 1), (8.0, 3)])
+def test_cells_that_are_cut_give_what_brute_force_gives(spark, cell, most):
+    polygons = random_polygons(11, 8)
+    rnd = random.Random(12)
+    at = [(i, rnd.uniform(-10, 310), rnd.uniform(-5, 25)) for i in range(1500)]
+    # Points on corners and sides of cells, and on the polygons' own corners.
+    at += [(2000 + i, float(rnd.randrange(0, 300)), float(rnd.randrange(0, 20))) for i in range(300)]
+    at += [(3000 + i, x, y) for i, (x, y) in enumerate(p for _, _, rings in polygons for r in rings for p in r)]
+    points = spark.createDataFrame(at, "n long, lon double, lat double")
+    got = {(r.n, r.pfaf_id) for r in G.points_in_watersheds(points, frame(spark, polygons), cell, most).collect() if r.n < 3000}
+    assert got == {(n, p) for n, x, y in at if n < 3000 for p, _, rings in polygons if inside(rings, x, y)}
+
+
+def test_a_polygon_with_very_many_edges(spark):
+    """Cells keep a small part of the edges, most of the area needs none, and points inside pass without a crossing test."""
+    n = 40_000
+    ring = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+        (F.lit(5.0) + F.lit(4.0) * F.cos(i * (2 * math.pi / n))).alias("x"), (F.lit(5.0) + F.lit(4.0) * F.sin(i * (2 * math.pi / n))).alias("y")))
+    round_ = spark.range(1).select(F.lit(1).cast("long").alias("pfaf_id"), F.lit(1.0).alias("area_km2"), F.array(ring).alias("rings"))
+    cover = G.polygon_cover(round_, 1.0)
+    assert len(cover) > 3 and max(df.agg(F.max(F.size("edges"))).first()[0] or 0 for _, df in cover) < n / 10
+    area = sum(df.where(F.size("edges") == 0).count() / 4**level for level, df in cover)
+    assert math.pi * 16 * 0.97 < area < math.pi * 16
+    rnd = random.Random(3)
+    at = [(rnd.uniform(0, 10), rnd.uniform(0, 10)) for _ in range(2000)]
+    points = spark.createDataFrame(at, "lon double, lat double")
+    assert G.points_in_watersheds(points, round_).count() == sum((x - 5) ** 2 + (y - 5) ** 2 < 16 for x, y in at)
+
+
+def test_cover_of_no_polygons(spark):
+    points = spark.createDataFrame([(1.0, 1.0), (None, 1.0)], "lon double, lat double")
+    assert G.points_in_watersheds(points, frame(spark, [])).count() == 0
+    assert G.points_in_watersheds(points, frame(spark, [(1, 1.0, None), (2, 1.0, [])])).count() == 0
