@@ -21,10 +21,18 @@ MAX_FILES = 1000
 LATENESS = "2 days"
 
 
-def stream_summaries(spark: SparkSession, path: str, product: str, max_files: int = MAX_FILES) -> DataFrame:
-    """Stream of newly arrived summary CSV files; the checkpoint of the query remembers which were read."""
+def stream_summaries(
+    spark: SparkSession, path: str, product: str, max_files: int = MAX_FILES, once_within: str | None = None
+) -> DataFrame:
+    """Stream of newly arrived summary CSV files; the checkpoint of the query remembers which were read.
+
+    With ``once_within``, such as ``2 days``, a watershed's row of a run counts once, also when its file is delivered again
+    under another name: the first one that arrives stays. The state keeps keys, and those only for that long.
+    """
     reader = spark.readStream.schema(S.SUMMARIES[product]).option("header", True).option("maxFilesPerTrigger", max_files)
     raw = reader.csv(path).withColumn("run_ts", run_ts_from_path(F.col("_metadata.file_path")))
+    if once_within is not None:
+        raw = raw.withWatermark("run_ts", once_within).dropDuplicatesWithinWatermark(["run_ts", "pfaf_id"])
     if product in ("dfo", "viirs"):
         raw = raw.withColumn("run_date", F.to_date("run_ts")).drop("run_ts")
     return clean(raw.drop("row_index"))
@@ -32,11 +40,13 @@ def stream_summaries(spark: SparkSession, path: str, product: str, max_files: in
 
 def stream_bins(
     stream: DataFrame, width: str = "3 hours", time: str = "ts", keys: tuple[str, ...] = ("pfaf_id",),
-    value: str = "value", lateness: str = LATENESS,
+    value: str = "value", lateness: str = LATENESS, unique: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Tumbling bins per watershed, emitted once no later data can reach them."""
+    """Tumbling bins per watershed, emitted once no later data can reach them. Rows with the same ``unique`` columns that come
+    within the lateness of each other count once."""
+    marked = stream.withWatermark(time, lateness)
     return (
-        stream.withWatermark(time, lateness)
+        (marked.dropDuplicatesWithinWatermark(list(unique)) if unique else marked)
         .groupBy(F.window(time, width), *keys)
         .agg(F.sum(value).alias("total"), F.count("*").alias("n"))
         .select(F.col("window.start").alias("run_ts"), *keys, "total", "n")
@@ -227,6 +237,27 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "par
     query.awaitTermination()
 
 
+def publish_available(
+    alerts: DataFrame, alerts_path: str, published_path: str, centroids: DataFrame, checkpoint: str, apply_north_filter: bool = False
+) -> None:
+    """Published alerts of a stream of whole runs, new or corrected: each micro-batch replaces its runs in the alert table and
+    publishes them and the runs a day later again.
+
+    What is compared with is looked up in the table, so nothing is kept in memory or state however late a run comes. A
+    repeated batch writes the same rows again.
+    """
+    from freshet.plans.pipelines import publish_stale
+
+    def apply(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            reprocess(batch, alerts_path, ["run_ts"])
+            table = batch.sparkSession.read.schema(batch.schema).parquet(alerts_path)
+            publish_stale(table, alerts_path, published_path, centroids, apply_north_filter)
+
+    query = alerts.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def upsert_available(stream: DataFrame, path: str, keys: list[str], checkpoint: str) -> None:
     """Process what is there and replace the partitions each micro-batch touches; a repeated batch changes nothing.
 

@@ -160,3 +160,49 @@ def test_duration_batches_have_no_python(spark, tmp_path):
     done = W.flood_duration(spark.createDataFrame(series(10), SERIES), carry=spark.createDataFrame([], ST._CARRY))
     text = done._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text.replace("PythonRDD", "") and "Pandas" not in text
+
+
+def test_a_file_delivered_twice_under_two_names_counts_once(spark, tmp_path):
+    def put(name, rows):
+        with open(f"{tmp_path}/{name}", "w") as f:
+            f.write("pfaf_id,a,b,c,d,e\n" + "".join(f"{p},{v},2,3,4,5\n" for p, v in rows))
+
+    def go():
+        stream = ST.stream_summaries(spark, f"{tmp_path}/*.csv", "gfms", once_within="2 days")
+        ST.run_available(stream, f"{tmp_path}/o/out", f"{tmp_path}/o/state")
+
+    put("Flood_2024010100.csv", [(1, 1), (2, 2)])
+    put("Flood_2024010103.csv", [(1, 3)])
+    go()
+    put("Again_2024010100.csv", [(1, 1), (2, 2), (3, 4)])
+    go()
+    got = sorted((r.run_ts.hour, r.pfaf_id, r.gfms_totalarea_km) for r in spark.read.parquet(f"{tmp_path}/o/out").collect())
+    assert got == [(0, 1, 1.0), (0, 2, 2.0), (0, 3, 4.0), (3, 1, 3.0)]
+
+
+def test_bins_count_redelivered_rows_once(spark, tmp_path):
+    schema = "pfaf_id long, ts timestamp, value double, event long"
+    rows = [(1, T0 + dt.timedelta(minutes=m), 1.0, m) for m in range(0, 360, 30)]
+    for part in (rows, rows[:5], [(-1, T0 + dt.timedelta(days=9), 0.0, -1)]):
+        feed(spark, f"{tmp_path}/in", part, schema)
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        ST.run_available(ST.stream_bins(stream, unique=("event",)), f"{tmp_path}/out", f"{tmp_path}/state")
+    got = sorted((r.run_ts.hour, r.n) for r in spark.read.parquet(f"{tmp_path}/out").where("pfaf_id = 1").collect())
+    assert got == [(0, 6), (3, 6)]
+
+
+def test_published_alerts_of_a_stream(spark, tmp_path):
+    schema = "run_ts timestamp, pfaf_id long, alert string, dfo_total double, forecast_score double"
+    centroids = spark.createDataFrame([(1, "one", 1.0)], "pfaf_id long, admin_name string, centroid_y double")
+    days = [[(T0, 1, "Watch", None, 1.0)], [(T0 + dt.timedelta(days=1), 1, "Watch", None, 1.0)],
+            [(T0 + dt.timedelta(days=2), 1, "Advisory", None, 1.0)], [(T0 + dt.timedelta(days=1), 1, "Warning", None, 1.0)]]
+    seen = []
+    for rows in days:
+        feed(spark, f"{tmp_path}/in", rows, schema)
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        ST.publish_available(stream, f"{tmp_path}/alerts", f"{tmp_path}/out", centroids, f"{tmp_path}/state")
+        try:
+            seen.append(sorted((r.run_ts.day, r.status) for r in spark.read.parquet(f"{tmp_path}/out").collect()))
+        except Exception:  # noqa: BLE001
+            seen.append([])
+    assert seen == [[], [(2, "Continued")], [(2, "Continued"), (3, "Downgraded")], [(2, "Upgraded"), (3, "Downgraded")]]
