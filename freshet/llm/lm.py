@@ -3,11 +3,15 @@
 Documents are dealt into slices of some megabytes. A slice's distinct n-grams, with their numbers in the slice, go to the
 partitions of the count table; there the numbers of all slices are added up, and each slice gets the totals of its own
 n-grams back, in its own order. So counts are combined before the shuffle, a frequent n-gram is one row per slice, and no
-table is ever broadcast.
+table is ever broadcast. Words and pairs are asked for first. A longer n-gram is in the table only if both its parts of one word
+less are, so after their answers only such ones are asked for, one order at a time; most longer n-grams occur once and never
+travel. Numbers travel compressed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,25 +54,76 @@ def pack(keys: np.ndarray) -> bytes:
     """Sorted keys as gaps of as many bytes as the largest one needs, its number first."""
     gaps = np.diff(keys, prepend=np.uint64(0))
     width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
-    return bytes([width]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    body = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)
+    # Highest bytes differ little and are pressed; the others are as good as random.
+    top = press(np.ascontiguousarray(body[:, width - 1]))
+    return bytes([width]) + len(top).to_bytes(4, "little") + top + body[:, : width - 1].tobytes()
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    body = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
-    wide = np.zeros((len(body), 8), np.uint8)
-    wide[:, :width] = body
+    width, size = raw[0], int.from_bytes(raw[1:5], "little")
+    top = np.frombuffer(expand(raw[5 : 5 + size]), np.uint8)
+    wide = np.zeros((len(top), 8), np.uint8)
+    wide[:, width - 1] = top
+    wide[:, : width - 1] = np.frombuffer(raw, np.uint8, offset=5 + size).reshape(len(top), width - 1)
     return np.cumsum(wide.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
 
 
+def press(x) -> bytes:
+    """Bytes compressed, their number first. What tasks exchange is mostly small counts, which need few bits."""
+    import pyarrow as pa
+
+    size = memoryview(x).nbytes
+    return size.to_bytes(8, "little") + (pa.compress(x, codec="zstd", asbytes=True) if size else b"")
+
+
+def expand(raw: bytes) -> bytes:
+    import pyarrow as pa
+
+    size = int.from_bytes(raw[:8], "little")
+    return pa.decompress(raw[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def narrow(x: np.ndarray) -> bytes:
-    """Counts in as few bytes as the largest one needs, the size first."""
+    """Counts in as few bytes as the largest one needs, the size first; bytes of one place together, compressed."""
     size = next(b for b in (1, 2, 4, 8) if not len(x) or int(x.max()) < 1 << 8 * b)
-    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+    return bytes([size]) + press(np.ascontiguousarray(x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T))
 
 
 def widen(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    planes = np.frombuffer(expand(raw[1:]), np.uint8).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel().astype(np.int64)
+
+
+def bundles(batches: Iterator) -> Iterator:
+    """(slice, ids, sizes, texts): the rows (slice, doc_id, text) of a batch that go to one slice, their texts compressed as one."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        to = batch.column(0).to_numpy()
+        order = np.argsort(to, kind="stable")
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(to[order])) + 1, [len(to)]]) if len(to) else [0]
+        out: dict[str, list] = {"slice": [], "ids": [], "sizes": [], "texts": []}
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = pa.array(order[lo:hi])
+            texts = pc.fill_null(batch.column(2).take(rows), "").to_pylist()
+            raw = [t.encode() for t in texts]
+            out["slice"].append(int(to[order[lo]]))
+            out["ids"].append(batch.column(1).take(rows).to_pylist())
+            out["sizes"].append([len(r) for r in raw])
+            out["texts"].append(press(b"".join(raw)))
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("slice", pa.int64()), ("ids", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary())]))
+
+
+def unbundled(pdf):
+    """(ids, texts) of a slice's bundles, texts as an Arrow column."""
+    import pyarrow as pa
+
+    sizes = np.concatenate([np.zeros(0, np.int64), *pdf["sizes"]])
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    raw = b"".join(expand(x) for x in pdf["texts"])
+    return [i for ids in pdf["ids"] for i in ids], pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw)])
 
 
 def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least_count: int = LEAST_COUNT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -89,31 +144,41 @@ def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, lea
     kind = docs.schema["doc_id"].dataType.simpleString()
     # As text, since a column of whole numbers with NULL would become floating point.
     sliced = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.pmod(F.xxhash64(F.col("doc_id"), text_key()), F.lit(n_slices)).alias("slice"))
+    sliced = sliced.select("slice", "doc_id", "text").mapInArrow(bundles, "slice long, ids array<string>, sizes array<long>, texts binary")
     shift = np.uint64(32)
 
-    def grams(h: np.ndarray, bounds: np.ndarray):
-        """Per order: (distinct n-grams in order of bucket and hash, their numbers, place of each occurrence's, places)."""
-        for n in range(1, order + 1):
+    def grams(h: np.ndarray, bounds: np.ndarray, known: dict[int, np.ndarray], upto: int, first: int = 1):
+        """Per order: (order, distinct n-grams asked for in order of bucket and hash, their numbers, places of all n-grams, which
+        of them are asked for, place of each one's answer). Of three words and more only those are asked for whose two shorter
+        ones are in the table, since the others can't be; ``known`` has the answers of the orders before."""
+        prior = None
+        for n in range(first, upto + 1):
             g, at = gram_hashes(h, bounds, n)
-            keys, inverse, count = np.unique(g, return_inverse=True, return_counts=True)
-            yield n, keys, count, inverse, at
+            asked = np.ones(len(at), bool) if prior is None else (prior[at] >= least_count) & (prior[at - 1] >= least_count)
+            keys, inverse, count = np.unique(g[asked], return_inverse=True, return_counts=True)
+            yield n, keys, count, at, asked, inverse
+            if 1 < n < upto:
+                prior = np.zeros(len(h), np.int64)
+                prior[at[asked]] = known[n][inverse] if len(keys) else 0
+
+    def totals(answers) -> dict[int, np.ndarray]:
+        return {n: np.concatenate([widen(x) for x in a.sort_values("bucket")["totals"]]) for n, a in answers.groupby("n")}
 
     def buckets(keys: np.ndarray) -> np.ndarray:
         """First place of each bucket: ranges of the sorted hashes."""
         edge = (keys >> shift) * np.uint64(n_buckets) >> shift
         return np.searchsorted(edge, np.arange(n_buckets + 1, dtype=np.uint64))
 
-    def ask(pdf):
+    def asking(texts, known: dict[int, np.ndarray], orders: range):
         import pandas as pd
-        import pyarrow as pa
 
-        h, bounds = word_hashes(pa.array(pdf["text"], pa.large_string()))
+        h, bounds = word_hashes(unbundled(texts)[1])
         out = []
-        for n, keys, count, _, _ in grams(h, bounds):
+        for n, keys, count, _, _, _ in grams(h, bounds, known, orders[-1], min(orders[0], 2)):
             cut = buckets(keys)
-            for b in np.flatnonzero(np.diff(cut)).tolist():
+            for b in np.flatnonzero(np.diff(cut)).tolist() if n in orders else []:
                 part = slice(cut[b], cut[b + 1])
-                out.append((n, b, pdf["slice"].iloc[0], pack(keys[part]), narrow(count[part])))
+                out.append((n, b, texts["slice"].iloc[0], pack(keys[part]), narrow(count[part])))
         return pd.DataFrame(out, columns=["n", "bucket", "slice", "keys", "counts"])
 
     def add(pdf):
@@ -128,16 +193,18 @@ def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, lea
 
     def tell(texts, answers):
         import pandas as pd
-        import pyarrow as pa
 
-        h, bounds = word_hashes(pa.array(texts["text"], pa.large_string()))
-        known = {n: np.concatenate([widen(x) for x in a.sort_values("bucket")["totals"]]) for n, a in answers.groupby("n")}
+        ids, texts = unbundled(texts)
+        h, bounds = word_hashes(texts)
+        known = totals(answers)
         score, steps = np.zeros(len(h)), np.zeros(len(h), np.int64)
         lower = np.zeros(len(h))
-        for n, _, _, inverse, at in grams(h, bounds):
+        for n, keys, _, at, asked, inverse in grams(h, bounds, known, order):
             if not len(at):
                 break
-            count = known[n][inverse].astype(float)
+            count = np.zeros(len(at))
+            if len(keys):
+                count[asked] = known[n][inverse]
             if n == 1:
                 score = np.log(count)  # less the logarithm of the corpus' words, below
                 lower = count
@@ -156,11 +223,23 @@ def lm_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, lea
         total = lambda x: np.bincount(doc, x, minlength=len(texts))
         single = backed if len(h) else np.zeros(0, np.int64)
         return pd.DataFrame({
-            "doc_id": texts["doc_id"].to_numpy(), "n_words": np.diff(bounds), "n_backed": total(steps).astype(np.int64),
+            "doc_id": np.array(ids, object), "n_words": np.diff(bounds), "n_backed": total(steps).astype(np.int64),
             "n_single": total(single).astype(np.int64), "score": total(score)})
 
-    asked = sliced.groupBy("slice").applyInPandas(ask, "n int, bucket int, slice long, keys binary, counts binary")
-    answered = asked.groupBy("n", "bucket").applyInPandas(add, "slice long, n int, bucket int, totals binary")
+    def ask_first(texts):
+        return asking(texts, {}, range(1, min(order, 2) + 1))
+
+    def ask_longer(n: int):
+        return lambda texts, answers: asking(texts, totals(answers), range(n, n + 1))
+
+    schema, answered = "n int, bucket int, slice long, keys binary, counts binary", None
+    for upto in range(min(order, 2), order + 1):
+        if answered is None:
+            asked = sliced.groupBy("slice").applyInPandas(ask_first, schema)
+        else:
+            asked = sliced.groupBy("slice").cogroup(answered.groupBy("slice")).applyInPandas(ask_longer(upto), schema)
+        new = asked.groupBy("n", "bucket").applyInPandas(add, "slice long, n int, bucket int, totals binary")
+        answered = new if answered is None else answered.union(new)
     told = sliced.groupBy("slice").cogroup(answered.groupBy("slice")).applyInPandas(
         tell, "doc_id string, n_words long, n_backed long, n_single long, score double")
     told = stored(told, "told")

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 
 import llm_brute as B
 import numpy as np
@@ -276,6 +278,30 @@ def test_backoff_over_three_words(spark):
     assert abs(got[0].log_score - sum(want)) < 1e-9 and got[0].n_backed == 5
 
 
+def test_longer_sequences_are_asked_for_when_their_parts_are_known(spark):
+    """Four words over several slices against counting; texts that share words but no pairs."""
+    texts = corpus(12, 25) + ["one two", None, "", "two one two one two one", "one two one"]
+    got = {r.doc_id: r for r in lm.lm_scores(frame(spark, texts), order=4, slice_bytes=2000).collect()}
+    words = [[w.lower() for w in re.split(r"[\x20\x09-\x0d]+", t or "") if w] for t in texts]
+    seen = Counter(tuple(w[i : i + n]) for w in words for n in range(1, 5) for i in range(len(w) - n + 1))
+    total = sum(map(len, words))
+    for i, w in enumerate(words):
+        score, backed = 0.0, 0
+        for j in range(len(w)):
+            n = min(4, j + 1)
+            while n > 1 and seen[tuple(w[j - n + 1 : j + 1])] < 2:
+                n, backed, score = n - 1, backed + 1, score + np.log(0.4)
+            under = seen[tuple(w[j - n + 1 : j])] if n > 1 else total
+            score += np.log(seen[tuple(w[j - n + 1 : j + 1])] / under)
+        assert (got[i].n_words, got[i].n_backed) == (len(w), backed) and abs(got[i].log_score - score) < 1e-6 * max(1, abs(score))
+
+
+def test_exchanged_counts_are_small():
+    counts = np.random.default_rng(1).geometric(0.7, 10_000)
+    assert lm.widen(lm.narrow(counts)).tolist() == counts.tolist() and len(lm.narrow(counts)) < 3000
+    assert lm.widen(lm.narrow(np.array([1, 2**40]))).tolist() == [1, 2**40] and not len(lm.widen(lm.narrow(np.zeros(0, np.int64))))
+
+
 def test_packed_keys():
     for keys in ([], [0], [2**64 - 1], [3, 5, 2**40, 2**63]):
         k = np.array(keys, np.uint64)
