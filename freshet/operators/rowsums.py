@@ -58,6 +58,7 @@ def row_sums(rows: DataFrame, nodata: float, keys: tuple[str, ...] = ("run_ts",)
                 made = []
                 for i in range(part.num_rows):
                     cols, values = part.column(k + 2)[i].values, part.column(k + 3)[i].values
+                    values = pa.array([], pa.float64()) if values is None else values
                     v = values.cast(pa.float64()).fill_null(np.nan).to_numpy()
                     at = np.arange(len(v)) if cols is None else cols.to_numpy() - blocks[i] * BLOCK
                     data = (v != nodata) & ~np.isnan(v)

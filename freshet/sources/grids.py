@@ -77,8 +77,7 @@ class RawGridReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        first = self.top - self.top % self.band
-        bands = [(max(at, self.top), min(at + self.band - 1, self.bottom)) for at in range(first, self.bottom + 1, self.band)]
+        bands = [(at, min(at + self.band - 1, self.bottom)) for at in range(self.top, self.bottom + 1, self.band)]
         # A scan needs a partition: an empty band stands for no rows.
         return [Band(f, *b) for f in grid_files(self.path, self.least) for b in bands] or [Band("", 0, -1)]
 
