@@ -127,3 +127,32 @@ def test_nothing_to_write(spark, tmp_path):
     K.write_partitions(df, f"{tmp_path}/t", ["k"])
     assert K.existing_keys(df, f"{tmp_path}/t", ["k"]).count() == 0
     assert P.stale_runs(f"{tmp_path}/a", f"{tmp_path}/o", rows(spark)).count() == 0
+
+
+def test_wide_alerts_are_shuffled_once_to_be_published(spark):
+    """Centroids and the day before meet the keys first; the watershed's places multiply as before."""
+    alerts = rows(spark, *[(h, p, "Watch") for h in (0, 24) for p in range(50)]).withColumn("wide", F.lit(1.0))
+    places = spark.createDataFrame([(p, f"n{p}{i}", 10.0) for p in range(49) for i in range(1 + p % 2)], CENTROIDS)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = P.final_alert(alerts, places)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 73 and {r.status for r in out.collect()} == {"Continued"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    steps = text.split("Exchange ")
+    assert sum("wide" in part.split("Exchange")[0] and "FileScan" in part.split("Exchange")[0] for part in steps[1:]) == 1
+    assert text.count("Join") == 3
+
+
+def test_sources_are_filtered_below_their_aggregates(spark):
+    """Times that no run uses never reach the exchange of a source's sums."""
+    lines = spark.range(100).select(F.timestamp_seconds(F.col("id") % 10 * 3600).alias("run_ts"), (F.col("id") % 7).alias("pfaf_id"), F.lit(1.0).alias("v"))
+    sums = lines.groupBy("run_ts", "pfaf_id").agg(F.sum("v").alias("v"))
+    plan = lines.select("run_ts").where("hour(run_ts) = 3").distinct()
+    for used in (P._same_run(sums, plan), P.on_runs(sums.withColumn("_at", F.col("run_ts")), plan.withColumn("at", F.col("run_ts")), "at", "_at")):
+        text = used._jdf.queryExecution().executedPlan().toString()
+        assert text.rindex("Filter") > text.rindex("Exchange hashpartitioning(run_ts") and used.count() == 7
+    days = lines.select(F.to_date("run_ts").alias("day"))
+    assert P.among(days, "day", days.limit(1)).count() == 100 and P.among(days, "day", days.limit(0)).count() == 0
