@@ -233,6 +233,26 @@ def test_no_scan_counts_phrases_with_a_rare_part(spark):
     assert counted.where("k >= 2").count() == 0
 
 
+def test_counts_of_scans_carry_no_text(spark):
+    """Texts of phrases in every exchange and sum took the CPU and memory of large tables."""
+    before = {t.name for t in spark.catalog.listTables()}
+    found = collocations.count_phrases(documents(spark, [(i, "new york city", "en") for i in range(12)]))
+    assert {(r.k, r.phrase, r.a) for r in found.collect()} >= {(2, "new york", 12), (2, "york city", 12), (3, "new york city", 12)}
+    (table,) = {t.name for t in spark.catalog.listTables()} - before
+    assert not [c for c, kind in spark.table(table).dtypes if kind not in ("int", "bigint")]
+
+
+@pytest.mark.parametrize("chunk,held", [(50, 10_000), (10_000, 60)])
+def test_texts_dealt_into_many_rows(spark, monkeypatch, chunk, held):
+    """Rows that fill up, and rows that end early because many languages wait; a phrase's text comes from one of many rows."""
+    monkeypatch.setattr(collocations, "CHUNK", chunk)
+    monkeypatch.setattr(collocations, "HELD", held)
+    docs = phrase_corpus(7) + [(f"l{i}", "one of many languages") for i in range(40)] + [("xx", "Ein Satz, ein Satz")] * 10
+    data = documents(spark, [(i, t, lang) for i, (lang, t) in enumerate(docs)])
+    assert collocations.deal(data).count() > 60
+    assert sorted(map(tuple, collocations.collocations(data).collect())) == plain_collocations(docs)
+
+
 def test_running_sums_need_no_exchange(spark):
     plan = collocations.count_phrases(documents(spark, [(1, "a b c", "en")]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
