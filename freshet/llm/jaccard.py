@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import SpanHash, bounded_broadcast, components, mix64, stored, text_key, text_slices, word_spans
@@ -29,6 +29,14 @@ MOST_COMMON = 250_000
 SLOT_BITS, RANGES = 27, 64
 #: Elements that are counted together.
 HELD = 1 << 21
+#: Elements of all sets up to which the slots tell them apart; of more, those near the front of a set are counted.
+FEW = 1 << SLOT_BITS - 4
+#: Bits of an element that is counted, elements that are counted at a time on average, and the fewest ranges they are cut into.
+KEY_BITS, AT_ONCE, LEAST_RANGES = 40, 1 << 19, 256
+#: Elements of a slice of documents that is dealt into the ranges.
+SLICE = 1 << 18
+#: Bits of the table that tells which row of a set is counted. Rows that share a slot are counted once more, never left out.
+ROW_BITS = 25
 
 _BYTES = np.arange(256)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -134,10 +142,12 @@ def from_gaps(data: bytes) -> np.ndarray:
 
 
 def prefix_keys(
-    elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int, again: np.ndarray | None = None
+    elements: np.ndarray, bounds: np.ndarray, common: np.ndarray, num: int, den: int, again: np.ndarray | None = None, front: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """(element, row): the first elements of each set, of which two sets with ``den * overlap >= num * union`` share one.
 
+    With ``front`` more of them, see ``front_sizes``.
+
     Their overlap has at least ``num / den`` of the elements of either. Both leave out fewer than that of their last elements
     here, so the first one of the overlap is among those kept, whatever the order, if it is the same for all sets:
     elements whose bit of ``again`` is not set come first, those in ``common`` (sorted) last, then by value.
@@ -151,10 +161,20 @@ def prefix_keys(
         kind += (again[at >> 3] >> (at & 7).astype(np.uint8)) & 1
     order = np.lexsort((kind, row))
     place = np.arange(len(elements)) - bounds[row]
-    kept = place < (size - -(-num * size // den) + 1)[row]
+    most = front_sizes(size, num, den)[0] if front else size - -(-num * size // den) + 1
+    kept = place < most[row]
     return elements[order][kept], row[kept]
 
 
+def front_sizes(size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(elements in the front of a set, how many of them it has in common with that of each similar set at least).
+
+    The overlap of two similar sets is ``num / den`` of the larger one or more. Of either set half as many elements stay out of
+    the front, its last ones. So do the last ones of the overlap, in both sets: at most half as many as it has at least.
+    """
+    return size - num * size // (2 * den), -(-num * size // (2 * den))
+
+
 # --- signature trees --------------------------------------------------------------------------------------------------
 
 
@@ -395,6 +415,161 @@ def _scan_keys(docs: DataFrame, words: int, num: int, den: int, common: np.ndarr
     return docs.select("text").mapInArrow(scan, "key long, n long, node long")
 
 
+def _row_hash() -> Column:
+    return F.xxhash64("doc_id", "tkey")
+
+
+def _row_table(rows: DataFrame) -> np.ndarray:
+    """A bit per slot of a row's hash (column ``row``) that one of ``rows`` has; its size does not depend on the rows."""
+    width = 1 << ROW_BITS - 4
+
+    def mark(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            of, at = (np.asarray(c) for c in batch.columns)
+            for r in np.unique(of).tolist():
+                seen.setdefault(r, np.zeros(width, bool))[at[of == r]] = True
+        bits = [np.packbits(x, bitorder="little").tobytes() for x in seen.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(bits, pa.binary())], names=["range", "bits"])
+
+    slot = F.pmod("row", F.lit(1 << ROW_BITS))
+    slots = rows.select(F.shiftright(slot, ROW_BITS - 4).alias("range"), F.pmod("row", F.lit(width)).alias("at"))
+    out = np.zeros(1 << ROW_BITS - 3, np.uint8)
+    for r in slots.repartition("range").mapInArrow(mark, "range long, bits binary").toArrow().to_pylist():
+        out[r["range"] * width // 8 :][: width // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _counted_keys(docs: DataFrame, nodes: DataFrame, words: int, num: int, den: int, common: np.ndarray, again, total: int) -> DataFrame:
+    """(key, n, node) as from ``_scan_keys``, with the elements in the front of each set ordered by how many sets have them there.
+
+    A table of slots says little once the elements of all sets fill it; counting has no such limit. Slices of documents deal
+    their elements into ranges, which count them and send back those of several sets. Two similar sets have some ``least`` of
+    their fronts in common, so one of those is not among the last ``least - 1`` of either in any order. Elements of one set
+    come first in it and meet no other set: of the ``r`` that are left the first ``r - least + 1`` are keys, if there are any.
+    Of copies of a set the row that ``nodes`` names is counted. Elements with equal ``KEY_BITS`` are one: clusters are larger,
+    never less complete.
+    """
+    counted_rows = docs.sparkSession.sparkContext.broadcast(_row_table(nodes))
+    bits = max(LEAST_RANGES, total // AT_ONCE).bit_length() - 1
+    low = KEY_BITS - bits
+
+    def deal(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << 32
+
+        def dealt(sizes: list, nodes: list, keys: list, owners: list):
+            n, node = np.concatenate(sizes), np.concatenate(nodes)
+            first = np.zeros(len(n), bool)
+            first[np.unique(node, return_index=True)[1]] = True
+            first &= n > 0
+            key, owner = np.concatenate(keys), np.concatenate(owners)
+            mine = first[owner]
+            key, owner = key[mine], (np.cumsum(first) - 1)[owner[mine]]
+            part = (key >> np.uint64(low)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, owner = part[order], owner[order]
+            slots = (key[order] & np.uint64((1 << low) - 1)).astype(np.uint32)
+            ranges, starts = np.unique(part, return_index=True)
+            cuts = [*starts.tolist(), len(part)]
+            columns = [
+                pa.array([-1, *ranges.tolist()], pa.int32()), pa.array([at] * (len(ranges) + 1), pa.int64()),
+                pa.array([node[first].tobytes(), *[gaps(owner[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]], pa.binary()),
+                pa.array([n[first].tobytes(), *[slots[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["range", "slice", "owners", "slots"])
+
+        for batch in batches:
+            slot = np.asarray(batch.column(1))
+            texts = batch.column(0).filter(pa.array((counted_rows.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+            sizes, nodes, keys, owners, rows, held = [], [], [], [], 0, 0
+            for _, _, data, offsets in text_slices(texts):
+                elements, bounds = shingle_sets(data, offsets, words)
+                key, owner = prefix_keys(elements, bounds, common, num, den, again.value, front=True)
+                sizes.append(np.diff(bounds))
+                nodes.append(set_hashes(elements, bounds))
+                keys.append(key >> np.uint64(64 - KEY_BITS))
+                owners.append(owner + rows)
+                rows, held = rows + len(bounds) - 1, held + len(key)
+                if held > SLICE:
+                    yield dealt(sizes, nodes, keys, owners)
+                    sizes, nodes, keys, owners, rows, held, at = [], [], [], [], 0, 0, at + 1
+            if sizes:
+                yield dealt(sizes, nodes, keys, owners)
+                at += 1
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        names = ["range", "slice", "owners", "slots", "times"]
+
+        def counted(of: int, lists: list):
+            slots = [np.frombuffer(x, np.uint32) for _, _, x in lists]
+            _, found, times = np.unique(np.concatenate(slots), return_inverse=True, return_counts=True)
+            times = np.minimum(16 * np.log2(times), 255).astype(np.uint8)[found]  # 0: in one set only
+            out, start = [], 0
+            for (at, owners, _), mine in zip(lists, slots, strict=True):
+                n = times[start : start + len(mine)]
+                start += len(mine)
+                several = n > 0
+                if several.any():
+                    out.append((of, at, gaps(from_gaps(owners)[several]), mine[several].tobytes(), n[several].tobytes()))
+            columns = zip(*out, strict=True) if out else [()] * 5
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        now, lists = None, []
+        for batch in batches:
+            for of, at, owners, slots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != now and lists:
+                    yield counted(now, lists)
+                    lists = []
+                now = of
+                if of < 0:  # what a slice says of its sets goes back to it
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((of, at, owners, slots, b""), (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)], names=names)
+                else:
+                    lists.append((at, owners, slots))
+        if lists:
+            yield counted(now, lists)
+
+    def choose(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def chosen(head: tuple, lists: list):
+            node, n = (np.frombuffer(x, np.int64) for x in head)
+            owner = np.concatenate([from_gaps(x) for _, x, _, _ in lists])
+            key = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + (of << low) for of, _, x, _ in lists])
+            times = np.concatenate([np.frombuffer(x, np.uint8) for *_, x in lists])
+            order = np.lexsort((key, times, owner))
+            key, owner = key[order], owner[order]
+            left = np.bincount(owner, minlength=len(n))
+            place = np.arange(len(owner)) - (np.cumsum(left) - left)[owner]
+            kept = place < (left - front_sizes(n, num, den)[1] + 1)[owner]
+            key, owner = key[kept], owner[kept]
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n[owner]), pa.array(node[owner])], names=["key", "n", "node"])
+
+        now, head, lists = None, None, []
+        for batch in batches:
+            for of, at, owners, slots, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != now:
+                    if lists:
+                        yield chosen(head, lists)
+                    now, head, lists = at, (owners, slots), []
+                else:
+                    lists.append((of, owners, slots, times))
+        if lists:
+            yield chosen(head, lists)
+
+    keyed = docs.select("text", "doc_id", text_key().alias("tkey"))
+    asked = keyed.select("text", F.pmod(_row_hash(), F.lit(1 << ROW_BITS))).mapInArrow(deal, "range int, slice long, owners binary, slots binary")
+    asked = asked.repartition(F.when(F.col("range") < 0, F.col("slice")).otherwise(F.col("range"))).sortWithinPartitions("range", "slice")
+    told = asked.mapInArrow(count, "range int, slice long, owners binary, slots binary, times binary")
+    return told.repartition("slice").sortWithinPartitions("slice", "range").mapInArrow(choose, "key long, n long, node long")
+
+
 def _pairs(keyed: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): neighbours by size among the nodes with one key, unless their sizes rule out similarity.
 
@@ -424,8 +599,8 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> Dat
     """(doc_id, tkey, n, node, component), stored, one row for each row of ``docs``."""
     wide = has_wide_blocks(num, den)
     rows = stored(_scan_sets(docs, words, not wide), "sets")
-    # One text stands for each set.
-    nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("tkey").alias("tkey")), "nodes")
+    # One text stands for each set, and one row.
+    nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("tkey").alias("tkey"), F.min(_row_hash()).alias("row")), "nodes")
     common, again = np.zeros(0, np.uint64), None
     if not wide:
         # A bounded list: what it lacks makes clusters larger, never less complete.
@@ -434,7 +609,9 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int, chunk: int) -> Dat
         common = np.sort(often["e"].to_numpy(np.int64).view(np.uint64))
         again = docs.sparkSession.sparkContext.broadcast(_seen_again(rows))
     rows = rows.drop("common", "once", "more")
-    clusters = stored(components(_pairs(_scan_keys(docs, words, num, den, common, again), num, den)), "clusters")
+    total = 0 if wide else rows.agg(F.sum("n")).first()[0] or 0
+    keyed = _scan_keys(docs, words, num, den, common, again) if total <= FEW else _counted_keys(docs, nodes, words, num, den, common, again, total)
+    clusters = stored(components(_pairs(keyed, num, den)), "clusters")
     links = _links(docs, clusters, nodes, words, num, den, chunk)
     parts = stored(components(links).withColumnRenamed("node", "_node"), "parts")
     joined = rows.join(parts, F.col("node") == F.col("_node"), "left")
